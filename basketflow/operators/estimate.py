@@ -1,0 +1,155 @@
+"""Numeric helpers for one short series: used inside Arrow-batched functions only.
+
+ARIMA by two least-squares steps (Hannan and Rissanen, 1982): a long autoregression gives
+residuals, then the series is regressed on its own lags and on lagged residuals. Seasonal
+terms enter as extra lags. No constant is fitted.
+"""
+
+from __future__ import annotations
+
+import numpy as np
+
+# Fixed value: 5 % point of the Dickey-Fuller distribution with constant (MacKinnon).
+ADF_5_PERCENT = -2.86154
+STABLE_RADIUS = 0.99
+
+
+def difference(y: np.ndarray, d: int, seasonal_d: int, period: int) -> np.ndarray:
+    for _ in range(seasonal_d):
+        y = y[period:] - y[:-period]
+    return np.diff(y, n=d) if d else y
+
+
+def lagged(x: np.ndarray, lags: list[int], start: int) -> np.ndarray:
+    return np.column_stack([x[start - k : len(x) - k] for k in lags]) if lags else np.empty((len(x) - start, 0))
+
+
+def least_squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    if len(y) <= x.shape[1]:
+        raise ValueError("too few points")
+    return np.linalg.lstsq(x, y, rcond=None)[0]
+
+
+def polynomial(coefs: np.ndarray, lags: list[int], sign: float) -> np.ndarray:
+    out = np.zeros(max(lags, default=0) + 1)
+    out[0] = 1.0
+    out[lags] = sign * coefs if len(lags) else out[lags]
+    return out
+
+
+def stabilise(coefs: np.ndarray, lags: list[int], sign: float) -> np.ndarray:
+    """Shrinks the coefficients until the recursion they define dies out."""
+    if not lags:
+        return coefs
+    radius = np.max(np.abs(np.roots(polynomial(coefs, lags, sign))), initial=0.0)
+    return coefs * (STABLE_RADIUS / radius) ** np.asarray(lags) if radius > STABLE_RADIUS else coefs
+
+
+def arima(y: np.ndarray, order: tuple[int, int, int], seasonal: tuple[int, int, int], period: int, horizon: int) -> dict:
+    (p, d, q), (sp, sd, sq) = order, seasonal
+    w = difference(y, d, sd, period)
+    ar = sorted({*range(1, p + 1), *(period * k for k in range(1, sp + 1))})
+    ma = sorted({*range(1, q + 1), *(period * k for k in range(1, sq + 1))})
+    phi, theta = np.empty(0), np.empty(0)
+    if ma:
+        long = list(range(1, max(max(ar + ma), min(10, len(w) // 4)) + 1))
+        shocks = np.zeros(len(w))
+        x = lagged(w, long, len(long))
+        shocks[len(long) :] = w[len(long) :] - x @ least_squares(x, w[len(long) :])
+        start = len(long) + max(ma)
+        both = np.hstack([lagged(w, ar, start), lagged(shocks, ma, start)])
+        beta = least_squares(both, w[start:])
+        phi, theta = stabilise(beta[: len(ar)], ar, -1.0), stabilise(beta[len(ar) :], ma, 1.0)
+    elif ar:
+        start = max(ar)
+        phi = stabilise(least_squares(lagged(w, ar, start), w[start:]), ar, -1.0)
+    first = max(ar, default=0)
+    if len(w) - first < 2 * (len(ar) + len(ma) + 1):
+        raise ValueError("too few points")
+    e = np.zeros(len(w))
+    for t in range(first, len(w)):
+        e[t] = w[t] - sum(c * w[t - k] for c, k in zip(phi, ar)) - sum(c * e[t - k] for c, k in zip(theta, ma) if t >= k)
+    resid = e[first:]
+    n, k = len(resid), len(ar) + len(ma) + 1
+    sigma2 = float(resid @ resid) / n
+    if not np.isfinite(sigma2) or sigma2 <= 0:
+        raise ValueError("no fit")
+
+    # Forecast and its psi weights from one recursion on the undifferenced series.
+    full = polynomial(phi, ar, -1.0)
+    for _ in range(d):
+        full = np.convolve(full, [1.0, -1.0])
+    for _ in range(sd):
+        full = np.convolve(full, np.r_[1.0, np.zeros(period - 1), -1.0])
+    moving = polynomial(theta, ma, 1.0)
+    ys, es, psi = list(y), list(e) + [0.0] * horizon, []
+    for h in range(horizon):
+        past = -sum(c * ys[-i] for i, c in enumerate(full[1:], 1))
+        shock = sum(c * es[len(e) + h - i] for i, c in enumerate(moving[1:], 1) if i > h)
+        ys.append(past + shock)
+        psi.append((moving[h] if h < len(moving) else 0.0) - sum(full[i] * psi[h - i] for i in range(1, min(h, len(full) - 1) + 1)))
+    names = [f"ar.L{k}" for k in ar] + [f"ma.L{k}" for k in ma]
+    return {
+        "forecast": ys[len(y) :],
+        "se": list(np.sqrt(sigma2 * np.cumsum(np.square(psi)))),
+        "aic": n * np.log(sigma2) + 2 * k,
+        "bic": n * np.log(sigma2) + np.log(n) * k,
+        "residuals": list(resid),
+        "parameters": {**dict(zip(names, map(float, [*phi, *theta]))), "sigma2": sigma2},
+    }
+
+
+def needs_differencing(y: np.ndarray) -> int:
+    """0 when the augmented Dickey-Fuller statistic rejects a unit root at 5 %, else 1.
+
+    The number of lagged differences is the one with the lowest AIC on a common sample.
+    """
+    dy = np.diff(y)
+    most = max(0, min(int(np.ceil(12 * (len(y) / 100) ** 0.25)), len(dy) // 2 - 2))
+
+    def regress(lags: int, start: int) -> tuple[float, float]:
+        x = np.column_stack([y[start:-1], np.ones(len(dy) - start), lagged(dy, list(range(1, lags + 1)), start)])
+        beta = least_squares(x, dy[start:])
+        rss = float(np.sum((dy[start:] - x @ beta) ** 2))
+        n, k = x.shape
+        var = rss / (n - k) * np.linalg.pinv(x.T @ x)[0, 0]
+        return beta[0] / np.sqrt(var) if var > 0 else 0.0, n * np.log(max(rss / n, 1e-300)) + 2 * k
+
+    best = min(range(most + 1), key=lambda lags: regress(lags, most)[1])
+    return 0 if regress(best, best)[0] < ADF_5_PERCENT else 1
+
+
+def holt_winters(y: np.ndarray, period: int, horizon: int) -> dict:
+    """Additive trend and season; the three weights by least squares over a grid, all at once."""
+    if len(y) < 2 * period or period < 2:
+        raise ValueError("too few points")
+    grid = np.stack(np.meshgrid(np.linspace(0.05, 0.95, 10), [0.0, 0.01, 0.05, 0.1, 0.2, 0.4], np.linspace(0.0, 0.9, 7), indexing="ij"))
+    a, b, g = grid.reshape(3, -1)
+    head = y[:period].mean()
+    level = np.full(a.shape, head)
+    trend = np.full(a.shape, (y[period : 2 * period].mean() - head) / period)
+    season = np.repeat((y[:period] - head)[:, None], a.size, axis=1)
+    errors = np.empty((len(y), a.size))
+    for t, value in enumerate(y):
+        s = season[t % period]
+        errors[t] = value - (level + trend + s)
+        new = a * (value - s) + (1 - a) * (level + trend)
+        trend = b * (new - level) + (1 - b) * trend
+        season[t % period] = g * (value - new) + (1 - g) * s
+        level = new
+    i = int(np.argmin(np.sum(errors**2, axis=0)))
+    n, k = len(y), 5 + period
+    sigma2 = float(np.mean(errors[:, i] ** 2))
+    if sigma2 <= 0:
+        raise ValueError("no fit")
+    steps = np.arange(1, horizon + 1)
+    ahead = level[i] + steps * trend[i] + season[(n + steps - 1) % period, i]
+    impact = a[i] * (1 + b[i] * steps) + g[i] * (1 - a[i]) * (steps % period == 0)
+    return {
+        "forecast": list(ahead),
+        "se": list(np.sqrt(sigma2 * np.r_[1.0, 1.0 + np.cumsum(impact**2)[:-1]])),
+        "aic": n * np.log(sigma2) + 2 * k,
+        "bic": n * np.log(sigma2) + np.log(n) * k,
+        "residuals": list(errors[:, i]),
+        "parameters": {"alpha": a[i], "beta": b[i], "gamma": g[i], "sigma2": sigma2},
+    }

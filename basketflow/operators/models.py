@@ -1,0 +1,230 @@
+"""ARIMA, exponential smoothing and ensemble forecasts of many series at once.
+
+A series is packed into one row (an array bounded by the calendar). Candidate orders and
+backtest folds are exploded rows, so that fits spread over all tasks; choosing, combining
+and scoring are native aggregates. Only the fit itself runs in Python, on Arrow batches.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+import basketflow
+from basketflow.config import ForecastConfig
+from basketflow.functions.numeric import normal_quantile
+from basketflow.operators import estimate
+from basketflow.operators.series import (
+    fold_filter,
+    ljung_box,
+    long_enough,
+    moving_average_folds,
+    moving_average_forecast,
+)
+
+# The fits travel to the workers by value: the package need not be installed there.
+cloudpickle.register_pickle_by_value(basketflow)
+
+FIT = (
+    "forecast ARRAY<DOUBLE>, se ARRAY<DOUBLE>, aic DOUBLE, bic DOUBLE, "
+    "residuals ARRAY<DOUBLE>, parameters MAP<STRING, DOUBLE>"
+)
+FIT_FIELDS = ["forecast", "se", "aic", "bic", "residuals", "parameters"]
+GRID = [(p, q) for p in range(3) for q in range(3)]
+
+
+def _fitted(call: Callable[..., dict], rows: Iterator[tuple]) -> pd.DataFrame:
+    """One fit per row; a series that cannot be fitted gives NULLs."""
+    out = []
+    for args in rows:
+        try:
+            out.append(call(*args))
+        except (ValueError, np.linalg.LinAlgError):
+            out.append(dict.fromkeys(FIT_FIELDS))
+    return pd.DataFrame(out, columns=FIT_FIELDS)
+
+
+def _arima_fit(cfg: ForecastConfig, horizon: int, seasonal: bool) -> Callable[..., Column]:
+    extra = cfg.seasonal_order if seasonal else (0, 0, 0)
+
+    @F.pandas_udf(FIT)
+    def fit(y: pd.Series, p: pd.Series, d: pd.Series, q: pd.Series) -> pd.DataFrame:
+        def one(values, *order):
+            return estimate.arima(np.asarray(values, dtype=float), order, extra, cfg.seasonal_period, horizon)
+
+        return _fitted(one, zip(y, p, d, q))
+
+    return fit
+
+
+def _ets_fit(cfg: ForecastConfig, horizon: int) -> Callable[..., Column]:
+    @F.pandas_udf(FIT)
+    def fit(y: pd.Series) -> pd.DataFrame:
+        return _fitted(lambda v: estimate.holt_winters(np.asarray(v, dtype=float), cfg.seasonal_period, horizon), zip(y))
+
+    return fit
+
+
+@F.pandas_udf(T.IntegerType())
+def _unit_root(y: pd.Series) -> pd.Series:
+    return y.map(lambda v: estimate.needs_differencing(np.asarray(v, dtype=float)))
+
+
+def pack(prepared: DataFrame) -> DataFrame:
+    """(series_id, y): the values of a series in order, for series long enough to fit."""
+    rows = F.array_sort(F.collect_list(F.struct("pos", "value")))
+    return long_enough(prepared).groupBy("series_id").agg(rows["value"].alias("y"))
+
+
+def _spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows over all tasks by key. The explicit number keeps few but heavy rows apart."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(tasks, *keys)
+
+
+def stationarity(prepared: DataFrame) -> DataFrame:
+    """(series_id, d): 0 for a stationary series, 1 otherwise."""
+    return _spread(pack(prepared), "series_id").select("series_id", _unit_root("y").alias("d"))
+
+
+def _candidates(packed: DataFrame, cfg: ForecastConfig, keys: list[str]) -> DataFrame:
+    """Every key of `packed` with each candidate order and its AIC (NULL where it cannot be fitted)."""
+    grid = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(q).alias("q")) for p, q in GRID])
+    tried = packed.withColumn("d", _unit_root("y")).select(*keys, "y", "d", F.inline(grid))
+    fit = _arima_fit(cfg, 1, seasonal=False)("y", "p", "d", "q")
+    return _spread(tried, *keys, "p", "q").select(*keys, "p", "d", "q", fit["aic"].alias("aic"))
+
+
+def order_search(prepared: DataFrame, cfg: ForecastConfig) -> DataFrame:
+    """(series_id, p, d, q, aic) for all candidate orders; d from the stationarity test."""
+    return _candidates(_spread(pack(prepared), "series_id"), cfg, ["series_id"])
+
+
+def _best(tried: DataFrame, keys: list[str]) -> DataFrame:
+    """The order with the lowest AIC per key; (1, d, 1) where none could be fitted."""
+    order = F.min_by(F.struct("p", "d", "q"), F.struct(F.col("aic").isNull(), "aic", "p", "q"))
+    best = tried.groupBy(*keys).agg(order.alias("o"), F.min("aic").alias("aic"))
+    none = F.col("aic").isNull()
+    return best.select(
+        *keys, F.when(none, 1).otherwise(F.col("o.p")).alias("p"), "o.d", F.when(none, 1).otherwise(F.col("o.q")).alias("q"), "aic"
+    )
+
+
+def best_order(tried: DataFrame) -> DataFrame:
+    return _best(tried, ["series_id"])
+
+
+def _with_order(packed: DataFrame, cfg: ForecastConfig, keys: list[str]) -> DataFrame:
+    if cfg.auto_order:
+        chosen = _best(_candidates(packed, cfg, keys), keys).drop("aic")
+        return _spread(packed.join(chosen, keys), *keys)
+    p, d, q = cfg.arima_order
+    return packed.withColumns({"p": F.lit(p), "d": F.lit(d), "q": F.lit(q)})
+
+
+def _fit(packed: DataFrame, cfg: ForecastConfig, model: str, horizon: int, keys: list[str]) -> DataFrame:
+    """Keys, model, order (ARIMA) and the fit; only where the fit worked."""
+    if model == "arima":
+        rows = _with_order(packed, cfg, keys)
+        fit = _arima_fit(cfg, horizon, seasonal=True)("y", "p", "d", "q")
+        seasonal = F.concat_ws(",", *map(F.lit, (*map(str, cfg.seasonal_order), str(cfg.seasonal_period))))
+        order = F.concat(F.lit("("), F.concat_ws(",", *[F.col(c).cast("string") for c in "pdq"]), F.lit(")("), seasonal, F.lit(")"))
+    else:
+        rows, fit, order = packed, _ets_fit(cfg, horizon)("y"), F.lit(None).cast("string")
+    return (
+        rows.select(*keys, F.lit(model).alias("model"), order.alias("order"), F.size("y").alias("observations"), fit.alias("fit"))
+        .where(F.col("fit.forecast").isNotNull())
+    )
+
+
+def fit_model(prepared: DataFrame, cfg: ForecastConfig, model: str | None = None) -> DataFrame:
+    """One row per fitted series: model, order, observations and the fit (forecast, errors, criteria)."""
+    return _fit(_spread(pack(prepared), "series_id"), cfg, _single(model or cfg.model_type), cfg.horizon, ["series_id"])
+
+
+def _single(model: str) -> str:
+    return "arima" if model == "ensemble" else model
+
+
+def _members(cfg: ForecastConfig) -> list[str]:
+    if cfg.model_type == "ensemble" and not cfg.ensemble_is_arima:
+        return ["arima", "ets"]
+    return [_single(cfg.model_type)]
+
+
+def _steps(fits: DataFrame, keys: list[str], z: float) -> DataFrame:
+    value, se = F.col("s.forecast"), F.col("s.se")
+    zipped = F.arrays_zip(F.col("fit.forecast").alias("forecast"), F.col("fit.se").alias("se"))
+    return fits.select(*keys, F.posexplode(zipped).alias("i", "s")).select(
+        *keys, (F.col("i") + 1).cast("bigint").alias("step"), value.alias("forecast"), (value - z * se).alias("lower"), (value + z * se).alias("upper")
+    )
+
+
+def _combined(packed: DataFrame, cfg: ForecastConfig, horizon: int, keys: list[str]) -> DataFrame:
+    """Forecast steps of the configured model; an ensemble is the mean of its members."""
+    z = normal_quantile(cfg.confidence_level)
+    parts = [_steps(_fit(packed, cfg, m, horizon, keys), keys, z) for m in _members(cfg)]
+    if len(parts) == 1:
+        return parts[0]
+    return parts[0].unionByName(parts[1]).groupBy(*keys, "step").agg(
+        *[F.avg(c).alias(c) for c in ("forecast", "lower", "upper")]
+    )
+
+
+def forecast(prepared: DataFrame, cfg: ForecastConfig) -> DataFrame:
+    """(series_id, step, date, forecast, lower, upper, model); the moving average where no fit exists."""
+    usable = long_enough(prepared)
+    steps = _combined(_spread(pack(prepared), "series_id"), cfg, cfg.horizon, ["series_id"])
+    fallback = moving_average_forecast(prepared, cfg.horizon, cfg.confidence_level)
+    fitted = F.col("m.forecast").isNotNull()
+    return fallback.alias("f").join(steps.alias("m"), ["series_id", "step"], "left").select(
+        "series_id",
+        "step",
+        "f.date",
+        *[F.when(fitted, F.col(f"m.{c}")).otherwise(F.col(f"f.{c}")).alias(c) for c in ("forecast", "lower", "upper")],
+        F.when(fitted, F.lit(cfg.model_type)).otherwise(F.lit("moving_average")).alias("model"),
+    )
+
+
+def backtest_folds(prepared: DataFrame, cfg: ForecastConfig, test_size: int = 12, step_size: int = 1) -> DataFrame:
+    """One-step forecasts of the configured model, refitted on all points before each fold."""
+    keys = ["series_id", "pos"]
+    folds = long_enough(prepared).where(fold_filter(test_size, step_size)).select("series_id", "pos")
+    trains = folds.join(pack(prepared), "series_id").withColumn("y", F.slice("y", F.lit(1), F.col("pos")))
+    steps = _combined(_spread(trains, *keys), cfg, 1, keys)
+    simple = moving_average_folds(prepared, test_size, step_size, cfg.confidence_level)
+    fitted = F.col("m.forecast").isNotNull()
+    return simple.alias("f").join(steps.alias("m"), keys, "left").select(
+        *keys,
+        "f.date",
+        "f.actual",
+        F.when(fitted, F.col("m.forecast")).otherwise(F.col("f.predicted")).alias("predicted"),
+        *[F.when(fitted, F.col(f"m.{c}")).otherwise(F.col(f"f.{c}")).alias(c) for c in ("lower", "upper")],
+    )
+
+
+def diagnostics(prepared: DataFrame, cfg: ForecastConfig) -> DataFrame:
+    """Per series: model, order, observations, AIC, BIC, residual moments, Ljung-Box p, parameters.
+
+    A series without a fit is marked 'simple'.
+    """
+    fits = fit_model(prepared, cfg)
+    residuals = fits.select("series_id", F.posexplode("fit.residuals").alias("date", "value"))
+    moments = residuals.groupBy("series_id").agg(F.avg("value").alias("residual_mean"), F.stddev_samp("value").alias("residual_std"))
+    tested = ljung_box(residuals).select("series_id", F.col("p_value").alias("ljung_box_pvalue"))
+    params = fits.select(
+        "series_id", "model", "order", F.col("fit.aic").alias("aic"), F.col("fit.bic").alias("bic"), F.col("fit.parameters").alias("parameters")
+    )
+    sizes = long_enough(prepared).groupBy("series_id").agg(F.count(F.lit(1)).alias("observations"))
+    return (
+        sizes.join(params, "series_id", "left")
+        .join(moments, "series_id", "left")
+        .join(tested, "series_id", "left")
+        .withColumn("model", F.coalesce("model", F.lit("simple")))
+    )
