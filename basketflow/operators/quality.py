@@ -19,7 +19,6 @@ from basketflow.operators.quantiles import exact_quantiles
 from basketflow.session import BROADCAST_ROWS, materialize
 from basketflow.sources.storage import _comparable
 
-REPORT = "check STRING, severity STRING, subject STRING, value DOUBLE, threshold DOUBLE, triggered BOOLEAN, message STRING"
 
 
 def numeric_price(df: DataFrame) -> Column:
@@ -39,7 +38,7 @@ def is_missing(df: DataFrame, name: str) -> Column:
 
 def _row(check: str, severity: str, subject: str, value: Column, threshold, triggered: Column, message: Column) -> Column:
     return F.struct(
-        F.lit(check).alias("check"),
+        F.lit(check).alias("check_name"),
         F.lit(severity).alias("severity"),
         F.lit(subject).alias("subject"),
         value.cast("double").alias("value"),
@@ -191,7 +190,7 @@ def quality_summary(report: DataFrame) -> DataFrame:
 
     An empty feed yields the one error only.
     """
-    empty = F.max(F.when(F.col("check") == "empty", F.col("triggered")))
+    empty = F.max(F.when(F.col("check_name") == "empty", F.col("triggered")))
 
     def fired(severity: str, also: Column = F.lit(True)) -> Column:
         return F.array_sort(F.collect_list(F.when(F.col("triggered") & (F.col("severity") == severity) & also, F.col("message"))))
@@ -199,9 +198,9 @@ def quality_summary(report: DataFrame) -> DataFrame:
     return report.agg(
         empty.alias("_empty"),
         fired("error").alias("_errors"),
-        fired("error", F.col("check") == "empty").alias("_empty_error"),
+        fired("error", F.col("check_name") == "empty").alias("_empty_error"),
         fired("warning").alias("_warnings"),
-        F.max(F.when(F.col("check") == "outliers", F.col("value"))).cast("bigint").alias("outlier_count"),
+        F.max(F.when(F.col("check_name") == "outliers", F.col("value"))).cast("bigint").alias("outlier_count"),
     ).select(
         (F.size("_errors") == 0).alias("is_valid"),
         F.when(F.col("_empty"), F.col("_empty_error")).otherwise(F.col("_errors")).alias("errors"),

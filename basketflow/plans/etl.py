@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 from pyspark import StorageLevel
@@ -11,11 +11,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from basketflow.config import EtlConfig, QualityConfig
+from basketflow.functions.text import normalize_category
 from basketflow.operators.outliers import drop_outliers, flag_outliers
-from basketflow.operators.quality import quality_gate, quality_report, quality_summary
+from basketflow.operators.quality import InvalidData, quality_gate, quality_report, quality_summary
 from basketflow.operators.transform import transform
 from basketflow.sources import storage
-from basketflow.sources.ingest import check_records, select_sources, union_feeds, valid_records
+from basketflow.sources.ingest import check_records, incremental, select_sources, union_feeds, valid_records
 
 
 @dataclass
@@ -51,7 +52,10 @@ class RunMetrics:
 
 
 def extract(feeds: dict[str, DataFrame], cfg: EtlConfig, now: datetime, errors: list[str]) -> DataFrame:
-    """Checked records of all feeds. A feed that cannot be read is noted and the others go on."""
+    """Checked records of all feeds under their index category.
+
+    A feed that cannot be read is noted and the others go on.
+    """
     checked = []
     for name, feed in feeds.items():
         try:
@@ -60,7 +64,8 @@ def extract(feeds: dict[str, DataFrame], cfg: EtlConfig, now: datetime, errors:
             errors.append(f"Error reading {name}: {e}")
     if not checked:
         raise ValueError("no readable feed")
-    return select_sources(union_feeds(checked), list(cfg.retailers), list(cfg.categories or []))
+    wanted = select_sources(union_feeds(checked), list(cfg.retailers), list(cfg.categories or []))
+    return wanted.withColumn("category", normalize_category(F.col("retailer"), F.col("category")))
 
 
 def run(
@@ -72,40 +77,50 @@ def run(
 ) -> RunMetrics:
     """One run over the feeds. Counts come with the writes, without passes of their own."""
     metrics = RunMetrics(start_time=now)
-    run = storage.run_id(now)
     started = datetime.now()
     try:
-        raw = valid_records(extract(feeds, cfg, now, metrics.errors))
-        extracted = Observation("extracted")
-        if not storage.write_raw(raw.observe(extracted, F.count(F.lit(1)).alias("n")), cfg.raw_path, run, cfg.compression):
-            return metrics
-        landed = spark.read.parquet(cfg.raw_path).where(F.col("run_id") == run).drop("run_id")
-        panel = transform(landed).persist(StorageLevel.MEMORY_AND_DISK)
-        metrics.records_extracted = extracted.get["n"]
-        metrics.records_transformed = panel.count()
-        clean = panel
-        if cfg.validate:
-            report = quality_report(panel, now, quality)
-            summary = quality_summary(report).persist()
-            metrics.errors.extend(quality_gate(summary, cfg.on_invalid))
-            metrics.records_failed_validation = summary.first().outlier_count or 0
-            clean = drop_outliers(flag_outliers(panel, quality))
-        loaded = Observation("loaded")
-        clean = clean.withColumn("run_id", F.lit(run))
-        storage.write_prices(clean.observe(loaded, F.count(F.lit(1)).alias("n")), f"{cfg.output_path}/prices", cfg.compression)
-        storage.write_by_category(clean, f"{cfg.output_path}/by_category", cfg.compression)
-        if cfg.jdbc_url:
-            try:
-                storage.append_jdbc(clean, cfg.jdbc_url, batch_size=cfg.jdbc_batch_size)
-            except Exception as e:  # the load goes on without the database
-                metrics.errors.append(f"Error loading to database: {e}")
-        metrics.records_loaded = loaded.get["n"]
-        panel.unpersist()
+        _stages(spark, feeds, cfg, now, quality, metrics)
+    except InvalidData:
+        raise
+    except Exception as e:  # the run reports its failure instead of passing it on
+        metrics.errors.append(f"Run failed: {e}")
     finally:
         metrics.end_time = now + (datetime.now() - started)
     return metrics
 
 
+def _stages(spark, feeds, cfg: EtlConfig, now: datetime, quality: QualityConfig | None, metrics: RunMetrics) -> None:
+    run_id = storage.run_id(now)
+    extracted, loaded = Observation("extracted"), Observation("loaded")
+    n = F.count(F.lit(1)).alias("n")
+
+    raw = valid_records(extract(feeds, cfg, now, metrics.errors))
+    if not storage.write_raw(raw, cfg.raw_path, run_id, cfg.compression, extracted):
+        return
+    metrics.records_extracted = extracted.get["n"]
+    landed = spark.read.parquet(cfg.raw_path).where(F.col("run_id") == run_id).drop("run_id")
+    panel = transform(landed).persist(StorageLevel.MEMORY_AND_DISK)
+    metrics.records_transformed = panel.count()
+
+    clean = panel
+    if cfg.validate:
+        summary = quality_summary(quality_report(panel, now, quality)).persist()
+        metrics.errors.extend(quality_gate(summary, cfg.on_invalid))
+        metrics.records_failed_validation = summary.first().outlier_count or 0
+        clean = drop_outliers(flag_outliers(panel, quality))
+
+    clean = clean.withColumn("run_id", F.lit(run_id))
+    storage.write_prices(clean.observe(loaded, n), f"{cfg.output_path}/prices", cfg.compression)
+    metrics.records_loaded = loaded.get["n"]
+    storage.write_by_category(clean, f"{cfg.output_path}/by_category", cfg.compression)
+    if cfg.jdbc_url:
+        try:
+            storage.append_jdbc(clean, cfg.jdbc_url, batch_size=cfg.jdbc_batch_size)
+        except Exception as e:  # the load goes on without the database
+            metrics.errors.append(f"Error loading to database: {e}")
+    panel.unpersist()
+
+
 def run_incremental(
     spark: SparkSession,
     feeds: dict[str, DataFrame],
@@ -115,10 +130,6 @@ def run_incremental(
     categories: tuple[str, ...] | None = None,
 ) -> RunMetrics:
     """A run over rows newer than `since`, for some categories if named."""
-    from dataclasses import replace
-
-    from basketflow.sources.ingest import incremental
-
     newer = {name: incremental(feed, since) for name, feed in feeds.items()}
     return run(spark, newer, replace(cfg, categories=categories or cfg.categories), now)
 

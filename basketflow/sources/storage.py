@@ -5,21 +5,25 @@ from __future__ import annotations
 from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketflow.functions.timeparts import ts_like
+from basketflow.functions.timeparts import month_label, ts_like
 
 
 def run_id(at: datetime) -> str:
     return at.strftime("%Y%m%d_%H%M%S")
 
 
-def write_raw(df: DataFrame, path: str, run: str, compression: str = "snappy") -> bool:
-    """Raw landing, one partition per run; an empty feed writes nothing."""
+def write_raw(
+    df: DataFrame, path: str, run: str, compression: str = "snappy", count: Observation | None = None
+) -> bool:
+    """Raw landing, one partition per run; an empty feed writes nothing. `count` takes the rows written as `n`."""
     if df.isEmpty():
         return False
+    if count is not None:
+        df = df.observe(count, F.count(F.lit(1)).alias("n"))
     df.withColumn("run_id", F.lit(run)).write.mode("append").option("compression", compression).partitionBy(
         "run_id"
     ).parquet(path)
@@ -27,10 +31,13 @@ def write_raw(df: DataFrame, path: str, run: str, compression: str = "snappy") -
 
 
 def write_prices(df: DataFrame, path: str, compression: str = "snappy") -> None:
-    """Main table by run and date. The rebalance splits large dates and packs small ones."""
-    df.hint("rebalance", "run_id", "date").sortWithinPartitions("run_id", "date", "timestamp").write.mode("append").option(
-        "compression", compression
-    ).partitionBy("run_id", "date").parquet(path)
+    """Main table by run and month, files sorted by time, so that a scan skips months and row groups.
+
+    The rebalance splits a large month over many files and packs small ones.
+    """
+    df.withColumn("month", month_label(F.col("timestamp"))).hint("rebalance", "run_id", "month").sortWithinPartitions(
+        "run_id", "month", "timestamp"
+    ).write.mode("append").option("compression", compression).partitionBy("run_id", "month").parquet(path)
 
 
 def write_by_category(df: DataFrame, path: str, compression: str = "snappy") -> None:
@@ -43,12 +50,7 @@ def write_by_category(df: DataFrame, path: str, compression: str = "snappy") ->
 def read_prices(spark: SparkSession, path: str) -> DataFrame | None:
     """The stored table, unreadable files skipped; None when nothing is stored."""
     try:
-        return (
-            spark.read.option("ignoreCorruptFiles", True)
-            .option("basePath", path)
-            .schema(spark.read.parquet(path).schema)
-            .parquet(path)
-        )
+        return spark.read.option("ignoreCorruptFiles", True).parquet(path)
     except AnalysisException:
         return None
 
@@ -79,14 +81,14 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 
 
 def history_scan(df: DataFrame, start: datetime, end: datetime, category: str | None = None) -> DataFrame:
-    """Distinct rows of all runs with start <= timestamp <= end; dates prune the partitions."""
+    """Distinct rows of all runs with start <= timestamp <= end; months prune the partitions."""
     ts = F.col("timestamp")
     rows = df.where(ts.between(ts_like(df, "timestamp", start), ts_like(df, "timestamp", end)))
-    if "date" in df.columns:
-        rows = rows.where(F.col("date").between(F.lit(start.date()), F.lit(end.date())))
+    if "month" in df.columns:
+        rows = rows.where(F.col("month").between(f"{start:%Y-%m}", f"{end:%Y-%m}"))
     if category is not None:
         rows = rows.where(F.col("category") == category)
-    return distinct_rows(rows.drop("run_id"))
+    return distinct_rows(rows.drop("run_id", "month"))
 
 
 def load_prices(spark: SparkSession, path: str, data: DataFrame | None = None, latest_only: bool = False) -> DataFrame:
