@@ -80,7 +80,8 @@ res AS (SELECT as_of, CAST(n AS BIGINT) AS observation_count, CASE WHEN n > 0 TH
 
 
 def _r(*names: str, digits: int = 6) -> str:
-    return ", ".join(f"round({n}, {digits}) AS {n}" for n in names)
+    """Rounded columns; adding zero turns -0.0 into 0.0."""
+    return ", ".join(f"round({n}, {digits}) + 0.0 AS {n}" for n in names)
 
 
 INDEX_OUT = f"SELECT as_of, observation_count, {_r(*q.INDEX_COLUMNS, 'ci_lower', 'ci_upper')} FROM res"
@@ -342,7 +343,7 @@ ORACLE: dict[str, str] = {
   SELECT category, bin, round(lo + (hi - lo) / 8 * bin, 6) AS bin_start, round(lo + (hi - lo) / 8 * (bin + 1), 6) AS bin_end, count(*) AS records
   FROM binned GROUP BY category, lo, hi, bin""",
     "daily_mean_price": f"WITH {PANEL} SELECT strftime(ts, '%Y-%m-%d') AS date, round(avg(price), 6) AS avg_price FROM panel GROUP BY 1",
-    "daily_category_mean": f"WITH {PANEL} SELECT strftime(ts, '%Y-%m-%d') AS date, category, round(avg(price), 7) AS avg_price FROM panel GROUP BY 1, 2",
+    "daily_category_mean": f"WITH {PANEL} SELECT strftime(ts, '%Y-%m-%d') AS date, category, round(avg(price) + 1e-9, 6) AS avg_price FROM panel GROUP BY 1, 2",
     "weighted_daily_index": INDEX_PANEL + f" SELECT {DATE}, round(sum(price_index * weight), 6) AS weighted_index FROM index_panel GROUP BY 1",
     "selected_daily_index": INDEX_PANEL
     + f""" SELECT {DATE}, round(sum(price_index * weight), 6) AS weighted_index FROM index_panel
