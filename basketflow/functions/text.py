@@ -9,8 +9,13 @@ from pyspark.sql import functions as F
 
 from basketflow.schema import CATEGORY_MAP, DEFAULT_CATEGORY
 
-# The patterns that decide which text is a number, a URL or an id.
-NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+# White space that is stripped, letters no number text may hold (they mark NaN,
+# infinity, hexadecimal and typed literals), and the patterns of URLs and ids.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+NO_NUMBER_LETTERS = "[dDfFiInNpPxX]"
 URL_PATTERN = r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]+"
 AMAZON_ID_PATTERN = r"/dp/([A-Z0-9]{10})"
 WALMART_ID_PATTERN = r"/ip/[^/]+/(\d+)"
@@ -19,13 +24,18 @@ BASE_URLS = {"amazon": "https://www.amazon.com", "walmart": "https://www.walmart
 
 def strip_ws(c: Column) -> Column:
     """Strip every kind of white space, not blanks only."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
+
+
+def number(c: Column) -> Column:
+    """Plain decimal text to double; NULL for anything else. The cast itself strips ASCII white space."""
+    text = F.when(F.octet_length(c) == F.length(c), c).otherwise(strip_ws(c))
+    return F.when(~c.rlike(NO_NUMBER_LETTERS), text.try_cast("double"))
 
 
 def clean_price(c: Column) -> Column:
     """Price text to double: drops dollar signs and commas; NULL when not a number."""
-    text = strip_ws(F.regexp_replace(c, "[$,]", ""))
-    return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+    return number(F.replace(F.replace(c, F.lit("$")), F.lit(",")))
 
 
 def is_valid_url(c: Column) -> Column:

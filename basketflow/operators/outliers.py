@@ -14,15 +14,10 @@ from basketflow.session import join_checked
 def category_stats(df: DataFrame) -> DataFrame:
     """Per category: all rows, mean, sample deviation and exact quartiles of the price."""
     prices = df.select("category", nan_to_null(F.col("price")).alias("price"))
-    moments = (
-        prices.where(F.col("category").isNotNull())
-        .groupBy("category")
-        .agg(F.count(F.lit(1)).alias("n_rows"), F.avg("price").alias("mean"), F.stddev_samp("price").alias("sd"))
+    moments = {"n_rows": F.count(F.lit(1)), "mean": F.avg("v"), "sd": F.stddev_samp("v")}
+    return exact_quantiles(prices, ["category"], "price", [0.25, 0.75], moments).select(
+        "category", *moments, F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3")
     )
-    quartiles = exact_quantiles(prices, ["category"], "price", [0.25, 0.75]).select(
-        "category", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3")
-    )
-    return moments.join(quartiles, "category", "left")
 
 
 def flag_outliers(df: DataFrame, cfg: QualityConfig | None = None) -> DataFrame:

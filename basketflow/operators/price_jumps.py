@@ -7,6 +7,9 @@ within it are two ranks in the ordered old prices.
 
 from __future__ import annotations
 
+import math
+import sys
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,10 +20,20 @@ KEYS = ["product_id", "retailer"]
 BINS_PER_LOG = 64
 
 
-def _edge(near: Column, size: Column, threshold: float, pick) -> Column:
-    """The outermost double next to `near` that is still within the threshold of `size`."""
-    steps = F.transform(F.sequence(F.lit(-8), F.lit(8)), lambda k: near + near * k * F.lit(2.0**-53))
-    return pick(F.filter(steps, lambda old: F.abs(F.try_divide(size - old, old)) <= threshold))
+def _turns(near: Column, size: Column, threshold: float, steps: int) -> Column:
+    """Where the answer "within the threshold of `size`" turns around the edge `near`.
+
+    Rounding blurs an edge by a few units in the last place, and there the answer may turn more
+    than once, so every double next to the edge is asked. A turn from yes to no adds the old
+    prices up to it, a turn from no to yes takes them away.
+    """
+    olds = [near + near * (k * 2.0**-53) for k in range(-steps, steps + 1)]
+    within = [F.abs(F.try_divide(size - old, old)) <= threshold for old in olds]
+    rows = [
+        F.when(a & ~b, F.struct(old.alias("at"), F.col("c").alias("w"))).when(~a & b, F.struct(old.alias("at"), (-F.col("c")).alias("w")))
+        for old, a, b in zip(olds, within, within[1:])
+    ]
+    return F.array_compact(F.array(*rows))
 
 
 def _priced(df: DataFrame) -> DataFrame:
@@ -35,27 +48,30 @@ def price_jumps(new: DataFrame, old: DataFrame, cfg: QualityConfig | None = None
     past = _priced(old).distinct()
     sign, size = F.signum("price").alias("sign"), F.abs("price")
 
-    low = _edge(size / (1 + threshold), size, threshold, F.array_min)
-    # At a threshold of 1 no higher old price is ever a jump.
-    high = _edge(size / (1 - threshold), size, threshold, F.array_max) if threshold < 1 else F.lit(float("inf"))
-    probes = F.array(
-        F.struct(low.alias("at"), F.lit(0).alias("turn"), (-F.col("c")).alias("w")),
-        F.struct(high.alias("at"), F.lit(2).alias("turn"), F.col("c").alias("w")),
-    )
-    # On equal values a lower probe comes before the old prices and an upper probe after them.
-    events = (
-        past.where("price != 0").select(*KEYS, sign, size.alias("at"), F.lit(1).alias("turn"), F.lit(0).cast("bigint").alias("w"))
-    ).unionByName(fresh.where("price != 0").select(*KEYS, sign, F.inline(probes)))
+    if 0 < threshold < 1e-9:
+        raise ValueError("a threshold this small cannot be told from rounding")
+    low = _turns(size / (1 + threshold), size, threshold, 4)
+    if threshold == 0:
+        edges = low  # both edges are the new price itself
+    elif threshold < 1:
+        # The closer to 1, the softer the upper edge.
+        edges = F.concat(low, _turns(size / (1 - threshold), size, threshold, 4 + math.ceil(2 * threshold / (1 - threshold))))
+    else:
+        # At a threshold of 1 no higher old price is ever a jump.
+        edges = F.concat(low, F.array(F.struct(F.lit(sys.float_info.max).alias("at"), F.col("c").alias("w"))))
+    # On equal values an old price comes before the probe that counts up to it.
+    olds = past.where("price != 0").select(*KEYS, sign, size.alias("at"), F.lit(1).alias("old"), F.lit(0).cast("bigint").alias("w"))
+    probes = fresh.where("price != 0").select(*KEYS, sign, F.inline(edges)).withColumn("old", F.lit(0))
+    events = olds.unionByName(probes)
     events = events.withColumn("bin", F.floor(F.ln("at") * BINS_PER_LOG))
-    is_old = (F.col("turn") == 1).cast("bigint")
     # Bins of the price axis split a hot key: ranks are counted inside a bin and summed over bins.
-    bins = events.groupBy(*KEYS, "sign", "bin").agg(F.sum(is_old).alias("olds"))
+    bins = events.groupBy(*KEYS, "sign", "bin").agg(F.sum("old").alias("olds"))
     lower = W.partitionBy(*KEYS, "sign").orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
     bins = bins.withColumn("before", F.coalesce(F.sum("olds").over(lower), F.lit(0)))
-    inside = W.partitionBy(*KEYS, "sign", "bin").orderBy("at", "turn").rowsBetween(W.unboundedPreceding, 0)
+    inside = W.partitionBy(*KEYS, "sign", "bin").orderBy("at", F.col("old").desc()).rowsBetween(W.unboundedPreceding, 0)
     near = (
-        events.withColumn("rank", F.sum(is_old).over(inside))
-        .where("turn != 1")
+        events.withColumn("rank", F.sum("old").over(inside))
+        .where("old = 0")
         .join(bins.select(*KEYS, "sign", "bin", "before"), [*KEYS, "sign", "bin"])
         .groupBy(*KEYS)
         .agg(F.sum(F.col("w") * (F.col("rank") + F.col("before"))).alias("near"))

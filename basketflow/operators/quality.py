@@ -6,13 +6,13 @@ from dataclasses import dataclass
 from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketflow.config import QualityConfig
 from basketflow.functions.numeric import nan_to_null
-from basketflow.functions.text import NUMBER_PATTERN, percent_text, strip_ws
+from basketflow.functions.text import number, percent_text
 from basketflow.functions.timeparts import ts_like
 from basketflow.operators.outliers import flag_outliers
 from basketflow.operators.quantiles import exact_quantiles
@@ -25,8 +25,7 @@ def numeric_price(df: DataFrame) -> Column:
     """The price as a number; text that is no number counts as missing."""
     price = F.col("price")
     if isinstance(df.schema["price"].dataType, T.StringType):
-        text = strip_ws(price)
-        return F.when(text.rlike(NUMBER_PATTERN), text.try_cast("double"))
+        return number(price)
     return nan_to_null(price)
 
 
@@ -213,12 +212,12 @@ class InvalidData(ValueError):
     """Raised by the gate when the policy is 'raise'."""
 
 
-def quality_gate(summary: DataFrame, on_invalid: str = "record") -> list[str]:
-    """Errors of the one-row summary; raises instead when so told."""
+def quality_gate(summary: DataFrame, on_invalid: str = "record") -> Row:
+    """The one-row summary; raises instead when it holds errors and the policy is 'raise'."""
     row = summary.first()
     if row.errors and on_invalid == "raise":
         raise InvalidData("; ".join(row.errors))
-    return list(row.errors)
+    return row
 
 
 def summary_stats(df: DataFrame) -> DataFrame:
@@ -230,14 +229,10 @@ def summary_stats(df: DataFrame) -> DataFrame:
         F.countDistinct("retailer").alias("unique_retailers"),
         F.countDistinct("category").alias("categories"),
     )
-    moments = rows.groupBy("one").agg(
-        F.avg("price").alias("price_mean"),
-        F.stddev_samp("price").alias("price_std"),
-        F.min("price").alias("price_min"),
-        F.max("price").alias("price_max"),
-    )
-    median = exact_quantiles(rows, ["one"], "price", [0.5]).select("one", F.col("q")[0].alias("price_median"))
-    return counts.join(moments, "one").join(median, "one", "left").drop("one")
+    moments = {"price_mean": F.avg("v"), "price_std": F.stddev_samp("v"), "price_min": F.min("v"), "price_max": F.max("v")}
+    prices = exact_quantiles(rows, ["one"], "price", [0.5], moments)
+    prices = prices.select("one", *moments, F.col("q")[0].alias("price_median"))
+    return counts.join(prices, "one", "left").drop("one")
 
 
 @dataclass(frozen=True)

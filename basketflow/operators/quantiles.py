@@ -11,23 +11,27 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from basketflow.session import join_checked
+from basketflow.session import join_checked, materialize
 
 ACCURACY = 10_000
 HALF_WIDTH = 5 / ACCURACY
 BINS = 1_000
 
 
-def exact_quantiles(df: DataFrame, group: list[str], value: str, probs: list[float]) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, group: list[str], value: str, probs: list[float], also: dict[str, Column] | None = None
+) -> DataFrame:
     """One row per group: the group columns, `n` non-null values and `q` (array, linear interpolation).
 
-    Group keys that are NULL are left out, as are NULL values.
+    Group keys that are NULL are left out, as are NULL values. `also` names further aggregates
+    (over all rows of the group, the value being `v`) that come with the first pass.
     """
-    rows = df.where(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("v"))
+    also = also or {}
+    rows = df.select(*group, F.col(value).cast("double").alias("v"))
     for key in group:
         rows = rows.where(F.col(key).isNotNull())
     edges = [e for p in probs for e in (max(p - HALF_WIDTH, 0.0), min(p + HALF_WIDTH, 1.0))]
@@ -36,11 +40,12 @@ def exact_quantiles(df: DataFrame, group: list[str], value: str, probs: list[flo
         F.min("v").alias("lowest"),
         F.max("v").alias("highest"),
         F.percentile_approx("v", edges, ACCURACY).alias("cut"),
+        *[agg.alias(name) for name, agg in also.items()],
     )
     # A rank next to an end may lie outside the digest's bracket: open the bracket up to the end.
     lows = [F.col("lowest") if edges[2 * j] == 0 else F.col("cut")[2 * j] for j in range(len(probs))]
     highs = [F.col("highest") if edges[2 * j + 1] == 1 else F.col("cut")[2 * j + 1] for j in range(len(probs))]
-    cuts = cuts.select(*group, "n", F.array(*lows).alias("low"), F.array(*highs).alias("high"))
+    cuts, _ = materialize(cuts.select(*group, "n", F.array(*lows).alias("low"), F.array(*highs).alias("high"), *also))
 
     # Each row: its region on the axis, and its value only where it lies inside a bracket.
     v, size = F.col("v"), range(len(probs))
@@ -56,7 +61,8 @@ def exact_quantiles(df: DataFrame, group: list[str], value: str, probs: list[flo
         reversed(size),
         F.lit(None),
     )
-    placed = join_checked(rows, cuts, group, "inner").select(
+    brackets = cuts.select(*group, "low", "high")
+    placed = join_checked(rows.where(v.isNotNull()), brackets, group, "inner").select(
         *group,
         region.alias("region"),
         F.when(inside, F.coalesce(bin_no, F.lit(0))).otherwise(-1).cast("int").alias("bin"),
@@ -91,4 +97,5 @@ def exact_quantiles(df: DataFrame, group: list[str], value: str, probs: list[flo
                 lo + (hi - lo) * part
             )
         )
-    return picked.select(*group, "n", F.array(*out).alias("q"))
+    quantiles = picked.select(*group, F.array(*out).alias("q"))
+    return cuts.select(*group, "n", *also).join(quantiles, group, "left")

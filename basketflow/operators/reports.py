@@ -82,16 +82,9 @@ def distinct_values(panel: DataFrame, column: str) -> DataFrame:
 
 def describe_by_category(panel: DataFrame) -> DataFrame:
     """count, mean, std, min, quartiles and max per category, rounded to 2."""
-    moments = panel.where(F.col("category").isNotNull()).groupBy("category").agg(
-        F.count("price").alias("count"),
-        F.avg("price").alias("mean"),
-        F.stddev_samp("price").alias("std"),
-        F.min("price").alias("min"),
-        F.max("price").alias("max"),
-    )
-    q = exact_quantiles(panel, ["category"], "price", [0.25, 0.5, 0.75])
-    quartiles = q.select("category", *[F.col("q")[i].alias(name) for i, name in enumerate(("p25", "p50", "p75"))])
-    out = moments.join(quartiles, "category", "left")
+    moments = {"count": F.count("v"), "mean": F.avg("v"), "std": F.stddev_samp("v"), "min": F.min("v"), "max": F.max("v")}
+    q = exact_quantiles(panel, ["category"], "price", [0.25, 0.5, 0.75], moments)
+    out = q.select("category", *moments, *[F.col("q")[i].alias(name) for i, name in enumerate(("p25", "p50", "p75"))])
     return out.select("category", "count", *[F.round(c, 2).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 
-from pyspark import StorageLevel
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +15,7 @@ from basketflow.operators.outliers import drop_outliers, flag_outliers
 from basketflow.operators.quality import InvalidData, quality_gate, quality_report, quality_summary
 from basketflow.operators.transform import transform
 from basketflow.sources import storage
-from basketflow.sources.ingest import check_records, incremental, select_sources, union_feeds, valid_records
+from basketflow.sources.ingest import conform, incremental, select_sources, union_feeds, valid_records
 
 
 @dataclass
@@ -52,19 +51,19 @@ class RunMetrics:
 
 
 def extract(feeds: dict[str, DataFrame], cfg: EtlConfig, now: datetime, errors: list[str]) -> DataFrame:
-    """Checked records of all feeds under their index category.
+    """Conformed records of all feeds under their index category.
 
     A feed that cannot be read is noted and the others go on.
     """
-    checked = []
+    read = []
     for name, feed in feeds.items():
         try:
-            checked.append(check_records(feed, now))
+            read.append(conform(feed, now))
         except PySparkException as e:
             errors.append(f"Error reading {name}: {e}")
-    if not checked:
+    if not read:
         raise ValueError("no readable feed")
-    wanted = select_sources(union_feeds(checked), list(cfg.retailers), list(cfg.categories or []))
+    wanted = select_sources(union_feeds(read), list(cfg.retailers), list(cfg.categories or []))
     return wanted.withColumn("category", normalize_category(F.col("retailer"), F.col("category")))
 
 
@@ -89,9 +88,17 @@ def run(
     return metrics
 
 
-def _stages(spark, feeds, cfg: EtlConfig, now: datetime, quality: QualityConfig | None, metrics: RunMetrics) -> None:
+def _stages(
+    spark: SparkSession,
+    feeds: dict[str, DataFrame],
+    cfg: EtlConfig,
+    now: datetime,
+    quality: QualityConfig | None,
+    metrics: RunMetrics,
+) -> None:
+    """The stages in order; fills the metrics as they go."""
     run_id = storage.run_id(now)
-    extracted, loaded = Observation("extracted"), Observation("loaded")
+    extracted, transformed, loaded = Observation("extracted"), Observation("transformed"), Observation("loaded")
     n = F.count(F.lit(1)).alias("n")
 
     raw = valid_records(extract(feeds, cfg, now, metrics.errors))
@@ -99,14 +106,18 @@ def _stages(spark, feeds, cfg: EtlConfig, now: datetime, quality: QualityConfig
         return
     metrics.records_extracted = extracted.get["n"]
     landed = spark.read.parquet(cfg.raw_path).where(F.col("run_id") == run_id).drop("run_id")
-    panel = transform(landed).persist(StorageLevel.MEMORY_AND_DISK)
-    metrics.records_transformed = panel.count()
+
+    # Stored, not cached: the checks and both loads read it, and a lost executor costs no rerun.
+    stage = f"{cfg.output_path}/transformed/run_id={run_id}"
+    transform(landed).observe(transformed, n).write.mode("overwrite").option("compression", cfg.compression).parquet(stage)
+    metrics.records_transformed = transformed.get["n"]
+    panel = spark.read.parquet(stage)
 
     clean = panel
     if cfg.validate:
-        summary = quality_summary(quality_report(panel, now, quality)).persist()
-        metrics.errors.extend(quality_gate(summary, cfg.on_invalid))
-        metrics.records_failed_validation = summary.first().outlier_count or 0
+        checked = quality_gate(quality_summary(quality_report(panel, now, quality)), cfg.on_invalid)
+        metrics.errors.extend(checked.errors)
+        metrics.records_failed_validation = checked.outlier_count or 0
         clean = drop_outliers(flag_outliers(panel, quality))
 
     clean = clean.withColumn("run_id", F.lit(run_id))
@@ -118,7 +129,6 @@ def _stages(spark, feeds, cfg: EtlConfig, now: datetime, quality: QualityConfig
             storage.append_jdbc(clean, cfg.jdbc_url, batch_size=cfg.jdbc_batch_size)
         except Exception as e:  # the load goes on without the database
             metrics.errors.append(f"Error loading to database: {e}")
-    panel.unpersist()
 
 
 def run_incremental(
@@ -133,17 +143,3 @@ def run_incremental(
     newer = {name: incremental(feed, since) for name, feed in feeds.items()}
     return run(spark, newer, replace(cfg, categories=categories or cfg.categories), now)
 
-
-def run_metrics_row(raw: DataFrame, clean: DataFrame, failed: DataFrame) -> DataFrame:
-    """The counts of a run as one row: extracted, transformed, failed, loaded and the success rate."""
-    one = F.lit(1).alias("one")
-    n = F.count(F.lit(1))
-    counts = (
-        raw.groupBy(one).agg(n.alias("records_extracted"))
-        .join(clean.groupBy(one).agg(n.alias("records_transformed")), "one", "left")
-        .join(failed.groupBy(one).agg(n.alias("records_failed_validation")), "one", "left")
-        .na.fill(0)
-    )
-    loaded = F.col("records_transformed") - F.col("records_failed_validation")
-    rate = F.coalesce(F.try_divide(loaded, F.col("records_extracted")), F.lit(0.0))
-    return counts.drop("one").withColumns({"records_loaded": loaded, "success_rate": rate})

@@ -257,9 +257,9 @@ TRANSFORMED = f"""WITH {PANEL}, ranked AS (SELECT *, CAST(ts AS DATE) AS date, h
     PARTITION BY product_id, retailer, CAST(ts AS DATE), hour(ts)
     ORDER BY ts DESC, l_orderkey DESC, l_linenumber DESC, l_partkey DESC, l_extendedprice DESC, price DESC) AS rn FROM panel),
 last AS (SELECT * FROM ranked WHERE rn = 1)"""
-VALID_DEDUP = f"""WITH {FEED}, ranked AS (SELECT price, {CPI_CATEGORY} AS cpi, category, row_number() OVER (
-    PARTITION BY product_id, retailer, CAST(ts AS DATE), hour(ts) ORDER BY ts DESC, price DESC, quantity DESC) AS rn FROM valid),
-kept AS (SELECT lower(category) AS category, price FROM ranked WHERE rn = 1), {_outliers("kept")}"""
+VALID_DEDUP = f"""WITH {FEED}, ranked AS (SELECT price, {CPI_CATEGORY} AS category, row_number() OVER (
+    PARTITION BY product_id, retailer, CAST(ts AS DATE), hour(ts) ORDER BY ts DESC, price DESC) AS rn FROM valid),
+kept AS (SELECT category, price FROM ranked WHERE rn = 1), {_outliers("kept")}"""
 
 ORACLE: dict[str, str] = {
     "nowcast_at_date": _index(_points(q.AS_OF)) + INDEX_OUT,
@@ -297,8 +297,9 @@ ORACLE: dict[str, str] = {
     "incremental_batch": f"""WITH {EVENTS} SELECT event_id, product_id, category, price, ts AS timestamp FROM panel
   WHERE ts > TIMESTAMP '2024-01-20 12:00:00' AND category IN ('purchase', 'view')""",
     "run_metrics": VALID_DEDUP
-    + """, n AS (SELECT (SELECT count(*) FROM feed) AS e, (SELECT count(*) FROM kept) AS t, (SELECT count(*) FROM flagged WHERE is_outlier) AS f)
-  SELECT e AS records_extracted, t AS records_transformed, f AS records_failed_validation, t - f AS records_loaded, round((t - f) / e, 6) AS success_rate FROM n""",
+    + """, n AS (SELECT (SELECT count(*) FROM valid) AS e, (SELECT count(*) FROM kept) AS t, (SELECT count(*) FROM flagged WHERE is_outlier) AS f)
+  SELECT e AS records_extracted, t AS records_transformed, f AS records_failed_validation, t - f AS records_loaded, round((t - f) / e, 6) AS success_rate,
+    CAST(0 AS BIGINT) AS error_count FROM n""",
     "quality_report": _report() + " SELECT check_name, severity, subject, round(value, 6) AS value, threshold, triggered, message FROM report",
     "quality_summary": _report()
     + """ SELECT count(*) FILTER (triggered AND severity = 'error') = 0 AS is_valid,

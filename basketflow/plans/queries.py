@@ -8,12 +8,12 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketflow.config import ForecastConfig, IndexConfig
+from basketflow.config import EtlConfig, ForecastConfig, IndexConfig
 from basketflow.functions.numeric import unit_price
 from basketflow.functions.text import normalize_category, strip_ws
 from basketflow.functions.timeparts import ts_like
 from basketflow.operators import compare, models, outliers, price_index, price_jumps, quality, reports, series, transform
-from basketflow.plans.etl import run_metrics_row
+from basketflow.plans import etl
 from basketflow.schema import SUBCATEGORIES, hierarchy_table, weights_table
 from basketflow.session import work_path
 from basketflow.sources import catalog, ingest, panels, storage
@@ -64,14 +64,24 @@ def _price_columns(panel: DataFrame) -> DataFrame:
     return panel.select("product_id", "product_name", "price", "category", "retailer", "timestamp", "unit", "quantity")
 
 
-def _checked_feed(spark: SparkSession, sf: str) -> DataFrame:
-    return ingest.check_records(panels.raw_feed(spark, sf), FEED_NOW)
+def _landed_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw feed as landed: the checks read stored text, as they would from a source."""
+    path = work_path(spark, "raw")
+    storage.write_raw(panels.raw_feed(spark, sf), path, "20011105_000000")
+    return spark.read.parquet(path).drop("run_id")
+
+
+def _conformed_feed(spark: SparkSession, sf: str) -> DataFrame:
+    return ingest.conform(_landed_feed(spark, sf), FEED_NOW)
 
 
 def _feed_panel(spark: SparkSession, sf: str) -> DataFrame:
-    """The raw feed with typed columns and index categories, broken values as NULL, nothing dropped."""
-    typed = ingest.conform(panels.raw_feed(spark, sf), FEED_NOW)
-    return typed.select(
+    """The raw feed with typed columns and index categories, broken values as NULL, nothing dropped.
+
+    Stored once: the checks pass over the stored columns, not over the parsing.
+    """
+    path = work_path(spark, "feed")
+    ingest.conform(panels.raw_feed(spark, sf), FEED_NOW).select(
         "product_id",
         strip_ws(F.col("product_name")).alias("product_name"),
         "price",
@@ -80,7 +90,8 @@ def _feed_panel(spark: SparkSession, sf: str) -> DataFrame:
         "timestamp",
         "quantity",
         "rating",
-    )
+    ).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def _index_panel(spark: SparkSession, sf: str) -> DataFrame:
@@ -179,7 +190,7 @@ def official_cpi_change(spark, sf):
 
 @query
 def valid_records(spark, sf):
-    return ingest.valid_records(_checked_feed(spark, sf)).select(
+    return ingest.valid_records(_conformed_feed(spark, sf)).select(
         "product_id", "product_name", "price", "original_price", "currency", "category", "retailer", "url",
         "timestamp", "unit", "quantity", "in_stock", "rating", "review_count",
     )
@@ -187,7 +198,7 @@ def valid_records(spark, sf):
 
 @query
 def quarantine_reasons(spark, sf):
-    return ingest.quarantine_reasons(_checked_feed(spark, sf))
+    return ingest.quarantine_reasons(_conformed_feed(spark, sf))
 
 
 @query
@@ -233,10 +244,12 @@ def incremental_batch(spark, sf):
 
 @query
 def run_metrics(spark, sf):
-    raw = panels.raw_feed(spark, sf)
-    clean = transform.transform(ingest.valid_records(_checked_feed(spark, sf)), ["price", "quantity"])
-    flagged = outliers.flag_outliers(clean.select("category", "price"))
-    return _rounded(run_metrics_row(raw, clean, flagged.where("is_outlier")), "success_rate")
+    root = work_path(spark, "run")
+    cfg = EtlConfig(output_path=f"{root}/processed", raw_path=f"{root}/raw")
+    done = etl.run(spark, {"lines": _landed_feed(spark, sf)}, cfg, FEED_NOW).to_dict()
+    counts = ["records_extracted", "records_transformed", "records_failed_validation", "records_loaded", "success_rate", "error_count"]
+    schema = ", ".join(f"{c} {'DOUBLE' if c == 'success_rate' else 'BIGINT'}" for c in counts)
+    return _rounded(spark.createDataFrame([tuple(done[c] for c in counts)], schema), "success_rate")
 
 
 # --- quality

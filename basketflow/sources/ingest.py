@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketflow.functions.numeric import nan_to_null
 from basketflow.functions.text import clean_price, is_valid_url
 from basketflow.functions.timeparts import ts_like
 from basketflow.schema import PRICE_SCHEMA
@@ -41,11 +42,12 @@ def conform(raw: DataFrame, now: datetime) -> DataFrame:
             value = F.lit(None).cast(kind)
         elif name in ("price", "original_price"):
             is_text = isinstance(raw.schema[name].dataType, T.StringType)
-            value = clean_price(F.col(name)) if is_text else F.col(name).cast("double")
+            value = clean_price(F.col(name)) if is_text else nan_to_null(F.col(name))
         elif isinstance(kind, T.MapType):
             value = F.col(name).cast(kind)
         else:
             value = F.col(name).try_cast(kind)
+            value = nan_to_null(value) if isinstance(kind, T.DoubleType) else value
         if name == "timestamp":
             value = F.coalesce(value, F.lit(now.isoformat(sep=" ")).cast(kind)) if name not in have else F.when(
                 F.col(name).isNull(), F.lit(now.isoformat(sep=" ")).cast(kind)
@@ -63,51 +65,50 @@ def _optional_numbers() -> list[str]:
     return ["original_price", "quantity", "rating", "review_count"]
 
 
-def violations(df: DataFrame) -> Column:
-    """Names of the record rules a row breaks."""
+def broken_rules(df: DataFrame) -> dict[str, Column]:
+    """Record rules by name: true where a conformed row breaks the rule."""
 
     def number(name: str, ok: Column) -> Column:
         """Optional number: missing is fine, unreadable or out of range is not."""
-        unread = F.col(f"{name}_given") & F.col(name).isNull() if f"{name}_given" in df.columns else F.lit(False)
-        return unread | F.coalesce(~ok, F.lit(False))
+        given = F.coalesce(F.col(f"{name}_given"), F.lit(False)) if f"{name}_given" in df.columns else F.lit(False)
+        return ~F.coalesce(ok, ~given)
 
     def text_missing(name: str) -> Column:
         return F.coalesce(F.length(name), F.lit(0)) < 1
 
-    price = F.col("price")
-    rules = {
+    return {
         "product_id": text_missing("product_id"),
         "product_name": text_missing("product_name"),
-        "price": ~F.coalesce((price > 0) & ~F.isnan(price), F.lit(False)),
-        "original_price": number("original_price", (F.col("original_price") > 0) & ~F.isnan("original_price")),
+        "price": ~F.coalesce(F.col("price") > 0, F.lit(False)),
+        "original_price": number("original_price", F.col("original_price") > 0),
         "category": text_missing("category"),
         "retailer": text_missing("retailer"),
         "url": ~is_valid_url(F.col("url")),
         "timestamp": F.col("timestamp").isNull(),
-        "quantity": number("quantity", (F.col("quantity") > 0) & ~F.isnan("quantity")),
+        "quantity": number("quantity", F.col("quantity") > 0),
         "rating": number("rating", F.col("rating").between(0, 5)),
         "review_count": number("review_count", F.col("review_count") >= 0),
     }
-    return F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules.items()]))
 
 
-def check_records(raw: DataFrame, now: datetime) -> DataFrame:
-    """Conformed rows with the array of broken rules in `reasons`."""
-    typed = conform(raw, now)
-    return typed.select(*PRICE_SCHEMA.names, violations(typed).alias("reasons"))
+def valid_records(conformed: DataFrame) -> DataFrame:
+    """Rows that keep every rule: plain conditions, without building the list of reasons."""
+    for broken in broken_rules(conformed).values():
+        conformed = conformed.where(~broken)
+    return conformed.select(*PRICE_SCHEMA.names)
 
 
-def valid_records(checked: DataFrame) -> DataFrame:
-    return checked.where(F.size("reasons") == 0).drop("reasons")
+def quarantine(conformed: DataFrame) -> DataFrame:
+    """Rows that break a rule, with the names of the rules in `reasons`."""
+    rules = broken_rules(conformed)
+    reasons = F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules.items()]))
+    some = reduce(lambda a, b: a | b, rules.values())
+    return conformed.where(some).select(*PRICE_SCHEMA.names, reasons.alias("reasons"))
 
 
-def quarantine(checked: DataFrame) -> DataFrame:
-    return checked.where(F.size("reasons") > 0)
-
-
-def quarantine_reasons(checked: DataFrame) -> DataFrame:
+def quarantine_reasons(conformed: DataFrame) -> DataFrame:
     """How many records break each rule."""
-    return quarantine(checked).select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
+    return quarantine(conformed).select(F.explode("reasons").alias("reason")).groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
 
 
 def incremental(df: DataFrame, since: datetime | None = None, categories: list[str] | None = None) -> DataFrame:
