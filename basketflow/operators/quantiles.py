@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from basketflow.session import join_checked, materialize
 
 ACCURACY = 10_000
-HALF_WIDTH = 5 / ACCURACY
+HALF_WIDTH = 5 / ACCURACY  # five times the error of the digest
 BINS = 1_000
 
 
@@ -42,9 +42,13 @@ def exact_quantiles(
         F.percentile_approx("v", edges, ACCURACY).alias("cut"),
         *[agg.alias(name) for name, agg in also.items()],
     )
-    # A rank next to an end may lie outside the digest's bracket: open the bracket up to the end.
-    lows = [F.col("lowest") if edges[2 * j] == 0 else F.col("cut")[2 * j] for j in range(len(probs))]
-    highs = [F.col("highest") if edges[2 * j + 1] == 1 else F.col("cut")[2 * j + 1] for j in range(len(probs))]
+    # In a small group, or next to an end, a wanted rank may lie outside the digest's bracket:
+    # there the bracket is opened up to the end.
+    small = F.col("n") * HALF_WIDTH < 4
+    lows = [F.when(small | F.lit(edges[2 * j] == 0), F.col("lowest")).otherwise(F.col("cut")[2 * j]) for j in range(len(probs))]
+    highs = [
+        F.when(small | F.lit(edges[2 * j + 1] == 1), F.col("highest")).otherwise(F.col("cut")[2 * j + 1]) for j in range(len(probs))
+    ]
     cuts, _ = materialize(cuts.select(*group, "n", F.array(*lows).alias("low"), F.array(*highs).alias("high"), *also))
 
     # Each row: its region on the axis, and its value only where it lies inside a bracket.
@@ -82,7 +86,7 @@ def exact_quantiles(
         .withColumn("last", upto - 1)
     )
     position = [F.lit(p) * (F.col("n") - 1) for p in probs]
-    ranks = [(F.floor(x), F.least(F.floor(x) + 1, F.col("n") - 1)) for x in position]
+    ranks = [(F.floor(x), F.ceil(x)) for x in position]
     picks = []
     for j, pair in enumerate(ranks):
         for side, rank in zip(("lo", "hi"), pair):

@@ -19,9 +19,14 @@ def test_small_and_odd_groups(spark):
     check(spark, {"one": [5], "two": [1, 2], "four": [1, 2, 4, 9], "ties": [3] * 50, "mixed": [0] * 40 + [1] + [7] * 40, "neg": [-5, -1, 0, 2.5]})
 
 
+def test_every_length(spark):
+    rng = np.random.default_rng(1)
+    check(spark, {str(n): rng.normal(size=n) for n in (*range(1, 30), 999, 1000, 1001, 7999, 8000, 8001)}, [0.25, 0.5, 0.75])
+
+
 def test_random_groups(spark):
     rng = np.random.default_rng(7)
-    check(spark, {"normal": rng.normal(size=5000), "tail": rng.lognormal(0, 3, size=7001), "cents": rng.integers(1, 500, size=9000) / 100, "few": rng.integers(0, 3, size=4000)})
+    check(spark, {"normal": rng.normal(size=20000), "tail": rng.lognormal(0, 3, size=17001), "cents": rng.integers(1, 500, size=19000) / 100, "few": rng.integers(0, 3, size=4000)})
 
 
 def test_wide_brackets_and_few_bins(spark, monkeypatch):
