@@ -35,6 +35,13 @@ def change_from_base(value: Column, base: float = 100.0) -> Column:
     return F.when(base_col > 0, (F.try_divide(value, base_col) - 1) * 100).otherwise(F.lit(0.0))
 
 
+def correlation(x: Column, y: Column) -> Column:
+    """Pearson correlation over the pairs; NULL where a side does not vary (`corr` would fail)."""
+    both = x.isNotNull() & y.isNotNull()
+    spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
+    return F.try_divide(F.covar_pop(x, y), spread)
+
+
 def normal_quantile(confidence: float) -> float:
     """Two-sided normal quantile: 1.959964 for 0.95."""
     return NormalDist().inv_cdf((1 + confidence) / 2)

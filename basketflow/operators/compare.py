@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basketflow.config import IndexConfig
-from basketflow.functions.numeric import change_from_base
+from basketflow.functions.numeric import change_from_base, correlation
 from basketflow.operators.price_index import index_on_dates
 
 LAGS = range(-4, 5)
@@ -29,7 +29,7 @@ def comparison_metrics(aligned: DataFrame) -> DataFrame:
     """One row of error metrics, index minus official; zeros below two points."""
     diff = F.col("price_index") - F.col("cpi_value")
     metrics = {
-        "correlation": F.corr("price_index", "cpi_value"),
+        "correlation": correlation(F.col("price_index"), F.col("cpi_value")),
         "rmse": F.sqrt(F.avg(diff * diff)),
         "mae": F.avg(F.abs(diff)),
         "bias": F.avg(diff),
@@ -48,7 +48,7 @@ def lead_lag_correlation(aligned: DataFrame) -> DataFrame:
     shifted = aligned.select(
         "price_index", *[F.lag("cpi_value", lag).over(by_date).alias(f"c{i}") for i, lag in enumerate(LAGS)]
     )
-    one = shifted.agg(*[F.corr("price_index", f"c{i}").alias(f"r{i}") for i in range(len(LAGS))])
+    one = shifted.agg(*[correlation(F.col("price_index"), F.col(f"c{i}")).alias(f"r{i}") for i in range(len(LAGS))])
     rows = [F.struct(F.lit(lag).cast("bigint").alias("lag"), F.col(f"r{i}").alias("correlation")) for i, lag in enumerate(LAGS)]
     return one.select(F.inline(F.array(*rows)))
 

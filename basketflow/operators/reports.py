@@ -22,8 +22,11 @@ YELLOW_BELOW = 4.0
 
 
 def alerts(index: DataFrame, column: str = "inflation_rate") -> DataFrame:
-    """One row per fired alert: as_of, type, message, severity."""
-    rate = F.col(column)
+    """One row per fired alert: as_of, type, message, severity.
+
+    The rate is taken to nine digits, so that the noise of a sum around 100 raises no alert.
+    """
+    rate = F.round(column, 9)
 
     def alert(kind: str, text: str, fired: Column) -> Column:
         row = F.struct(

@@ -222,11 +222,11 @@ def seasonal_adjust(prepared: DataFrame, period: int = 12) -> DataFrame:
     early = F.avg("value").over(_ordered().rowsBetween(-half, half - 1))
     late = F.avg("value").over(_ordered().rowsBetween(-half + 1, half))
     pos, n = F.col("pos"), F.col("n")
-    has_trend = pos.between(half, n - 1 - half)
+    has_trend = pos.between(half, n - 1 - half) & (n >= 2 * period)
     rows = prepared.withColumn("trend", F.when(has_trend, (early + late) / 2))
     first, last = half, n - 1 - half
-    front = (pos >= first) & (pos < F.least(F.lit(first + period), last))
-    back = (pos >= F.greatest(F.lit(first), last - period)) & (pos < last)
+    front = has_trend & (pos < F.least(F.lit(first + period), last))
+    back = has_trend & (pos >= F.greatest(F.lit(first), last - period)) & (pos < last)
     lines = rows.groupBy("series_id").agg(
         *[
             fit(F.when(where, F.col("trend")), F.when(where, pos.cast("double"))).alias(f"{side}_{name}")

@@ -92,7 +92,7 @@ OFFICIAL = """official AS (
     SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS date, avg(o_totalprice) AS v FROM orders GROUP BY 1))"""
 OFFICIAL_ASOF = OFFICIAL + ", points AS (SELECT CAST(date AS TIMESTAMP) AS as_of FROM official)"
 ALIGNED = _index(OFFICIAL_ASOF) + """, aligned AS (
-  SELECT date, price_index, cpi_value FROM official JOIN res ON res.as_of = CAST(official.date AS TIMESTAMP))"""
+  SELECT date, round(price_index, 9) AS price_index, cpi_value FROM official JOIN res ON res.as_of = CAST(official.date AS TIMESTAMP))"""
 
 INDEX_PANEL = f"""WITH {PANEL}, {_base()}, {WEIGHTS},
 index_panel AS (SELECT CAST(ts AS DATE) AS date, category, exp(avg(ln(price / base_price))) * 100 AS price_index, any_value(weight) AS weight
@@ -248,10 +248,10 @@ CUT = _ts(q.CUT)
 PAIRS = f"""WITH {PANEL}, past AS (SELECT DISTINCT product_id, retailer, price AS old FROM panel WHERE ts < {CUT}),
 jumps AS (SELECT product_id, retailer, count(*) AS pairs, count(*) FILTER (abs((price - old) / old) > 0.5) AS jumps
   FROM panel JOIN past USING (product_id, retailer) WHERE ts >= {CUT} GROUP BY 1, 2)"""
-ALERTS = """SELECT as_of, 'high_inflation' AS type, 'High inflation detected: ' || printf('%.2f%%', {c}) AS message, 'warning' AS severity FROM res WHERE {c} > 5
-UNION ALL SELECT as_of, 'deflation', 'Deflation detected: ' || printf('%.2f%%', {c}), 'warning' FROM res WHERE {c} < 0"""
+ALERTS = """SELECT as_of, 'high_inflation' AS type, 'High inflation detected: ' || printf('%.2f%%', {c}) AS message, 'warning' AS severity FROM res WHERE round({c}, 9) > 5
+UNION ALL SELECT as_of, 'deflation', 'Deflation detected: ' || printf('%.2f%%', {c}), 'warning' FROM res WHERE round({c}, 9) < 0"""
 LAGS = " UNION ALL ".join(
-    f"SELECT CAST({k} AS BIGINT) AS lag, round(corr(a.price_index, b.cpi_value), 6) AS correlation FROM pos a JOIN pos b ON b.p = a.p - ({k})" for k in range(-4, 5)
+    f"SELECT CAST({k} AS BIGINT) AS lag, CASE WHEN stddev_pop(a.price_index) > 0 THEN round(corr(a.price_index, b.cpi_value), 6) END AS correlation FROM pos a JOIN pos b ON b.p = a.p - ({k})" for k in range(-4, 5)
 )
 TRANSFORMED = f"""WITH {PANEL}, ranked AS (SELECT *, CAST(ts AS DATE) AS date, hour(ts) AS hour, row_number() OVER (
     PARTITION BY product_id, retailer, CAST(ts AS DATE), hour(ts)
@@ -276,7 +276,7 @@ ORACLE: dict[str, str] = {
     "nowcast_json": _index(_points(q.AS_OF))
     + "SELECT as_of, round(price_index, 6) AS price_index, category, round(idx, 6) AS category_index FROM res JOIN cells USING (as_of) WHERE span = 'cur'",
     "cpi_comparison": ALIGNED
-    + """ SELECT count(*) AS points, round(corr(price_index, cpi_value), 6) AS correlation,
+    + """ SELECT count(*) AS points, CASE WHEN stddev_pop(price_index) > 0 THEN round(corr(price_index, cpi_value), 6) END AS correlation,
   round(sqrt(avg((price_index - cpi_value) * (price_index - cpi_value))), 6) AS rmse, round(avg(abs(price_index - cpi_value)), 6) AS mae,
   round(avg(price_index - cpi_value), 6) AS bias, round(stddev_pop(price_index - cpi_value), 6) AS tracking_error FROM aligned""",
     "lead_lag_correlation": ALIGNED + f", pos AS (SELECT *, row_number() OVER (ORDER BY date) AS p FROM aligned) {LAGS}",
@@ -343,7 +343,7 @@ ORACLE: dict[str, str] = {
   binned AS (SELECT category, lo, hi, least(CAST(floor((price - lo) / (hi - lo) * 8) AS BIGINT), 7) AS bin FROM panel JOIN ends USING (category))
   SELECT category, bin, round(lo + (hi - lo) / 8 * bin, 6) AS bin_start, round(lo + (hi - lo) / 8 * (bin + 1), 6) AS bin_end, count(*) AS records
   FROM binned GROUP BY category, lo, hi, bin""",
-    "daily_mean_price": f"WITH {PANEL} SELECT strftime(ts, '%Y-%m-%d') AS date, round(avg(price), 6) AS avg_price FROM panel GROUP BY 1",
+    "daily_mean_price": f"WITH {PANEL} SELECT strftime(ts, '%Y-%m-%d') AS date, round(avg(price) + 1e-9, 6) AS avg_price FROM panel GROUP BY 1",
     "daily_category_mean": f"WITH {PANEL} SELECT strftime(ts, '%Y-%m-%d') AS date, category, round(avg(price) + 1e-9, 6) AS avg_price FROM panel GROUP BY 1, 2",
     "weighted_daily_index": INDEX_PANEL + f" SELECT {DATE}, round(sum(price_index * weight), 6) AS weighted_index FROM index_panel GROUP BY 1",
     "selected_daily_index": INDEX_PANEL

@@ -360,16 +360,19 @@ def price_histogram(spark, sf):
     return _rounded(reports.price_histogram(panels.lineitem_panel(spark, sf)), "bin_start", "bin_end")
 
 
+def _means(means: DataFrame) -> DataFrame:
+    """Means of a few prices often end on a 5: a nudge keeps both engines off the rounding tie."""
+    return _day(_rounded(means.withColumn("avg_price", F.col("avg_price") + 1e-9), "avg_price"), "date")
+
+
 @query
 def daily_mean_price(spark, sf):
-    return _day(_rounded(reports.daily_mean_price(panels.lineitem_panel(spark, sf)), "avg_price"), "date")
+    return _means(reports.daily_mean_price(panels.lineitem_panel(spark, sf)))
 
 
 @query
 def daily_category_mean(spark, sf):
-    means = reports.daily_category_mean(panels.lineitem_panel(spark, sf))
-    # Means of a few prices often end on a 5: a nudge keeps both engines off the rounding tie.
-    return _day(_rounded(means.withColumn("avg_price", F.col("avg_price") + 1e-9), "avg_price"), "date")
+    return _means(reports.daily_category_mean(panels.lineitem_panel(spark, sf)))
 
 
 @query

@@ -18,7 +18,14 @@ OBS = "product_id STRING, category STRING, retailer STRING, price DOUBLE, timest
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.ui.showConsoleProgress": "false"}
+        "tests",
+        "local[4]",
+        **{
+            "spark.sql.shuffle.partitions": "2",
+            "spark.ui.showConsoleProgress": "false",
+            # Tiny inputs: compiling a stage costs more than running it.
+            "spark.sql.codegen.wholeStage": "false",
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -25,6 +25,11 @@ def test_one_point_gives_zeros(spark):
     assert (row.correlation, row.rmse, row.mae, row.bias, row.tracking_error) == (0.0,) * 5
 
 
+def test_a_constant_side_has_no_correlation(spark):
+    row = comparison_metrics(aligned(spark, [100, 100, 100], [1, 2, 3])).first()
+    assert row.correlation is None and row.bias == pytest.approx(98.0)
+
+
 def test_lags(spark):
     rng = np.random.default_rng(0)
     a, b = rng.normal(size=9), rng.normal(size=9)
