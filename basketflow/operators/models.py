@@ -179,7 +179,6 @@ def _combined(packed: DataFrame, cfg: ForecastConfig, horizon: int, keys: list[s
 
 def forecast(prepared: DataFrame, cfg: ForecastConfig) -> DataFrame:
     """(series_id, step, date, forecast, lower, upper, model); the moving average where no fit exists."""
-    usable = long_enough(prepared)
     steps = _combined(_spread(pack(prepared), "series_id"), cfg, cfg.horizon, ["series_id"])
     fallback = moving_average_forecast(prepared, cfg.horizon, cfg.confidence_level)
     fitted = F.col("m.forecast").isNotNull()

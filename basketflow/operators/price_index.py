@@ -214,17 +214,26 @@ def index_at(panel: DataFrame, as_ofs: list[datetime], cfg: IndexConfig) -> Data
 
 
 def index_on_dates(panel: DataFrame, dates: DataFrame, cfg: IndexConfig) -> DataFrame:
-    """Same at the midnights of a column of dates, which may come from a table."""
-    axis = dates.select(F.to_date(dates.columns[0]).cast("timestamp_ntz").alias("as_of")).distinct()
-    return price_index(day_statistics(panel, base_prices(panel, cfg)), axis, cfg)
+    """Same at the midnights of a column of dates, which may come from a table.
+
+    First and last date are read first, so that the scan skips what no window can reach.
+    """
+    axis = dates.select(F.to_date(dates.columns[0]).cast("timestamp_ntz").alias("as_of")).where("as_of IS NOT NULL").distinct()
+    first, last = axis.agg(F.min("as_of"), F.max("as_of")).first()
+    needed = panel.where(_reach(panel, first, last, cfg)) if first else panel.limit(0)
+    return price_index(day_statistics(needed, base_prices(panel, cfg)), axis, cfg)
+
+
+def _reach(panel: DataFrame, first: datetime, last: datetime, cfg: IndexConfig) -> Column:
+    """Times that a window of an as-of between first and last can hold."""
+    back = timedelta(days=max(cfg.year_days, cfg.month_days) + cfg.window_days)
+    return F.col("timestamp").between(ts_like(panel, "timestamp", first - back), ts_like(panel, "timestamp", last))
 
 
 def historical_index(panel: DataFrame, start: datetime, end: datetime, cfg: IndexConfig, freq: str = "D") -> DataFrame:
     """Index series over a date axis: date, index, rates and observation count."""
     axis = date_range(panel.sparkSession, start, end, freq).withColumnRenamed("date", "as_of")
-    ts = F.col("timestamp")
-    reach = timedelta(days=cfg.year_days + cfg.window_days)
-    needed = panel.where(ts.between(ts_like(panel, "timestamp", start - reach), ts_like(panel, "timestamp", end)))
+    needed = panel.where(_reach(panel, start, end, cfg))
     phases = _phases([start])
     stats = day_statistics(needed, base_prices(panel, cfg), phases)
     return price_index(stats, axis, cfg, phases).select(

@@ -222,17 +222,17 @@ def quality_gate(summary: DataFrame, on_invalid: str = "record") -> Row:
 
 def summary_stats(df: DataFrame) -> DataFrame:
     """One row: counts of records, products, retailers, categories; mean, median, std, min, max price."""
-    rows = df.select("product_id", "retailer", "category", numeric_price(df).alias("price"), F.lit(1).alias("one"))
-    counts = rows.groupBy("one").agg(
+    counts = df.agg(
         F.count(F.lit(1)).alias("total_records"),
         F.countDistinct("product_id").alias("unique_products"),
         F.countDistinct("retailer").alias("unique_retailers"),
         F.countDistinct("category").alias("categories"),
     )
     moments = {"price_mean": F.avg("v"), "price_std": F.stddev_samp("v"), "price_min": F.min("v"), "price_max": F.max("v")}
-    prices = exact_quantiles(rows, ["one"], "price", [0.5], moments)
-    prices = prices.select("one", *moments, F.col("q")[0].alias("price_median"))
-    return counts.join(prices, "one", "left").drop("one")
+    prices = exact_quantiles(df.select(numeric_price(df).alias("price")), [], "price", [0.5], moments)
+    return prices.select(counts.select(F.struct(*counts.columns)).scalar().alias("counts"), "*").select(
+        "counts.*", *moments, F.col("q")[0].alias("price_median")
+    )
 
 
 @dataclass(frozen=True)

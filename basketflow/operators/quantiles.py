@@ -27,8 +27,9 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per group: the group columns, `n` non-null values and `q` (array, linear interpolation).
 
-    Group keys that are NULL are left out, as are NULL values. `also` names further aggregates
-    (over all rows of the group, the value being `v`) that come with the first pass.
+    Group keys that are NULL are left out, as are NULL values. Without group columns there is one
+    row. `also` names further aggregates (over all rows of the group, the value being `v`) that
+    come with the first pass.
     """
     also = also or {}
     rows = df.select(*group, F.col(value).cast("double").alias("v"))
@@ -65,8 +66,7 @@ def exact_quantiles(
         reversed(size),
         F.lit(None),
     )
-    brackets = cuts.select(*group, "low", "high")
-    placed = join_checked(rows.where(v.isNotNull()), brackets, group, "inner").select(
+    placed = _with_brackets(rows.where(v.isNotNull()), cuts, group).select(
         *group,
         region.alias("region"),
         F.when(inside, F.coalesce(bin_no, F.lit(0))).otherwise(-1).cast("int").alias("bin"),
@@ -75,13 +75,14 @@ def exact_quantiles(
     counted = placed.groupBy(*group, "region", "bin", "v").agg(F.count(F.lit(1)).alias("c"))
     by_bin = counted.groupBy(*group, "region", "bin").agg(F.sum("c").alias("bin_c"))
     earlier = W.partitionBy(*group).orderBy("region", "bin").rowsBetween(W.unboundedPreceding, -1)
-    by_bin = by_bin.withColumn("before", F.coalesce(F.sum("bin_c").over(earlier), F.lit(0)))
+    by_bin = by_bin.withColumns(
+        {"before": F.coalesce(F.sum("bin_c").over(earlier), F.lit(0)), "n": F.sum("bin_c").over(W.partitionBy(*group))}
+    )
     within = W.partitionBy(*group, "region", "bin").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
     upto = F.col("before") + F.col("running")
     ranked = (
         counted.withColumn("running", F.sum("c").over(within))
         .join(by_bin.drop("bin_c"), [*group, "region", "bin"])
-        .join(cuts.select(*group, "n"), group)
         .withColumn("first", upto - F.col("c"))
         .withColumn("last", upto - 1)
     )
@@ -102,4 +103,14 @@ def exact_quantiles(
             )
         )
     quantiles = picked.select(*group, F.array(*out).alias("q"))
+    if not group:
+        return cuts.select("n", *also, quantiles.scalar().alias("q"))
     return cuts.select(*group, "n", *also).join(quantiles, group, "left")
+
+
+def _with_brackets(rows: DataFrame, cuts: DataFrame, group: list[str]) -> DataFrame:
+    """Rows with the brackets of their group; without groups the one row of brackets is a constant."""
+    if group:
+        return join_checked(rows, cuts.select(*group, "low", "high"), group, "inner")
+    one = cuts.first()
+    return rows.withColumns({name: F.array(*[F.lit(x).cast("double") for x in one[name]]) for name in ("low", "high")})

@@ -147,18 +147,17 @@ def kpi_row(panel: DataFrame, official: DataFrame) -> DataFrame:
     )
     newest = by_date.agg(F.max_by("idx", "date").alias("current_index"), F.max("date").alias("date"))
     before = by_date.select(F.date_add("date", 30).alias("date"), F.col("idx").alias("month_ago"))
-    last = official.agg(F.max_by("cpi_value", "date").alias("official_cpi")).withColumn("one", F.lit(1))
+    last = official.agg(F.coalesce(F.max_by("cpi_value", "date"), F.lit(100.0)).alias("v")).scalar()
     return (
         newest.join(before, "date", "left")
-        .withColumn("one", F.lit(1))
-        .join(last, "one")
+        .withColumn("official_cpi", last)
         .select(
             "date",
             "current_index",
             (F.col("current_index") - 100).alias("inflation_rate"),
             F.coalesce(pct_change(F.col("current_index"), F.col("month_ago")), F.lit(0.0)).alias("mom_change"),
-            F.coalesce("official_cpi", F.lit(100.0)).alias("official_cpi"),
-            F.abs(F.col("current_index") - F.coalesce("official_cpi", F.lit(100.0))).alias("tracking_error"),
+            "official_cpi",
+            F.abs(F.col("current_index") - F.col("official_cpi")).alias("tracking_error"),
         )
     )
 

@@ -49,15 +49,21 @@ def row_lag_change(series: DataFrame, rows: int = 365) -> DataFrame:
     return series.withColumn("change", pct_change(F.col("value"), F.lag("value", rows).over(_ordered())))
 
 
-def infer_frequency(prepared: DataFrame) -> DataFrame:
-    """(series_id, last_date, freq): 'D' when all steps are one day, else 'MS'."""
-    step = F.date_diff("date", F.lag("date").over(_ordered()))
+def profile(prepared: DataFrame) -> DataFrame:
+    """(series_id, last_date, freq, level, sd) in one aggregate.
+
+    freq is 'D' when all steps are one day, else 'MS'; level is the mean of the last 12 points,
+    sd the sample deviation of all.
+    """
+    recent = F.col("pos") >= F.col("n") - MIN_POINTS
     return (
-        prepared.withColumn("step", step)
+        prepared.withColumn("step", F.date_diff("date", F.lag("date").over(_ordered())))
         .groupBy("series_id")
         .agg(
             F.max("date").alias("last_date"),
             F.when((F.min("step") == 1) & (F.max("step") == 1), "D").otherwise("MS").alias("freq"),
+            F.avg(F.when(recent, F.col("value"))).alias("level"),
+            F.stddev_samp("value").alias("sd"),
         )
     )
 
@@ -68,28 +74,17 @@ def future_date(last_date: Column, freq: Column, step: Column) -> Column:
     return F.when(freq == "D", F.date_add(last_date, step)).otherwise(month)
 
 
-def future_axis(prepared: DataFrame, horizon: int) -> DataFrame:
-    """(series_id, step, date) for the steps after the last point."""
-    return (
-        infer_frequency(prepared)
-        .withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon))))
-        .select("series_id", "step", future_date(F.col("last_date"), F.col("freq"), F.col("step")).alias("date"))
-    )
-
-
-def moving_average_level(prepared: DataFrame) -> DataFrame:
-    """(series_id, level, sd): mean of the last 12 points, sample deviation of all."""
-    recent = F.col("pos") >= F.col("n") - MIN_POINTS
-    return prepared.groupBy("series_id").agg(
-        F.avg(F.when(recent, F.col("value"))).alias("level"), F.stddev_samp("value").alias("sd")
+def future_axis(profiles: DataFrame, horizon: int) -> DataFrame:
+    """Profiles with one row per step after the last point: `step` and its `date`."""
+    return profiles.withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(horizon)))).withColumn(
+        "date", future_date(F.col("last_date"), F.col("freq"), F.col("step"))
     )
 
 
 def moving_average_forecast(prepared: DataFrame, horizon: int = 12, confidence: float = 0.95) -> DataFrame:
     """Flat forecast at the mean of the last 12 points with a normal band."""
-    usable = long_enough(prepared)
     half = F.col("sd") * normal_quantile(confidence)
-    return future_axis(usable, horizon).join(moving_average_level(usable), SERIES).select(
+    return future_axis(profile(long_enough(prepared)), horizon).select(
         "series_id",
         F.col("step").cast("bigint").alias("step"),
         "date",
@@ -227,21 +222,21 @@ def seasonal_adjust(prepared: DataFrame, period: int = 12) -> DataFrame:
     first, last = half, n - 1 - half
     front = has_trend & (pos < F.least(F.lit(first + period), last))
     back = has_trend & (pos >= F.greatest(F.lit(first), last - period)) & (pos < last)
-    lines = rows.groupBy("series_id").agg(
-        *[
-            fit(F.when(where, F.col("trend")), F.when(where, pos.cast("double"))).alias(f"{side}_{name}")
-            for side, where in (("front", front), ("back", back))
-            for name, fit in (("slope", F.regr_slope), ("icept", F.regr_intercept))
-        ]
-    )
-    line = {s: F.col(f"{s}_icept") + F.col(f"{s}_slope") * pos for s in ("front", "back")}
-    trend = F.when(pos < first, line["front"]).when(pos > last, line["back"]).otherwise(F.col("trend"))
-    rows = rows.join(lines, SERIES).withColumn("trend", trend).withColumn("phase", pos % period)
-    factors = rows.groupBy("series_id", "phase").agg(F.avg(F.try_divide("value", "trend")).alias("raw"))
-    factors = factors.withColumn("seasonal", F.try_divide("raw", F.avg("raw").over(W.partitionBy("series_id"))))
-    factor = F.when(n >= 2 * period, F.col("seasonal")).otherwise(1.0)
-    return rows.join(factors, ["series_id", "phase"]).select(
-        "series_id", "date", "value", factor.alias("seasonal"), F.try_divide(F.col("value"), factor).alias("adjusted")
+    whole, phase = W.partitionBy("series_id"), W.partitionBy("series_id", "phase")
+
+    def line(where: Column) -> Column:
+        y, x = F.when(where, F.col("trend")), F.when(where, pos.cast("double"))
+        return F.regr_intercept(y, x).over(whole) + F.regr_slope(y, x).over(whole) * pos
+
+    rows = rows.withColumns({"front": line(front), "back": line(back), "phase": pos % period})
+    trend = F.when(pos < first, F.col("front")).when(pos > last, F.col("back")).otherwise(F.col("trend"))
+    rows = rows.withColumn("raw", F.avg(F.try_divide(F.col("value"), trend)).over(phase))
+    # Mean of the factors: each phase counts once, however many rows it has.
+    rows = rows.withColumn("share", F.col("raw") / F.count(F.lit(1)).over(phase))
+    seasonal = F.try_divide(F.col("raw"), F.sum("share").over(whole) / period)
+    rows = rows.withColumn("seasonal", F.when(n >= 2 * period, seasonal).otherwise(1.0))
+    return rows.select(
+        "series_id", "date", "value", "seasonal", F.try_divide("value", "seasonal").alias("adjusted")
     )
 
 

@@ -42,3 +42,11 @@ def test_nulls_are_left_out(spark):
     rows = [("a", 1.0), ("a", None), ("a", 3.0), (None, 9.0), ("b", None)]
     out = {r.g: r for r in exact_quantiles(spark.createDataFrame(rows, "g STRING, x DOUBLE"), ["g"], "x", [0.5]).collect()}
     assert out["a"].q == [2.0] and out["a"].n == 2 and set(out) <= {"a", "b"} and (("b" not in out) or out["b"].n == 0)
+
+
+def test_without_groups(spark):
+    values = np.random.default_rng(8).normal(size=9001)
+    df = spark.createDataFrame([(float(v),) for v in values], "x DOUBLE")
+    row = exact_quantiles(df, [], "x", [0.1, 0.5]).first()
+    assert row.n == 9001 and row.q == pytest.approx(list(np.quantile(values, [0.1, 0.5])))
+    assert exact_quantiles(df.limit(0), [], "x", [0.5]).first().q is None

@@ -39,14 +39,14 @@ def test_moving_average_forecast(spark):
 def test_daily_axis_goes_on_by_days(spark):
     days = pd.date_range("2024-01-20", periods=14, freq="D")
     p = series.prepare(spark.createDataFrame([("a", d.date(), float(i)) for i, d in enumerate(days)], SCHEMA))
-    assert [r.date for r in series.future_axis(p, 2).orderBy("step").collect()] == [date(2024, 2, 3), date(2024, 2, 4)]
-    assert series.infer_frequency(p).first().freq == "D"
+    assert [r.date for r in series.future_axis(series.profile(p), 2).orderBy("step").collect()] == [date(2024, 2, 3), date(2024, 2, 4)]
+    assert series.profile(p).first().freq == "D"
 
 
 def test_gap_in_days_counts_as_monthly(spark):
     days = [date(2024, 1, d) for d in (1, 2, 4)]
     p = series.prepare(spark.createDataFrame([("a", d, 1.0) for d in days], SCHEMA))
-    assert series.infer_frequency(p).first().freq == "MS"
+    assert series.profile(p).first().freq == "MS"
 
 
 def reference_backtest(y, test_size, step):
