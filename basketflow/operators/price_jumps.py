@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import sys
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -18,22 +19,50 @@ from basketflow.config import QualityConfig
 
 KEYS = ["product_id", "retailer"]
 BINS_PER_LOG = 64
+MASK_STEPS = 25  # masks stay below 2**53, where doubles are exact
+
+
+def _within(size: Column, old: Column, threshold: float) -> Column:
+    return F.abs(F.try_divide(size - old, old)) <= threshold
+
+
+def _run_mask(near: Column, size: Column, threshold: float, steps: int, answer: bool) -> Column:
+    """Bit k is set where the k-th double around the edge `near` gives the answer."""
+    olds = [near + near * (k * 2.0**-53) for k in range(-steps, steps + 1)]
+    bits = [F.when(_within(size, old, threshold) == answer, F.lit(1 << k)).otherwise(F.lit(0)) for k, old in enumerate(olds)]
+    return reduce(lambda a, b: a + b, bits)
 
 
 def _turns(near: Column, size: Column, threshold: float, steps: int) -> Column:
-    """Where the answer "within the threshold of `size`" turns around the edge `near`.
+    """Every place around the edge where the answer turns, for any pattern of answers.
+
+    A turn from yes to no adds the old prices up to it, a turn from no to yes takes them away.
+    """
+    olds = F.transform(F.sequence(F.lit(-steps), F.lit(steps)), lambda k: near + near * k * F.lit(2.0**-53))
+    asked = F.transform(
+        olds, lambda old: F.struct(old.alias("at"), _within(size, old, threshold).cast("bigint").alias("yes"))
+    )
+    pairs = F.zip_with(
+        F.slice(asked, 1, 2 * steps),
+        F.slice(asked, 2, 2 * steps),
+        lambda a, b: F.struct(a["at"].alias("at"), ((a["yes"] - b["yes"]) * F.col("c")).alias("w")),
+    )
+    return F.filter(pairs, lambda p: p["w"] != 0)
+
+
+def _edge(near: Column, size: Column, threshold: float, steps: int, mask: str, weight: int) -> Column:
+    """Probes of one edge: mostly a single one, behind the last bit of an unbroken run.
 
     Rounding blurs an edge by a few units in the last place, and there the answer may turn more
-    than once, so every double next to the edge is asked. A turn from yes to no adds the old
-    prices up to it, a turn from no to yes takes them away.
+    than once; then all its turns are listed.
     """
-    olds = [near + near * (k * 2.0**-53) for k in range(-steps, steps + 1)]
-    within = [F.abs(F.try_divide(size - old, old)) <= threshold for old in olds]
-    rows = [
-        F.when(a & ~b, F.struct(old.alias("at"), F.col("c").alias("w"))).when(~a & b, F.struct(old.alias("at"), (-F.col("c")).alias("w")))
-        for old, a, b in zip(olds, within, within[1:])
-    ]
-    return F.array_compact(F.array(*rows))
+    turns = _turns(near, size, threshold, steps)
+    if steps > MASK_STEPS:
+        return turns
+    run = F.bit_count(mask)
+    last = near + near * (run - 1 - steps) * F.lit(2.0**-53)
+    unbroken = F.col(mask) + 1 == F.pow(F.lit(2.0), run)
+    return F.when(unbroken, F.array(F.struct(last.alias("at"), (weight * F.col("c")).alias("w")))).otherwise(turns)
 
 
 def _priced(df: DataFrame) -> DataFrame:
@@ -50,32 +79,33 @@ def price_jumps(new: DataFrame, old: DataFrame, cfg: QualityConfig | None = None
 
     if 0 < threshold < 1e-9:
         raise ValueError("a threshold this small cannot be told from rounding")
-    low = _turns(size / (1 + threshold), size, threshold, 4)
-    if threshold == 0:
-        edges = low  # both edges are the new price itself
-    elif threshold < 1:
+    bounds = {"low": (size / (1 + threshold), 4, False, -1)}
+    if 0 < threshold < 1:  # at 0 both edges are the new price itself
         # The closer to 1, the softer the upper edge.
-        edges = F.concat(low, _turns(size / (1 - threshold), size, threshold, 4 + math.ceil(2 * threshold / (1 - threshold))))
-    else:
-        # At a threshold of 1 no higher old price is ever a jump.
-        edges = F.concat(low, F.array(F.struct(F.lit(sys.float_info.max).alias("at"), F.col("c").alias("w"))))
+        bounds["high"] = (size / (1 - threshold), 4 + math.ceil(2 * threshold / (1 - threshold)), True, 1)
+    masks, edges = {}, []
+    for mask, (near, steps, answer, weight) in bounds.items():
+        if steps <= MASK_STEPS:
+            masks[mask] = _run_mask(near, size, threshold, steps, answer)
+        edges.append(_edge(near, size, threshold, steps, mask, weight))
+    if threshold == 1:  # no higher old price is ever a jump
+        edges.append(F.array(F.struct(F.lit(sys.float_info.max).alias("at"), F.col("c").alias("w"))))
     # On equal values an old price comes before the probe that counts up to it.
     olds = past.where("price != 0").select(*KEYS, sign, size.alias("at"), F.lit(1).alias("old"), F.lit(0).cast("bigint").alias("w"))
-    probes = fresh.where("price != 0").select(*KEYS, sign, F.inline(edges)).withColumn("old", F.lit(0))
+    probes = fresh.where("price != 0").withColumns(masks).select(*KEYS, sign, F.inline(F.concat(*edges))).withColumn("old", F.lit(0))
     events = olds.unionByName(probes)
     events = events.withColumn("bin", F.floor(F.ln("at") * BINS_PER_LOG))
-    # Bins of the price axis split a hot key: ranks are counted inside a bin and summed over bins.
-    bins = events.groupBy(*KEYS, "sign", "bin").agg(F.sum("old").alias("olds"))
-    lower = W.partitionBy(*KEYS, "sign").orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
-    bins = bins.withColumn("before", F.coalesce(F.sum("olds").over(lower), F.lit(0)))
+    # Bins of the price axis split a hot key: ranks are counted inside a bin, and the old prices
+    # of the lower bins are added for the bin as a whole.
     inside = W.partitionBy(*KEYS, "sign", "bin").orderBy("at", F.col("old").desc()).rowsBetween(W.unboundedPreceding, 0)
-    near = (
+    bins = (
         events.withColumn("rank", F.sum("old").over(inside))
-        .where("old = 0")
-        .join(bins.select(*KEYS, "sign", "bin", "before"), [*KEYS, "sign", "bin"])
-        .groupBy(*KEYS)
-        .agg(F.sum(F.col("w") * (F.col("rank") + F.col("before"))).alias("near"))
+        .groupBy(*KEYS, "sign", "bin")
+        .agg(F.sum("old").alias("olds"), F.sum("w").alias("w"), F.sum(F.col("w") * F.col("rank")).alias("ranked"))
     )
+    lower = W.partitionBy(*KEYS, "sign").orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("olds").over(lower), F.lit(0))
+    near = bins.select(*KEYS, (F.col("ranked") + F.col("w") * before).alias("near")).groupBy(*KEYS).agg(F.sum("near").alias("near"))
     zero = F.col("price") == 0
     new_total = fresh.groupBy(*KEYS).agg(
         F.sum("c").alias("n"), F.coalesce(F.sum(F.when(zero, F.col("c"))), F.lit(0)).alias("n_zero")

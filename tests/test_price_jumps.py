@@ -32,7 +32,7 @@ def test_hand_made(spark):
     assert run(spark, new, old) == brute(new, old, 0.5) == {("a", "r"): (6, 3), ("b", "r"): (2, 1)}
 
 
-@pytest.mark.parametrize("threshold", [0.0, 0.1, 0.3, 0.5, 0.9, 1.0])
+@pytest.mark.parametrize("threshold", [0.0, 0.1, 0.5, 0.9, 0.99, 1.0])
 def test_against_brute_force(spark, threshold):
     rng = random.Random(5)
     grid = [k / 100 for k in range(1, 60)] + [0.0, -0.2, -0.3, 10.0, 15.0, 5.0]
