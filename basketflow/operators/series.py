@@ -261,6 +261,22 @@ def band_outline(forecast: DataFrame) -> DataFrame:
     )
 
 
+def forecast_documents(forecast: DataFrame, extra: DataFrame, name: str = "backtest") -> DataFrame:
+    """One nested row per series: model, dates, values and bounds in order, and the row of `extra`
+    (backtest metrics or diagnostics) as a struct. Arrays are as long as the horizon."""
+    rows = F.array_sort(F.collect_list(F.struct("step", "date", "forecast", "lower", "upper")))
+    documents = forecast.groupBy("series_id").agg(F.first("model").alias("model"), rows.alias("r")).select(
+        "series_id",
+        "model",
+        F.transform("r", lambda x: F.date_format(x["date"], "yyyy-MM-dd")).alias("dates"),
+        F.col("r.forecast").alias("values"),
+        F.col("r.lower").alias("confidence_lower"),
+        F.col("r.upper").alias("confidence_upper"),
+    )
+    nested = extra.select("series_id", F.struct(*[c for c in extra.columns if c != "series_id"]).alias(name))
+    return documents.join(nested, "series_id", "left")
+
+
 def forecast_band_table(forecast: DataFrame, half_width: float = 1.5) -> DataFrame:
     """Month label, forecast and a fixed band around it."""
     return forecast.select(

@@ -427,6 +427,13 @@ ORACLE: dict[str, str] = {
     + f""" SELECT series_id, {DATE}, 'history' AS kind, round(value, 6) AS value, CAST(NULL AS DOUBLE) AS lower, CAST(NULL AS DOUBLE) AS upper
   FROM prepared WHERE pos >= n - 24
   UNION ALL SELECT series_id, {DATE}, 'forecast', {_r('forecast', 'lower', 'upper')} FROM ma""",
+    "forecast_json": FOLDS
+    + f""", level AS (SELECT series_id, avg(CASE WHEN pos >= n - 12 THEN value END) AS level, stddev_samp(value) AS sd, max(date) AS last_date
+    FROM prepared WHERE n >= 12 GROUP BY 1),
+  rmse AS (SELECT series_id, sqrt(avg((actual - predicted) * (actual - predicted))) AS rmse FROM folds GROUP BY 1)
+  SELECT series_id, 'moving_average' AS model, round(rmse, 6) AS rmse, CAST(i AS BIGINT) AS i,
+    strftime(last_date + to_months(CAST(i + 1 AS INTEGER)), '%Y-%m-%d') AS date, round(level, 6) AS forecast, round(level + {Z!r} * sd, 6) AS upper
+  FROM level JOIN rmse USING (series_id), generate_series(0, 11) g(i)""",
     "stream_hourly_last": f"""WITH {EVENTS}, ranked AS (SELECT *, row_number() OVER (PARTITION BY product_id, retailer, date_trunc('hour', ts)
     ORDER BY ts DESC, event_id DESC) AS rn FROM panel)
   SELECT product_id, retailer, strftime(ts, '%Y-%m-%d %H') AS hour, price, category, event_id FROM ranked WHERE rn = 1""",

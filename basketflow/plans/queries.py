@@ -630,6 +630,27 @@ def forecast_chart_series(spark, sf):
     return _day(_rounded(chart, "value", "lower", "upper"), "date")
 
 
+@query
+def forecast_json(spark, sf):
+    prepared, path = _series(spark, sf), work_path(spark, "forecast-json")
+    ahead = series.moving_average_forecast(prepared)
+    scores = series.backtest_metrics(series.moving_average_folds(prepared), series.test_period(prepared))
+    storage.write_json(series.forecast_documents(ahead, scores), path)
+    read = spark.read.json(
+        path,
+        schema="series_id STRING, model STRING, dates ARRAY<STRING>, values ARRAY<DOUBLE>, confidence_lower ARRAY<DOUBLE>, "
+        "confidence_upper ARRAY<DOUBLE>, backtest STRUCT<rmse: DOUBLE, test_period_start: STRING>",
+    )
+    points = read.select(
+        "series_id", "model", F.col("backtest.rmse").alias("rmse"), F.posexplode(F.arrays_zip("dates", "values", "confidence_upper")).alias("i", "p")
+    )
+    out = points.select(
+        "series_id", "model", "rmse", F.col("i").cast("bigint").alias("i"), F.col("p.dates").alias("date"),
+        F.col("p.values").alias("forecast"), F.col("p.confidence_upper").alias("upper"),
+    )
+    return _rounded(out, "rmse", "forecast", "upper")
+
+
 @query
 def series_stationarity(spark, sf):
     return models.stationarity(_series(spark, sf))
