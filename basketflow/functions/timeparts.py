@@ -2,20 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Frequencies of a date axis: step of the sequence and truncation unit of its points.
-FREQUENCIES = {
-    "H": ("1 hour", None),
-    "D": ("1 day", None),
-    "W": ("7 days", None),
-    "MS": ("1 month", "month"),
-    "QS": ("3 months", "quarter"),
-    "YS": ("1 year", "year"),
-}
+# Frequencies of a date axis and the step of each.
+FREQUENCIES = {"H": "1 hour", "D": "1 day", "W": "7 days", "MS": "1 month", "QS": "3 months", "YS": "1 year"}
 
 
 def ts_like(df: DataFrame, column: str, value: datetime) -> Column:
@@ -42,16 +35,19 @@ def run_id_text(ts: Column) -> Column:
     return F.date_format(ts, "yyyyMMdd_HHmmss")
 
 
+def first_point(start: datetime, freq: str) -> datetime:
+    """Rolls forward to the next Sunday, month, quarter or year start; the time of day stays."""
+    months = {"MS": 1, "QS": 3, "YS": 12}.get(freq)
+    if freq == "W":
+        return start + timedelta(days=6 - start.weekday())
+    if months is None or (start.day == 1 and (start.month - 1) % months == 0):
+        return start
+    ahead = start.year * 12 + (start.month - 1) // months * months + months
+    return start.replace(year=ahead // 12, month=ahead % 12 + 1, day=1)
+
+
 def date_range(spark: SparkSession, start: datetime, end: datetime, freq: str = "D") -> DataFrame:
-    """One row per point of the axis. Month, quarter and year starts roll forward to the next start."""
-    step, unit = FREQUENCIES[freq]
-    first = f"TIMESTAMP_NTZ '{start:%Y-%m-%d %H:%M:%S}'"
-    last = f"TIMESTAMP_NTZ '{end:%Y-%m-%d %H:%M:%S}'"
-    if freq == "W":  # weeks end on Sundays
-        first = f"({first} + make_dt_interval(datediff(next_day(date_sub(to_date({first}), 1), 'SUN'), to_date({first}))))"
-    if unit:
-        day = f"to_date({first})"
-        floor = f"CAST(date_trunc('{unit}', {day}) AS DATE)"
-        first = f"CAST(IF({floor} = {day}, {day}, {floor} + INTERVAL {step}) AS TIMESTAMP_NTZ)"
-    axis = f"IF({first} <= {last}, sequence({first}, {last}, INTERVAL {step}), array())"
-    return spark.sql(f"SELECT explode({axis}) AS date")
+    """One row per point of the axis from the first point on, the end included."""
+    first, last = (f"TIMESTAMP_NTZ '{t:%Y-%m-%d %H:%M:%S.%f}'" for t in (first_point(start, freq), end))
+    step = FREQUENCIES[freq]
+    return spark.sql(f"SELECT explode(IF({first} <= {last}, sequence({first}, {last}, INTERVAL {step}), array())) AS date")

@@ -234,7 +234,7 @@ def historical_index(panel: DataFrame, start: datetime, end: datetime, cfg: Inde
     """Index series over a date axis: date, index, rates and observation count."""
     axis = date_range(panel.sparkSession, start, end, freq).withColumnRenamed("date", "as_of")
     needed = panel.where(_reach(panel, start, end, cfg))
-    phases = _phases([start])
+    phases = _phases([start + timedelta(hours=h) for h in range(24)] if freq == "H" else [start])
     stats = day_statistics(needed, base_prices(panel, cfg), phases)
     return price_index(stats, axis, cfg, phases).select(
         F.col("as_of").alias("date"),

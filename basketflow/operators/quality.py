@@ -17,7 +17,7 @@ from basketflow.functions.timeparts import ts_like
 from basketflow.operators.outliers import flag_outliers
 from basketflow.operators.quantiles import exact_quantiles
 from basketflow.session import BROADCAST_ROWS, materialize
-from basketflow.sources.storage import _comparable
+from basketflow.sources.storage import comparable
 
 
 
@@ -146,7 +146,7 @@ def exact_duplicates(df: DataFrame) -> DataFrame:
 
     A 64-bit row hash is counted first; only rows whose hash occurs twice are compared in full.
     """
-    keyed = df.select(F.xxhash64(*_comparable(df)).alias("_h"), *_comparable(df))
+    keyed = df.select(F.xxhash64(*comparable(df)).alias("_h"), *comparable(df))
     twice = keyed.groupBy("_h").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("_h")
     kept, rows = materialize(twice)
     suspects = keyed.join(F.broadcast(kept) if rows <= BROADCAST_ROWS else kept, "_h", "left_semi")

@@ -61,7 +61,7 @@ def latest_snapshot(df: DataFrame) -> DataFrame:
     return df.where(F.col("run_id") == newest)
 
 
-def _comparable(df: DataFrame) -> list:
+def comparable(df: DataFrame) -> list:
     """Columns as group keys; a map has no order, so it is compared as sorted JSON."""
     keys = []
     for field in df.schema:

@@ -88,6 +88,8 @@ def test_calendar(spark):
         ("MS", "2024-01-01", "2024-02-01", ["2024-01-01", "2024-02-01"]),
         ("QS", "2024-01-02", "2024-12-31", ["2024-04-01", "2024-07-01", "2024-10-01"]),
         ("W", "2024-01-01", "2024-01-15", ["2024-01-07", "2024-01-14"]),
+        ("QS", "2024-11-02", "2025-01-01", ["2025-01-01"]),
+        ("YS", "2024-02-01", "2026-01-01", ["2025-01-01", "2026-01-01"]),
         ("D", "2024-02-02", "2024-02-01", []),
     ],
 )

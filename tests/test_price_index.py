@@ -60,6 +60,7 @@ def random_panel(spark):
             "timestamp": start + minutes.astype("timedelta64[m]"),
         }
     )
+    pdf.loc[pdf.index % 3 == 0, ["product_id", "category"]] = ["hot", "grocery"]  # a third of all rows
     midnights = pdf.sample(400, random_state=1).assign(timestamp=lambda d: d.timestamp.dt.floor("D"))
     pdf = pd.concat([pdf, midnights], ignore_index=True)
     pdf["timestamp"] = pdf["timestamp"].astype("datetime64[us]")
@@ -101,6 +102,16 @@ def test_history_at_midnight_and_noon(random_panel):
         compare(result, pdf, CFG, "date")
 
 
+@pytest.mark.parametrize("freq,points", [("H", 6), ("MS", 2)])
+def test_history_at_other_steps(random_panel, freq, points):
+    pdf, sdf = random_panel
+    start = day("2025-02-10T09:30:00") if freq == "H" else day("2025-01-20T12:00:00")
+    end = start + (timedelta(hours=5) if freq == "H" else timedelta(days=45))
+    result = price_index.historical_index(sdf, start, end, CFG, freq)
+    assert result.count() == points
+    compare(result, pdf, CFG, "date")
+
+
 def test_dates_from_a_table(random_panel, spark):
     pdf, sdf = random_panel
     dates = spark.sql("SELECT DATE '2025-02-01' d UNION ALL SELECT DATE '2025-03-01' UNION ALL SELECT DATE '2025-03-01'")
