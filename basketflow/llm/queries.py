@@ -1,10 +1,29 @@
 """The registered queries of this subpackage and the SQL of those that SQL can express."""
 
+from .bpe_replay import op9_byte_bpe
 from .exact_dedup import OP4_SQL, op4_exact_dedup
+from .imatch import op6_document_fingerprints
+from .licenses import op1_license_scan
 from .ngram_join import op10_ngram_join
 from .packing import op8_best_fit_packing
 from .resample import op2_quality_classifier
+from .sharding import op3_sharding
 from .token_counts import op7_token_counts
+from .url_filter import op5_url_filter
 
-REGISTRY = {q.__name__: q for q in (op2_quality_classifier, op4_exact_dedup, op7_token_counts, op8_best_fit_packing, op10_ngram_join)}
+REGISTRY = {
+    q.__name__: q
+    for q in (
+        op1_license_scan,
+        op2_quality_classifier,
+        op3_sharding,
+        op4_exact_dedup,
+        op5_url_filter,
+        op6_document_fingerprints,
+        op7_token_counts,
+        op8_best_fit_packing,
+        op9_byte_bpe,
+        op10_ngram_join,
+    )
+}
 ORACLE = {"op4_exact_dedup": OP4_SQL}
