@@ -18,8 +18,8 @@ from .common import documents, id_text, worker_state
 from .word_bpe import blocks
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-BLOCK_BYTES = 16_000_000
-WORDS_KEPT = 400_000
+BLOCK_BYTES = 6_000_000
+WORDS_KEPT = 200_000
 # A space before something else than white space begins a word whatever stands before it. (These need not be all such.)
 _CHUNK = r" [!-~\p{L}\p{N}]"
 # Characters one of which a block of texts hardly has; it marks where chunks begin.
