@@ -8,10 +8,12 @@ import re
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Memo, documents, gram_hashes, hash64, id_text, rows_of, stash, worker_state
+from .common import Memo, documents, gram_hashes, hash64, id_text, stash, worker_state
+from .word_bpe import blocks
 
 # The hashed models have 2^BITS slots: the size of what is summed, sent to the driver and broadcast, whatever the corpus.
 BITS = 16
@@ -20,6 +22,7 @@ SAMPLE = 20_000
 # Weight of the raw model in the smoothed target model, in tokens per slot.
 PRIOR = 1.0
 BINS = 4_096
+BLOCK_BYTES = 8_000_000
 
 _RUN = re.compile(r"[^\W\d_]+|\d+")
 
@@ -39,17 +42,31 @@ def _token(chunk: str) -> tuple[int, int]:
     return hash64("".join(_RUN.findall(chunk.lower()))), hash64("\0" + _RUN.sub(_class, chunk)[:8])
 
 
-def slots(text: str, bits: int = BITS) -> np.ndarray:
-    """Slots of the text's words and of its runs of one to three word shapes, as often as they occur.
+def block_slots(texts: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Slots of the texts' words and of their runs of one to three word shapes, as often as they occur, and the number of the text that each belongs to.
 
-    A word that repeats the one before has a shape of its own.
+    Words are parted by white space. A word that repeats the one before has a shape of its own. A text's slots keep their order, whatever texts stand beside it.
     """
-    memo = worker_state("shapes", lambda: Memo(_token))
-    found = np.array(list(map(memo.__getitem__, text.split())), np.uint64).reshape(-1, 2)
-    word, shape = found[:, 0], found[:, 1].copy()
-    shape[1:][word[1:] == word[:-1]] ^= np.uint64(0x5851F42D4C957F2D)
-    hashes = np.concatenate([gram_hashes(word, 1), *(gram_hashes(shape, n) for n in (1, 2, 3))])
-    return (hashes >> np.uint64(64 - bits)).astype(np.int64)
+    split = pc.utf8_split_whitespace(texts)
+    coded = split.flatten().dictionary_encode()
+    owner = np.repeat(np.arange(len(texts)), np.diff(np.asarray(split.offsets)))
+    memo = worker_state("shapes", lambda: Memo(_token, 250_000))
+    made = np.array([memo[c] for c in coded.dictionary.to_pylist()] or [(0, 0)], np.uint64)
+    codes = np.asarray(coded.indices)
+    empty = coded.dictionary.index("").as_py()  # beside white space at an end
+    if empty >= 0:
+        codes, owner = codes[codes != empty], owner[codes != empty]
+    if not len(codes):
+        return np.empty(0, np.int64), owner
+    word, shape = made[codes, 0], made[codes, 1]
+    repeats = (word[1:] == word[:-1]) & (owner[1:] == owner[:-1])
+    shape[1:][repeats] ^= np.uint64(0x5851F42D4C957F2D)
+    hashes, owners = [gram_hashes(word, 1)], [owner]
+    for n in (1, 2, 3):
+        inside = owner[n - 1 :] == owner[: len(owner) - n + 1]
+        hashes.append(gram_hashes(shape, n)[inside])
+        owners.append(owner[: len(inside)][inside])
+    return (np.concatenate(hashes) >> np.uint64(64 - bits)).astype(np.int64), np.concatenate(owners)
 
 
 def labelled(labels: DataFrame, limit: int = SAMPLE) -> DataFrame:
@@ -73,24 +90,11 @@ def ratio_table(docs: DataFrame, sample: DataFrame, bits: int = BITS, prior: flo
 
     def count(batches):
         held = np.zeros((2, 1 << bits), np.int64)
-        waiting, size = ([], []), 0
-
-        def add():
-            for total, found in zip(held, waiting):
-                if found:
-                    total += np.bincount(np.concatenate(found), minlength=1 << bits)
-                    found.clear()
-
-        for text, target in rows_of(batches, "text", "target"):
-            found = slots(text, bits)
-            waiting[0].append(found)
-            if target:
-                waiting[1].append(found)
-            size += len(found)
-            if size > 1_000_000:
-                add()
-                size = 0
-        add()
+        for batch in blocks(batches, limit=BLOCK_BYTES):
+            found, owner = block_slots(batch.column("text"), bits)
+            target = np.asarray(batch.column("target").to_pylist(), bool)
+            held[0] += np.bincount(found, minlength=1 << bits)
+            held[1] += np.bincount(found[target[owner]], minlength=1 << bits)
         at = np.flatnonzero(held[0])
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(held[0][at]), pa.array(held[1][at])], names=["slot", "raw", "target"])
 
@@ -109,7 +113,11 @@ def log_weight(table: np.ndarray):
 
     @F.pandas_udf("double")
     def score(text: pd.Series) -> pd.Series:
-        return pd.Series([round(float(table[slots(t or "", bits)].sum()), 9) for t in text], dtype="float64")
+        out = []
+        for batch in blocks([pa.RecordBatch.from_arrays([pa.array(text.fillna(""), pa.string())], names=["text"])], limit=BLOCK_BYTES):
+            found, owner = block_slots(batch.column("text"), bits)
+            out.append(np.bincount(owner, weights=table[found], minlength=len(batch)))
+        return pd.Series(np.round(np.concatenate(out), 9) if out else [], dtype="float64")
 
     return score
 

@@ -1,11 +1,12 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF
 from pyspark.sql import functions as F
 
-from basketflow.llm.resample import cut_between, keep_sampled, kth_largest, labelled, quality_sample, ratio_table, slots
+from basketflow.llm.resample import block_slots, cut_between, keep_sampled, kth_largest, labelled, log_weight, quality_sample, ratio_table
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -23,7 +24,7 @@ def test_table_is_the_ratio_of_counts(spark, docs):
     good = {r.doc_id for r in sample.collect() if r.half == 0 and r.quality == 1}
     counts = np.zeros((2, 256))
     for r in docs.collect():
-        found = np.bincount(slots(r.text, 8), minlength=256)
+        found = np.bincount(block_slots(pa.array([r.text]), 8)[0], minlength=256)
         counts[0] += found
         counts[1] += found * (r.doc_id in good)
     raw = (counts[0] + 0.5) / (counts[0] + 0.5).sum()
@@ -68,3 +69,18 @@ def test_stage_agrees_with_the_operator(spark, docs):
     kept = keep_sampled(spark, docs, SF)
     expected = {r.doc_id for r in quality_sample(docs, spark.read.parquet(f"{SF}/labels.parquet")).filter("kept").collect()}
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == expected
+
+
+def test_slots_of_a_text_do_not_depend_on_its_neighbours():
+    texts = ["", "One  two two THREE!!", " \n ", "x", "\u3000a b c a b c", "b", "a b"]
+    found, owner = block_slots(pa.array(texts), 16)
+    for i, text in enumerate(texts):
+        assert block_slots(pa.array([text]), 16)[0].tolist() == found[owner == i].tolist()
+        n = len(text.split())
+        assert (owner == i).sum() == n + sum(max(0, n - k) for k in range(3))
+
+
+def test_weight_sums_the_table(spark, docs):
+    table = np.linspace(-1, 1, 256)
+    for r in docs.limit(20).select("text", log_weight(table)("text").alias("w")).collect():
+        assert abs(r.w - table[block_slots(pa.array([r.text]), 8)[0]].sum()) < 1e-6
