@@ -39,7 +39,8 @@ def _class(run: re.Match) -> str:
 
 def _token(chunk: str) -> tuple[int, int]:
     """Hash of the chunk's letters and digits, and of its shape: cases, digits, punctuation."""
-    return hash64("".join(_RUN.findall(chunk.lower()))), hash64("\0" + _RUN.sub(_class, chunk)[:8])
+    shapes = worker_state("shape-hashes", lambda: Memo(hash64, 50_000))
+    return hash64("".join(_RUN.findall(chunk.lower()))), shapes["\0" + _RUN.sub(_class, chunk)[:8]]
 
 
 def block_slots(texts: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
