@@ -182,7 +182,7 @@ class ByteBpe:
 def byte_bpe(path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> ByteBpe:
     """The tokenizer of a file, kept as long as the Python worker."""
     path = path or public_tokenizers.path(RANKS)
-    return worker_state(f"byte-bpe {path} {pattern}", lambda: ByteBpe(path, pattern))
+    return worker_state("byte-bpe", f"{path} {pattern}", lambda: ByteBpe(path, pattern))
 
 
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:

@@ -19,7 +19,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__.rpartition(".")[0]])
 
 _WORD = re.compile(r"\w+")
 # Entries that a worker's memo may hold before it starts anew.
-MEMO_ENTRIES = 500_000
+MEMO_ENTRIES = 250_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,9 +56,12 @@ class Memo(dict):
         return value
 
 
-def worker_state(name: str, make: Callable):
-    """An object that lives as long as the Python worker, which Spark reuses for later tasks."""
+def worker_state(operator: str, name: str, make: Callable):
+    """An object that lives in the Python worker, which Spark reuses for later tasks, until another operator asks for one of its own."""
     held = sys.__dict__.setdefault("_basketflow_llm", {})
+    if held.get("operator") != operator:
+        held.clear()
+        held["operator"] = operator
     if name not in held:
         held[name] = make()
     return held[name]
@@ -71,7 +74,7 @@ def hash64(word: str) -> int:
 def word_hashes(text: str) -> np.ndarray:
     """64-bit hashes of the words, in order."""
     found = words(text)
-    memo = worker_state("hashes", lambda: Memo(hash64))
+    memo = worker_state("words", "hashes", lambda: Memo(hash64))
     return np.fromiter(map(memo.__getitem__, found), np.uint64, len(found))
 
 

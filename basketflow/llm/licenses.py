@@ -182,7 +182,7 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] | None = Non
     templates = TEMPLATES if templates is None else templates
 
     def run(batches):
-        scanner = worker_state(f"licenses {hash(tuple(templates))} {threshold}", lambda: Scanner(templates, threshold))
+        scanner = worker_state("licenses", f"{hash(tuple(templates))} {threshold}", lambda: Scanner(templates, threshold))
         for batch in blocks(batches):
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):

@@ -22,7 +22,7 @@ SAMPLE = 20_000
 # Weight of the raw model in the smoothed target model, in tokens per slot.
 PRIOR = 1.0
 BINS = 4_096
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 4_000_000
 
 _RUN = re.compile(r"[^\W\d_]+|\d+")
 
@@ -39,7 +39,7 @@ def _class(run: re.Match) -> str:
 
 def _token(chunk: str) -> tuple[int, int]:
     """Hash of the chunk's letters and digits, and of its shape: cases, digits, punctuation."""
-    shapes = worker_state("shape-hashes", lambda: Memo(hash64, 50_000))
+    shapes = worker_state("quality", "shapes", lambda: Memo(hash64, 50_000))
     return hash64("".join(_RUN.findall(chunk.lower()))), shapes["\0" + _RUN.sub(_class, chunk)[:8]]
 
 
@@ -51,7 +51,7 @@ def block_slots(texts: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarr
     split = pc.utf8_split_whitespace(texts)
     coded = split.flatten().dictionary_encode()
     owner = np.repeat(np.arange(len(texts)), np.diff(np.asarray(split.offsets)))
-    memo = worker_state("shapes", lambda: Memo(_token, 250_000))
+    memo = worker_state("quality", "tokens", lambda: Memo(_token, 150_000))
     made = np.array([memo[c] for c in coded.dictionary.to_pylist()] or [(0, 0)], np.uint64)
     codes = np.asarray(coded.indices)
     empty = coded.dictionary.index("").as_py()  # beside white space at an end

@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 from .common import Memo, worker_state
 
 WORD_BPE = "word_bpe_49k.json"
-BLOCK_BYTES = 32_000_000
+BLOCK_BYTES = 16_000_000
 # Chunks of these characters are lower-cased and parted here; the library alone handles all others.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 _PRETOKEN = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
@@ -106,7 +106,7 @@ class WordBpe:
 def word_bpe(path: str | None = None) -> WordBpe:
     """The tokenizer of a file, kept as long as the Python worker."""
     path = path or public_tokenizers.path(WORD_BPE)
-    return worker_state(f"word-bpe {path}", lambda: WordBpe(path))
+    return worker_state("word-bpe", path, lambda: WordBpe(path))
 
 
 def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
@@ -117,7 +117,9 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
         for i, size in enumerate(sizes):
             if held and held + size > limit:
                 yield batch.slice(start, i - start)
+                pa.default_memory_pool().release_unused()
                 start, held = i, 0
             held += int(size)
         if len(sizes) > start:
             yield batch.slice(start)
+            pa.default_memory_pool().release_unused()
