@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
 import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,7 +68,7 @@ def worker_state(operator: str, name: str, make: Callable):
 
 
 def hash64(word: str) -> int:
-    return int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+    return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
 
 
 def word_hashes(text: str) -> np.ndarray:

@@ -27,20 +27,26 @@ BLOCK_BYTES = 4_000_000
 _RUN = re.compile(r"[^\W\d_]+|\d+")
 
 
-def _class(run: re.Match) -> str:
+def _case(letters: str) -> str:
     """A letter for the case of a run of letters, 9 for digits."""
-    found = run[0]
-    if found.isdigit():
-        return "9"
-    if found.islower():
+    if letters.islower():
         return "a"
-    return "B" if len(found) == 1 or found[1:].islower() else "A" if found.isupper() else "b"
+    if letters.isdigit():
+        return "9"
+    return "B" if len(letters) == 1 or letters[1:].islower() else "A" if letters.isupper() else "b"
+
+
+def _tokens() -> Memo:
+    """Chunk to (hash of its letters and digits, hash of its shape: cases, digits, punctuation)."""
+    shapes = Memo(lambda shape: hash64("\0" + shape[:8]), 50_000)
 
+    def token(chunk: str) -> tuple[int, int]:
+        stem, mark = (chunk[:-1], chunk[-1]) if chunk[-1:] in (".", ",") else (chunk, "")
+        if stem.isalpha():  # most chunks
+            return hash64(stem.lower()), shapes[_case(stem) + mark]
+        return hash64("".join(_RUN.findall(chunk.lower()))), shapes[_RUN.sub(lambda run: _case(run[0]), chunk)]
 
-def _token(chunk: str) -> tuple[int, int]:
-    """Hash of the chunk's letters and digits, and of its shape: cases, digits, punctuation."""
-    shapes = worker_state("quality", "shapes", lambda: Memo(hash64, 50_000))
-    return hash64("".join(_RUN.findall(chunk.lower()))), shapes["\0" + _RUN.sub(_class, chunk)[:8]]
+    return Memo(token, 200_000)
 
 
 def block_slots(texts: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
@@ -51,7 +57,7 @@ def block_slots(texts: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarr
     split = pc.utf8_split_whitespace(texts)
     coded = split.flatten().dictionary_encode()
     owner = np.repeat(np.arange(len(texts)), np.diff(np.asarray(split.offsets)))
-    memo = worker_state("quality", "tokens", lambda: Memo(_token, 150_000))
+    memo = worker_state("quality", "tokens", _tokens)
     made = np.array([memo[c] for c in coded.dictionary.to_pylist()] or [(0, 0)], np.uint64)
     codes = np.asarray(coded.indices)
     empty = coded.dictionary.index("").as_py()  # beside white space at an end

@@ -41,7 +41,7 @@ class WordBpe:
         self.special = re.compile("|".join(re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()) or "(?!)")
         self.packed = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size())]
         self.proven = self._prove()
-        self.memo = Memo(self._merge)
+        self.memo = Memo(self._merge, 450_000)
 
     def _prove(self) -> dict[str, bytes]:
         byte = {c: b for b, c in enumerate(self.letters)}
