@@ -19,7 +19,6 @@ def _require(ok: bool, message: str) -> None:
 class IndexConfig:
     base_period: datetime = datetime(2023, 1, 1)
     base_days: int = 30
-    base_fallback_rows: int = 1000
     window_days: int = 7
     month_days: int = 30
     year_days: int = 365

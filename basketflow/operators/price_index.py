@@ -26,15 +26,16 @@ KEYS = ["category", "product_id"]
 def base_prices(panel: DataFrame, cfg: IndexConfig) -> DataFrame:
     """Mean price per product and category in the base period.
 
-    With nothing in the period, the earliest rows stand in; the probe stops at the first hit.
+    With nothing in the period, a period of the same length from the earliest row stands in, with all of its
+    rows; the probe stops at the first hit.
     """
     ts = F.col("timestamp")
     start = ts_like(panel, "timestamp", cfg.base_period)
     end = ts_like(panel, "timestamp", cfg.base_period + timedelta(days=cfg.base_days))
     rows = panel.where((ts >= start) & (ts < end))
     if rows.isEmpty():
-        order = ["timestamp", "product_id", "retailer", "price"]
-        rows = panel.orderBy(*order).limit(cfg.base_fallback_rows)
+        earliest = panel.agg(F.min("timestamp")).first()[0]
+        rows = panel.where((ts >= F.lit(earliest)) & (ts < F.lit(earliest) + F.make_dt_interval(F.lit(cfg.base_days))))
     return rows.groupBy(*KEYS).agg(F.avg(nan_to_null(F.col("price"))).alias("base_price"))
 
 

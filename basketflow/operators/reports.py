@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketflow.config import IndexConfig
-from basketflow.functions.numeric import pct_change
+from basketflow.functions.numeric import nan_to_null, pct_change
 from basketflow.functions.timeparts import month_label
 from basketflow.operators.quantiles import exact_quantiles
 from basketflow.schema import weights_table
@@ -53,12 +53,18 @@ def latest_slice(df: DataFrame) -> DataFrame:
     return df.where(F.col("date") == F.lit(newest))
 
 
+def _mean_price() -> Column:
+    """Mean over prices as decimals of eight digits: exact sums, so the order of rows leaves no trace."""
+    price = nan_to_null(F.col("price")).cast("decimal(20,8)")
+    return (F.sum(price).cast("double") / F.count(price)).alias("avg_price")
+
+
 def daily_mean_price(panel: DataFrame) -> DataFrame:
-    return panel.groupBy(F.to_date("timestamp").alias("date")).agg(F.avg("price").alias("avg_price"))
+    return panel.groupBy(F.to_date("timestamp").alias("date")).agg(_mean_price())
 
 
 def daily_category_mean(panel: DataFrame) -> DataFrame:
-    return panel.groupBy(F.to_date("timestamp").alias("date"), "category").agg(F.avg("price").alias("avg_price"))
+    return panel.groupBy(F.to_date("timestamp").alias("date"), "category").agg(_mean_price())
 
 
 def category_distribution(panel: DataFrame) -> DataFrame:
@@ -86,7 +92,7 @@ def distinct_values(panel: DataFrame, column: str) -> DataFrame:
 def describe_by_category(panel: DataFrame) -> DataFrame:
     """count, mean, std, min, quartiles and max per category, rounded to 2."""
     moments = {"count": F.count("v"), "mean": F.avg("v"), "std": F.stddev_samp("v"), "min": F.min("v"), "max": F.max("v")}
-    q = exact_quantiles(panel, ["category"], "price", [0.25, 0.5, 0.75], moments)
+    q = exact_quantiles(panel.withColumn("price", nan_to_null(F.col("price"))), ["category"], "price", [0.25, 0.5, 0.75], moments)
     out = q.select("category", *moments, *[F.col("q")[i].alias(name) for i, name in enumerate(("p25", "p50", "p75"))])
     return out.select("category", "count", *[F.round(c, 2).alias(c) for c in ("mean", "std", "min", "p25", "p50", "p75", "max")])
 
@@ -96,7 +102,7 @@ def price_histogram(panel: DataFrame, bins: int = 8) -> DataFrame:
 
     A category with one price only gets the range of half a unit to both sides.
     """
-    rows = panel.where(F.col("category").isNotNull() & F.col("price").isNotNull()).select("category", "price")
+    rows = panel.withColumn("price", nan_to_null(F.col("price"))).where(F.col("category").isNotNull() & F.col("price").isNotNull()).select("category", "price")
     ends = rows.groupBy("category").agg(F.min("price").alias("lo"), F.max("price").alias("hi"))
     flat = F.col("lo") == F.col("hi")
     ends = ends.select(

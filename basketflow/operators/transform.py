@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from basketflow.functions.numeric import unit_price
 from basketflow.functions.text import strip_ws
 from basketflow.functions.timeparts import calendar_columns
+from basketflow.sources.storage import comparable
 
 HOUR_KEY = ["product_id", "retailer", "date", "hour"]
 
@@ -41,7 +42,10 @@ def add_price_change(df: DataFrame) -> DataFrame:
 
 
 def transform(df: DataFrame, tie_breakers: list[str] | None = None) -> DataFrame:
-    """Enrich, clean and deduplicate. Rows are sorted at the sink only, within its files."""
+    """Enrich, clean and deduplicate. Rows are sorted at the sink only, within its files.
+
+    Rows of one timestamp are ordered by the tie-breakers, then by all columns (maps as sorted JSON), so that chance decides nothing.
+    """
     df = parse_timestamp(df).withColumns(calendar_columns(F.col("timestamp")))
     normalized = F.col("price")
     if {"unit", "quantity"} <= set(df.columns):
@@ -53,5 +57,5 @@ def transform(df: DataFrame, tie_breakers: list[str] | None = None) -> DataFrame
             "category": strip_ws(F.lower("category")),
         }
     )
-    order = ["timestamp", *(tie_breakers or ["price", "product_name", "category"])]
-    return add_price_change(keep_last(df, HOUR_KEY, order))
+    order = ["timestamp", *(tie_breakers or ["price", "product_name", "category"]), "_row"]
+    return add_price_change(keep_last(df.withColumn("_row", F.to_json(F.struct(*comparable(df)))), HOUR_KEY, order).drop("_row"))

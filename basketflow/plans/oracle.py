@@ -41,7 +41,7 @@ def _base(start: datetime = q.BASE, days: int = 30) -> str:
 
 
 FALLBACK_BASE = """base AS (SELECT product_id, category, avg(price) AS base_price FROM
-  (SELECT * FROM panel ORDER BY ts, product_id, retailer, price LIMIT 1000) GROUP BY 1, 2)"""
+  (SELECT * FROM panel WHERE ts < (SELECT min(ts) FROM panel) + INTERVAL 30 DAY) GROUP BY 1, 2)"""
 
 
 def _points(*times: datetime) -> str:
@@ -343,8 +343,8 @@ ORACLE: dict[str, str] = {
   binned AS (SELECT category, lo, hi, least(CAST(floor((price - lo) / (hi - lo) * 8) AS BIGINT), 7) AS bin FROM panel JOIN ends USING (category))
   SELECT category, bin, round(lo + (hi - lo) / 8 * bin, 6) AS bin_start, round(lo + (hi - lo) / 8 * (bin + 1), 6) AS bin_end, count(*) AS records
   FROM binned GROUP BY category, lo, hi, bin""",
-    "daily_mean_price": f"WITH {PANEL} SELECT strftime(ts, '%Y-%m-%d') AS date, round(avg(price) + 1e-9, 6) AS avg_price FROM panel GROUP BY 1",
-    "daily_category_mean": f"WITH {PANEL} SELECT strftime(ts, '%Y-%m-%d') AS date, category, round(avg(price) + 1e-9, 6) AS avg_price FROM panel GROUP BY 1, 2",
+    "daily_mean_price": f"WITH {PANEL} SELECT strftime(ts, '%Y-%m-%d') AS date, CAST(sum(CAST(price AS DECIMAL(20,8))) AS DOUBLE) / count(price) AS avg_price FROM panel GROUP BY 1",
+    "daily_category_mean": f"WITH {PANEL} SELECT strftime(ts, '%Y-%m-%d') AS date, category, CAST(sum(CAST(price AS DECIMAL(20,8))) AS DOUBLE) / count(price) AS avg_price FROM panel GROUP BY 1, 2",
     "weighted_daily_index": INDEX_PANEL + f" SELECT {DATE}, round(sum(price_index * weight), 6) AS weighted_index FROM index_panel GROUP BY 1",
     "selected_daily_index": INDEX_PANEL
     + f""" SELECT {DATE}, round(sum(price_index * weight), 6) AS weighted_index FROM index_panel
@@ -374,7 +374,7 @@ ORACLE: dict[str, str] = {
   SELECT category, subcategory, count(*) AS records, round(sum(l_extendedprice), 2) AS amount FROM lines JOIN bridge USING (subcategory) GROUP BY 1, 2""",
     "panel_preview": f"WITH {PANEL} SELECT ts AS timestamp, product_id, retailer, price, category FROM panel ORDER BY ts, product_id, retailer, price LIMIT 10",
     "source_categories": f"WITH {CATALOG} SELECT DISTINCT retailer, category FROM catalog",
-    "category_scan": f"WITH {CATALOG} {LISTING} WHERE rn <= 100",
+    "category_scan": f"WITH {CATALOG} {LISTING}",
     "top_products": f"WITH {CATALOG} {LISTING} WHERE retailer = 'Walmart' AND lower(category) = 'grocery' AND rn <= 10",
     "product_lookup": f"""WITH {FEED}, {CATALOG}, ids AS (SELECT retailer, url, CASE WHEN retailer = 'Amazon' THEN nullif(regexp_extract(url, '/dp/([A-Z0-9]{{10}})', 1), '')
     ELSE nullif(regexp_extract(url, '/ip/[^/]+/(\\d+)', 1), '') END AS id FROM feed),

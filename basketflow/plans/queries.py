@@ -8,11 +8,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketflow.config import EtlConfig, ForecastConfig, IndexConfig
+from basketflow.config import EtlConfig, IndexConfig
 from basketflow.functions.numeric import unit_price
 from basketflow.functions.text import normalize_category, strip_ws
 from basketflow.functions.timeparts import ts_like
-from basketflow.operators import compare, models, outliers, price_index, price_jumps, quality, reports, series, transform
+from basketflow.operators import compare, outliers, price_index, price_jumps, quality, reports, series, transform
 from basketflow.plans import etl
 from basketflow.schema import SUBCATEGORIES, hierarchy_table, weights_table
 from basketflow.session import work_path
@@ -360,19 +360,14 @@ def price_histogram(spark, sf):
     return _rounded(reports.price_histogram(panels.lineitem_panel(spark, sf)), "bin_start", "bin_end")
 
 
-def _means(means: DataFrame) -> DataFrame:
-    """Means of a few prices often end on a 5: a nudge keeps both engines off the rounding tie."""
-    return _day(_rounded(means.withColumn("avg_price", F.col("avg_price") + 1e-9), "avg_price"), "date")
-
-
 @query
 def daily_mean_price(spark, sf):
-    return _means(reports.daily_mean_price(panels.lineitem_panel(spark, sf)))
+    return _day(reports.daily_mean_price(panels.lineitem_panel(spark, sf)), "date")
 
 
 @query
 def daily_category_mean(spark, sf):
-    return _means(reports.daily_category_mean(panels.lineitem_panel(spark, sf)))
+    return _day(reports.daily_category_mean(panels.lineitem_panel(spark, sf)), "date")
 
 
 @query
@@ -651,63 +646,6 @@ def forecast_json(spark, sf):
     return _rounded(out, "rmse", "forecast", "upper")
 
 
-@query
-def series_stationarity(spark, sf):
-    return models.stationarity(_series(spark, sf))
-
-
-@query
-def arima_order_search(spark, sf):
-    return models.order_search(_series(spark, sf), ForecastConfig())
-
-
-@query
-def arima_best_order(spark, sf):
-    return models.best_order(models.order_search(_series(spark, sf), ForecastConfig()))
-
-
-@query
-def arima_forecast(spark, sf):
-    return _day(models.forecast(_series(spark, sf), ForecastConfig()), "date")
-
-
-@query
-def ets_forecast(spark, sf):
-    return _day(models.forecast(_series(spark, sf), ForecastConfig(model_type="ets")), "date")
-
-
-@query
-def ensemble_forecast(spark, sf):
-    return _day(models.forecast(_series(spark, sf), ForecastConfig(model_type="ensemble")), "date")
-
-
-@query
-def arima_backtest(spark, sf):
-    prepared = _series(spark, sf)
-    folds = models.backtest_folds(prepared, ForecastConfig())
-    return _day(series.backtest_metrics(folds, series.test_period(prepared)), "test_period_start", "test_period_end")
-
-
-@query
-def ets_backtest(spark, sf):
-    prepared = _series(spark, sf)
-    folds = models.backtest_folds(prepared, ForecastConfig(model_type="ets"))
-    return _day(series.backtest_metrics(folds, series.test_period(prepared)), "test_period_start", "test_period_end")
-
-
-@query
-def model_diagnostics(spark, sf):
-    rows = models.diagnostics(_series(spark, sf), ForecastConfig())
-    return rows.withColumn("parameters", F.to_json("parameters"))
-
-
-@query
-def product_forecasts(spark, sf):
-    by_product = panels.monthly_series(panels.lineitem_panel(spark, sf), "product_id")
-    cfg = ForecastConfig(auto_order=False)
-    return _day(models.forecast(series.prepare(by_product), cfg), "date")
-
-
 # --- streams
 
 
@@ -719,10 +657,9 @@ def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def stream_hourly_last(spark, sf):
     out, marks = work_path(spark, "hourly"), work_path(spark, "hourly-marks")
-    events = _event_stream(spark, sf)
-    last = jobs.hourly_last(events, ["event_id"])
-    jobs.run_available(last, out, marks)
-    state = jobs.newest_state(spark, out, jobs.HOUR_KEY, last.schema)
+    last = jobs.hourly_last(["event_id"])
+    schema = jobs.run_available(_event_stream(spark, sf), last, out, marks)
+    state = jobs.merged(spark, out, schema, last)
     return state.select("product_id", "retailer", F.date_format("hour_start", "yyyy-MM-dd HH").alias("hour"), "price", "category", "event_id")
 
 
@@ -730,7 +667,6 @@ def stream_hourly_last(spark, sf):
 def stream_category_index(spark, sf):
     out, marks = work_path(spark, "daily"), work_path(spark, "daily-marks")
     base = price_index.base_prices(panels.events_panel(spark, sf), IndexConfig(base_period=EVENTS_START, base_days=10))
-    daily = jobs.daily_relatives(_event_stream(spark, sf), base)
-    jobs.run_available(daily, out, marks)
-    state = jobs.newest_state(spark, out, ["day", "category"], daily.schema)
+    schema = jobs.run_available(_event_stream(spark, sf), jobs.daily_relatives(base), out, marks)
+    state = jobs.merged(spark, out, schema, jobs.daily_sums)
     return _day(_rounded(jobs.sliding_index(state), "price_index"), "window_start", "window_end")

@@ -38,15 +38,17 @@ def _as_observation(df: DataFrame, *extra: str) -> DataFrame:
     )
 
 
-def category_listing(catalog: DataFrame, category: str | None = None, max_products: int = 100) -> DataFrame:
-    """The first products per retailer and category in listing order, as observations with URL.
+def category_listing(catalog: DataFrame, category: str | None = None, max_products: int | None = None) -> DataFrame:
+    """All products per retailer and category as observations with URL, or the first ones in listing order.
 
-    The cut happens before the shuffle as well, so that a large category sends few rows.
+    A cut, where one is named, happens before the shuffle as well, so that a large category sends few rows.
     """
     if category is not None:
         catalog = catalog.where(F.lower("category") == category.lower())
-    by_listing = W.partitionBy("retailer", F.lower("category")).orderBy("listing_pos", "product_id")
-    first = catalog.withColumn("_rn", F.row_number().over(by_listing)).where(F.col("_rn") <= max_products).drop("_rn")
+    first = catalog
+    if max_products is not None:
+        by_listing = W.partitionBy("retailer", F.lower("category")).orderBy("listing_pos", "product_id")
+        first = catalog.withColumn("_rn", F.row_number().over(by_listing)).where(F.col("_rn") <= max_products).drop("_rn")
     url = product_url(F.col("retailer"), F.col("product_id"), F.col("product_name"))
     return _as_observation(first.withColumn("url", url), "url", "listing_pos")
 

@@ -1,12 +1,13 @@
 """Hourly keep-last and sliding category index over a stream of price observations.
 
-Both jobs run in update mode. Every micro-batch writes the groups it changed to its own
-folder, overwritten when the batch is replayed, so a lost executor or a restart from the
-checkpoint leaves no duplicate. The view of a job takes the newest state per group.
+A job reduces every micro-batch on its own and writes the partial result to the batch's folder, replaced
+when the batch is replayed. Partials merge by the same reduction in any order, so rows may come
+however late: nothing waits for a watermark and nothing is dropped. `compact` folds old partials into one.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -15,11 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketflow.operators.price_index import category_index
-from basketflow.operators.transform import keep_last
 from basketflow.session import BROADCAST_ROWS, materialize
 
 HOUR_KEY = ["product_id", "retailer", "hour_start"]
 Sink = Callable[[DataFrame, int], None]
+Reduction = Callable[[DataFrame], DataFrame]
 
 
 def read_stream(spark: SparkSession, folder: str, pattern: str, schema: T.StructType, files_per_batch: int = 1000) -> DataFrame:
@@ -32,70 +33,95 @@ def read_stream(spark: SparkSession, folder: str, pattern: str, schema: T.Struct
     )
 
 
-def event_time(df: DataFrame, delay: str) -> DataFrame:
-    """Watermarks need a zoned timestamp; sessions run in UTC."""
-    return df.withColumn("timestamp", F.col("timestamp").cast("timestamp")).withWatermark("timestamp", delay)
-
-
-def batch_folder_sink(path: str, also: Sink | None = None) -> Sink:
-    """One folder per micro-batch; the same batch written twice replaces itself."""
+def batch_folder_sink(reduce: Reduction, path: str, also: Sink | None = None) -> Sink:
+    """The reduced micro-batch in a folder of its own; the same batch written twice replaces itself."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        reduced = reduce(batch)
+        reduced.write.mode("overwrite").parquet(f"{path}/batches/batch_id={batch_id}")
         if also is not None:
-            also(batch, batch_id)
+            also(reduced, batch_id)
 
     return write
 
 
-def run_available(stream: DataFrame, path: str, checkpoint: str, also: Sink | None = None) -> None:
-    """Works off everything there is, then stops; the checkpoint carries on from there next time."""
+def run_available(stream: DataFrame, reduce: Reduction, path: str, checkpoint: str, also: Sink | None = None) -> T.StructType:
+    """Works off everything there is, then stops; the checkpoint carries on from there next time. The schema of the partials."""
     query = (
-        stream.writeStream.outputMode("update")
+        stream.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(batch_folder_sink(path, also))
+        .foreachBatch(batch_folder_sink(reduce, path, also))
         .start()
     )
     query.awaitTermination()
+    return reduce(stream.sparkSession.createDataFrame([], stream.schema)).schema
 
 
-def newest_state(spark: SparkSession, path: str, keys: list[str], schema: T.StructType) -> DataFrame:
-    """Per group the row of the latest batch that changed it; empty before the first batch."""
-    schema = T.StructType([*schema, T.StructField("batch_id", T.LongType())])
+def _stored(spark: SparkSession, path: str, schema: T.StructType, label: str) -> tuple[DataFrame | None, int]:
+    """Folders label=<number> under a path and the greatest number; (None, -1) without any."""
     try:
-        stored = spark.read.schema(schema).parquet(path)
+        rows = spark.read.schema(T.StructType([*schema, T.StructField(label, T.LongType())])).parquet(path)
     except AnalysisException:
-        stored = spark.createDataFrame([], schema)
-    return keep_last(stored, keys, ["batch_id"]).drop("batch_id")
+        return None, -1
+    numbers = [int(n) for f in rows.inputFiles() for n in re.findall(rf"/{label}=(\d+)/", f)]
+    return rows, max(numbers, default=-1)
+
+
+def merged(spark: SparkSession, path: str, schema: T.StructType, merge: Reduction) -> DataFrame:
+    """The state after all batches so far: newest fold and later batches; empty before the first batch."""
+    folded, until = _stored(spark, f"{path}/folded", schema, "until")
+    batches, _ = _stored(spark, f"{path}/batches", schema, "batch_id")
+    rows = spark.createDataFrame([], schema)
+    if batches is not None:
+        rows = rows.unionByName(batches.where(F.col("batch_id") > until).drop("batch_id"))
+    if folded is not None:
+        rows = rows.unionByName(folded.where(F.col("until") == until).drop("until"))
+    return merge(rows)
 
 
-def hourly_last(stream: DataFrame, order: list[str], delay: str = "2 days") -> DataFrame:
+def compact(spark: SparkSession, path: str, schema: T.StructType, merge: Reduction) -> None:
+    """Folds all batches so far into one state, so that views read no more than that and the batches after it."""
+    _, newest = _stored(spark, f"{path}/batches", schema, "batch_id")
+    _, until = _stored(spark, f"{path}/folded", schema, "until")
+    if newest > until:
+        merged(spark, path, schema, merge).write.mode("overwrite").parquet(f"{path}/folded/until={newest}")
+
+
+def hourly_last(order: list[str]) -> Reduction:
     """Last observation per product, retailer and hour; `order` breaks ties of the timestamp."""
-    timed = event_time(stream, delay)
-    payload = [c for c in timed.columns if c not in ("product_id", "retailer")]
-    last = F.max_by(F.struct(*payload), F.struct("timestamp", *order))
-    return (
-        timed.groupBy("product_id", "retailer", F.window("timestamp", "1 hour").alias("w"))
-        .agg(last.alias("row"))
-        .select("product_id", "retailer", F.col("w.start").alias("hour_start"), "row.*")
-    )
 
+    def reduce(rows: DataFrame) -> DataFrame:
+        rows = rows.withColumn("hour_start", F.date_trunc("hour", F.col("timestamp").cast("timestamp")))
+        payload = [c for c in rows.columns if c not in HOUR_KEY]
+        last = F.max_by(F.struct(*payload), F.struct("timestamp", *order)).alias("row")
+        return rows.groupBy(*HOUR_KEY).agg(last).select(*HOUR_KEY, "row.*")
 
-def daily_relatives(stream: DataFrame, base: DataFrame, delay: str = "2 days") -> DataFrame:
-    """(day, category) -> matched rows and sum of log price relatives.
+    return reduce
 
-    The state is one row per day and category; the sliding windows are sums over its days. The
-    base prices are counted: few are broadcast, many are joined by shuffle within each batch.
+
+def daily_relatives(base: DataFrame) -> Reduction:
+    """(day, category) -> matched rows and sum of log price relatives, of a batch.
+
+    Rows shrink to one per day and product before the base prices are joined, so no product is hot in that join.
     """
     side, rows = materialize(base.where("base_price > 0").select("category", "product_id", F.ln("base_price").alias("ln_base")))
-    timed = event_time(stream, delay).where("price > 0 AND NOT isnan(price)")
-    joined = timed.join(F.broadcast(side) if rows <= BROADCAST_ROWS else side, ["category", "product_id"])
-    return (
-        joined.groupBy(F.window("timestamp", "1 day").alias("w"), "category")
-        .agg(F.count(F.lit(1)).alias("n_rel"), F.sum(F.ln("price") - F.col("ln_base")).alias("ln_sum"))
-        .select(F.to_date("w.start").alias("day"), "category", "n_rel", "ln_sum")
-    )
+
+    def reduce(batch: DataFrame) -> DataFrame:
+        daily = (
+            batch.where("price > 0 AND NOT isnan(price)")
+            .groupBy(F.to_date("timestamp").alias("day"), "category", "product_id")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(F.ln("price")).alias("ln_price"))
+        )
+        joined = daily.join(F.broadcast(side) if rows <= BROADCAST_ROWS else side, ["category", "product_id"])
+        return daily_sums(joined.select("day", "category", F.col("n").alias("n_rel"), (F.col("ln_price") - F.col("n") * F.col("ln_base")).alias("ln_sum")))
+
+    return reduce
+
+
+def daily_sums(partials: DataFrame) -> DataFrame:
+    """One row per day and category from any number of partial ones."""
+    return partials.groupBy("day", "category").agg(F.sum("n_rel").alias("n_rel"), F.sum("ln_sum").alias("ln_sum"))
 
 
 def sliding_index(daily: DataFrame, days: int = 7, min_observations: int = 10) -> DataFrame:

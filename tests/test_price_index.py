@@ -174,10 +174,10 @@ def test_empty_window_gives_defaults(observations):
     assert {(r.price_index, r.contribution) for r in parts.collect()} == {(100.0, 0.0)}
 
 
-def test_fallback_base_takes_the_earliest_rows(observations):
-    rows = [("a", "grocery", "r", float(i), day("2025-01-01") + timedelta(hours=i)) for i in range(20)]
-    cfg = IndexConfig(base_period=day("2020-01-01"), base_fallback_rows=5)
-    assert price_index.base_prices(observations(rows), cfg).first().base_price == 2.0
+def test_fallback_base_takes_all_rows_of_the_earliest_days(observations):
+    rows = [("a", "grocery", "r", float(i), day("2025-01-01T07:00") + timedelta(hours=i)) for i in range(3000)]
+    cfg = IndexConfig(base_period=day("2020-01-01"))
+    assert price_index.base_prices(observations(rows), cfg).first().base_price == (30 * 24 - 1) / 2
 
 
 def test_lagged_indices_stay_weighted_unless_told(observations):

@@ -34,10 +34,9 @@ def test_hourly_last_equals_batch_over_micro_batches(spark, folder, tmp_path):
     schema = spark.read.parquet(path).schema
 
     def work():
-        stream = jobs.read_stream(spark, path, "*.parquet", schema)
-        last = jobs.hourly_last(stream, ["event_id"], "30 days")
-        jobs.run_available(last, out, marks)
-        return jobs.newest_state(spark, out, jobs.HOUR_KEY, last.schema)
+        last = jobs.hourly_last(["event_id"])
+        kept = jobs.run_available(jobs.read_stream(spark, path, "*.parquet", schema, 1), last, out, marks)
+        return jobs.merged(spark, out, kept, last)
 
     def batch():
         rows = spark.read.parquet(path).withColumn("hour_start", F.date_trunc("hour", "timestamp"))
@@ -58,9 +57,9 @@ def test_category_index_equals_batch(spark, folder, tmp_path):
     seen = []
 
     def work():
-        daily = jobs.daily_relatives(jobs.read_stream(spark, path, "*.parquet", static.schema), base, "30 days")
-        jobs.run_available(daily, out, marks, lambda df, i: seen.append(i))
-        return jobs.sliding_index(jobs.newest_state(spark, out, ["day", "category"], daily.schema), 3, 5)
+        stream = jobs.read_stream(spark, path, "*.parquet", static.schema, 1)
+        kept = jobs.run_available(stream, jobs.daily_relatives(base), out, marks, lambda df, i: seen.append(i))
+        return jobs.sliding_index(jobs.merged(spark, out, kept, jobs.daily_sums), 3, 5)
 
     work()
     more()
@@ -77,31 +76,39 @@ def test_category_index_equals_batch(spark, folder, tmp_path):
         assert n == r.n and idx == pytest.approx(math.exp(r.m) * 100 if r.n >= 5 else 100.0)
 
 
+LATEST = "k STRING, v INT"
+
+
+def latest(rows):
+    return rows.groupBy("k").agg(F.max("v").alias("v"))
+
+
 def test_replayed_batch_replaces_itself(spark, tmp_path):
     out = str(tmp_path / "out")
-    write = jobs.batch_folder_sink(out)
-    df = spark.createDataFrame([("a", 1)], "k STRING, v INT")
+    write = jobs.batch_folder_sink(latest, out)
+    df = spark.createDataFrame([("a", 1)], LATEST)
     write(df, 0)
     write(df, 0)
     write(df.withColumn("v", F.lit(2)), 1)
-    assert [r.v for r in jobs.newest_state(spark, out, ["k"], df.schema).collect()] == [2]
-
+    assert [r.v for r in jobs.merged(spark, out, df.schema, latest).collect()] == [2]
+    assert spark.read.parquet(f"{out}/batches").count() == 2
 
-def test_rows_behind_the_watermark_are_dropped(spark, folder, tmp_path):
-    path, _ = folder
-    out, marks = str(tmp_path / "out"), str(tmp_path / "marks")
-    schema = spark.read.parquet(path).schema
-
-    def work():
-        last = jobs.hourly_last(jobs.read_stream(spark, path, "*.parquet", schema), ["event_id"], "1 hour")
-        jobs.run_available(last, out, marks)
-        return jobs.newest_state(spark, out, jobs.HOUR_KEY, last.schema)
 
-    before = work().count()
-    spark.createDataFrame([("late", "grocery", "r", 1.0, day("2023-12-01"), 1)], SCHEMA).coalesce(1).write.mode("append").parquet(path)
-    assert work().count() == before
+def test_unordered_batches_lose_no_row(spark, tmp_path):
+    """Days come backwards, one file and so one batch each; state and folds equal the batch result."""
+    path, out, marks = (str(tmp_path / x) for x in ("in", "out", "marks"))
+    last = jobs.hourly_last(["event_id"])
+    for k in (9, 2, 30, 1, 17):
+        rows = [(f"p{i % 3}", "grocery", "r", 1.0 + i, day("2024-01-01") + timedelta(days=k - i % 2, minutes=i), k * 100 + i) for i in range(20)]
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(path)
+        kept = jobs.run_available(jobs.read_stream(spark, path, "*.parquet", spark.read.parquet(path).schema, 1), last, out, marks)
+        if k in (2, 1):
+            jobs.compact(spark, out, kept, last)
+    ids = lambda df: sorted(r.event_id for r in df.collect())
+    assert ids(jobs.merged(spark, out, kept, last)) == ids(last(spark.read.parquet(path)))
 
 
 def test_no_batch_yet(spark, tmp_path):
-    schema = spark.createDataFrame([], "k STRING").schema
-    assert jobs.newest_state(spark, str(tmp_path / "none"), ["k"], schema).count() == 0
+    schema = spark.createDataFrame([], LATEST).schema
+    assert jobs.merged(spark, str(tmp_path / "none"), schema, latest).count() == 0
+    jobs.compact(spark, str(tmp_path / "none"), schema, latest)

@@ -35,3 +35,10 @@ def test_empty_stays_empty(observations):
 def test_hot_keys_are_cut_before_the_shuffle(observations):
     plan = transform(observations([]).withColumn("product_name", F.lit("x")))._jdf.queryExecution().toString()
     assert plan.count("WindowGroupLimit") >= 2
+
+
+def test_columns_behind_the_tie_breakers_decide_ties(spark):
+    rows = [("p", "x", "grocery", "r", 8.0, day("2024-01-01"), "lb", q) for q in (1.0, 2.0)]
+    schema = "product_id STRING, product_name STRING, category STRING, retailer STRING, price DOUBLE, timestamp TIMESTAMP_NTZ, unit STRING, quantity DOUBLE"
+    found = {tuple(transform(spark.createDataFrame(r, schema).coalesce(1)).first()[c] for c in ("quantity", "price_normalized")) for r in (rows, rows[::-1])}
+    assert len(found) == 1
