@@ -6,7 +6,6 @@ import math
 import re
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,14 +36,14 @@ def _case(letters: str) -> str:
 
 
 def _tokens() -> Memo:
-    """Chunk to (hash of its letters and digits, hash of its shape: cases, digits, punctuation)."""
-    shapes = Memo(lambda shape: hash64("\0" + shape[:8]), 50_000)
+    """Chunk to two packed hashes: of its letters and digits, and of its shape (cases, digits, punctuation)."""
+    shapes = Memo(lambda shape: hash64("\0" + shape[:8]).to_bytes(8, "little"), 50_000)
 
-    def token(chunk: str) -> tuple[int, int]:
+    def token(chunk: str) -> bytes:
         stem, mark = (chunk[:-1], chunk[-1]) if chunk[-1:] in (".", ",") else (chunk, "")
         if stem.isalpha():  # most chunks
-            return hash64(stem.lower()), shapes[_case(stem) + mark]
-        return hash64("".join(_RUN.findall(chunk.lower()))), shapes[_RUN.sub(lambda run: _case(run[0]), chunk)]
+            return hash64(stem.lower()).to_bytes(8, "little") + shapes[_case(stem) + mark]
+        return hash64("".join(_RUN.findall(chunk.lower()))).to_bytes(8, "little") + shapes[_RUN.sub(lambda run: _case(run[0]), chunk)]
 
     return Memo(token, 200_000)
 
@@ -58,7 +57,7 @@ def block_slots(texts: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarr
     coded = split.flatten().dictionary_encode()
     owner = np.repeat(np.arange(len(texts)), np.diff(np.asarray(split.offsets)))
     memo = worker_state("quality", "tokens", _tokens)
-    made = np.array([memo[c] for c in coded.dictionary.to_pylist()] or [(0, 0)], np.uint64)
+    made = np.frombuffer(b"".join([memo[c] for c in coded.dictionary.to_pylist()]), "<u8").reshape(-1, 2)
     codes = np.asarray(coded.indices)
     empty = coded.dictionary.index("").as_py()  # beside white space at an end
     if empty >= 0:
@@ -118,13 +117,13 @@ def log_weight(table: np.ndarray):
     """Column function: logarithm of a text's importance weight, to nine digits; 0 without words."""
     bits = int(math.log2(len(table)))
 
-    @F.pandas_udf("double")
-    def score(text: pd.Series) -> pd.Series:
-        out = []
-        for batch in blocks([pa.RecordBatch.from_arrays([pa.array(text.fillna(""), pa.string())], names=["text"])], limit=BLOCK_BYTES):
+    @F.arrow_udf("double")
+    def score(text: pa.Array) -> pa.Array:
+        out = [np.empty(0)]
+        for batch in blocks([pa.RecordBatch.from_arrays([text.fill_null("")], names=["text"])], limit=BLOCK_BYTES):
             found, owner = block_slots(batch.column("text"), bits)
             out.append(np.bincount(owner, weights=table[found], minlength=len(batch)))
-        return pd.Series(np.round(np.concatenate(out), 9) if out else [], dtype="float64")
+        return pa.array(np.round(np.concatenate(out), 9), pa.float64())
 
     return score
 

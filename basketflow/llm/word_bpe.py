@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 from .common import Memo, worker_state
 
 WORD_BPE = "word_bpe_49k.json"
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 8_000_000
 # Chunks of these characters are lower-cased and parted here; the library alone handles all others.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 _PRETOKEN = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
@@ -41,7 +41,7 @@ class WordBpe:
         self.special = re.compile("|".join(re.escape(t.content) for t in self.library.get_added_tokens_decoder().values()) or "(?!)")
         self.packed = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size())]
         self.proven = self._prove()
-        self.memo = Memo(self._merge, 450_000)
+        self.memo = Memo(self._merge, 300_000)
 
     def _prove(self) -> dict[str, bytes]:
         byte = {c: b for b, c in enumerate(self.letters)}
