@@ -20,14 +20,17 @@ def category_stats(df: DataFrame) -> DataFrame:
     )
 
 
-def flag_outliers(df: DataFrame, cfg: QualityConfig | None = None) -> DataFrame:
-    """Adds z_outlier, iqr_outlier and is_outlier. Rows without a category are never flagged."""
+def flag_outliers(df: DataFrame, cfg: QualityConfig | None = None, stats: DataFrame | None = None) -> DataFrame:
+    """Adds z_outlier, iqr_outlier and is_outlier. Rows without a category are never flagged.
+
+    `stats` are the category_stats of the rows where the caller has them already.
+    """
     cfg = cfg or QualityConfig()
     price = nan_to_null(F.col("price"))
     far = F.abs(F.try_divide(price - F.col("mean"), F.col("sd"))) > cfg.outlier_std_threshold
     iqr = F.col("q3") - F.col("q1")
     outside = (price < F.col("q1") - cfg.iqr_multiplier * iqr) | (price > F.col("q3") + cfg.iqr_multiplier * iqr)
-    flagged = join_checked(df, category_stats(df), ["category"]).withColumns(
+    flagged = join_checked(df, category_stats(df) if stats is None else stats, ["category"]).withColumns(
         {
             "z_outlier": F.coalesce((F.col("n_rows") >= 3) & (F.col("sd") > 0) & far, F.lit(False)),
             "iqr_outlier": F.coalesce((F.col("n_rows") >= 4) & outside, F.lit(False)),

@@ -14,13 +14,13 @@ from basketflow.config import QualityConfig
 from basketflow.functions.numeric import nan_to_null
 from basketflow.functions.text import number, percent_text
 from basketflow.functions.timeparts import ts_like
-from basketflow.operators.outliers import flag_outliers
+from basketflow.operators import price_jumps
+from basketflow.operators.outliers import category_stats, flag_outliers
 from basketflow.operators.quantiles import exact_quantiles
 from basketflow.session import BROADCAST_ROWS, materialize
 from basketflow.sources.storage import comparable
 
 
-
 def numeric_price(df: DataFrame) -> Column:
     """The price as a number; text that is no number counts as missing."""
     price = F.col("price")
@@ -159,8 +159,12 @@ def key_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("c")).agg(F.coalesce(F.sum(F.col("c") - 1), F.lit(0)).alias("n"))
 
 
-def quality_report(df: DataFrame, now: datetime, cfg: QualityConfig | None = None) -> DataFrame:
-    """Every check as a row: value, threshold, whether it fired, and its message."""
+def quality_report(df: DataFrame, now: datetime, cfg: QualityConfig | None = None, stats: DataFrame | None = None) -> DataFrame:
+    """Every check as a row: value, threshold, whether it fired, and its message.
+
+    Scans: checks, price digest, price ranks, flags, row hashes, keys. The categories come from the price statistics
+    (`stats`, where the caller has them), which have a row for each.
+    """
     cfg = cfg or QualityConfig()
     parts = [column_checks(df, now, cfg)]
 
@@ -169,10 +173,12 @@ def quality_report(df: DataFrame, now: datetime, cfg: QualityConfig | None = Non
 
     if {"price", "category"} <= set(df.columns):
         priced = df.select("category", numeric_price(df).alias("price"))
-        flagged = flag_outliers(priced, cfg).agg(F.count_if("is_outlier").alias("n"))
+        if stats is None:
+            stats, _ = materialize(category_stats(priced))
+        flagged = flag_outliers(priced, cfg, stats).agg(F.count_if("is_outlier").alias("n"))
         parts.append(counted(flagged, "outliers", "warning", "price", "Detected {} potential outliers"))
     if "category" in df.columns:
-        bad = invalid_categories(df, cfg).agg(F.count(F.lit(1)).alias("n"))
+        bad = invalid_categories(df if stats is None else stats, cfg).agg(F.count(F.lit(1)).alias("n"))
         parts.append(counted(bad, "invalid_categories", "warning", "category", "Found {} invalid categories"))
     if {"product_id", "retailer"} <= set(df.columns):
         parts.append(counted(exact_duplicates(df), "exact_duplicates", "warning", "", "Found {} exact duplicate rows"))
@@ -184,6 +190,13 @@ def quality_report(df: DataFrame, now: datetime, cfg: QualityConfig | None = Non
     return reduce(DataFrame.unionByName, parts)
 
 
+def incremental_report(new: DataFrame, old: DataFrame, now: datetime, cfg: QualityConfig | None = None) -> DataFrame:
+    """The report of the new rows and one more row: prices that jump against the old rows of their product and retailer."""
+    jumps = price_jumps.price_jump_warning(price_jumps.price_jumps(new, old, cfg), cfg)
+    row = _row("price_jumps", "warning", "price", F.col("jumps"), 0, F.col("jumps") > 0, F.col("message"))
+    return quality_report(new, now, cfg).unionByName(jumps.select(F.inline(F.array(row))))
+
+
 def quality_summary(report: DataFrame) -> DataFrame:
     """One row: valid or not, the fired messages by severity, the outlier count.
 
@@ -283,3 +296,12 @@ def check_expectations(df: DataFrame, rules: list[Expectation] | None = None) ->
             )
         )
     return df.agg(*aggs).select(F.inline(F.array(*rows)))
+
+
+def suite_result(results: DataFrame) -> DataFrame:
+    """One row for the whole suite: whether all rules hold, how many there are and how many hold, and their share in percent."""
+    held = F.count_if("success")
+    return results.agg(
+        F.every("success").alias("success"), F.count(F.lit(1)).alias("evaluated"), held.alias("successful"),
+        (F.count(F.lit(1)) - held).alias("unsuccessful"), (F.try_divide(held, F.count(F.lit(1))) * 100).alias("success_percent"),
+    )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from basketflow.functions.numeric import unit_price
 from basketflow.functions.text import strip_ws
@@ -57,5 +58,8 @@ def transform(df: DataFrame, tie_breakers: list[str] | None = None) -> DataFrame
             "category": strip_ws(F.lower("category")),
         }
     )
-    order = ["timestamp", *(tie_breakers or ["price", "product_name", "category"]), "_row"]
-    return add_price_change(keep_last(df.withColumn("_row", F.to_json(F.struct(*comparable(df)))), HOUR_KEY, order).drop("_row"))
+    first = ["timestamp", *(tie_breakers or ["price", "product_name", "category"])]
+    rest = [c for c in df.columns if c not in first]
+    maps = {f"_{f.name}": c for f, c in zip(df.schema, comparable(df)) if isinstance(f.dataType, T.MapType)}
+    order = first + [f"_{c}" if f"_{c}" in maps else c for c in rest]
+    return add_price_change(keep_last(df.withColumns(maps), HOUR_KEY, order).drop(*maps))

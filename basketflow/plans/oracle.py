@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from basketflow.functions.numeric import normal_quantile, t_quantile
 from basketflow.plans import queries as q
 from basketflow.schema import CATEGORY_MAP, CPI_WEIGHTS, SUBCATEGORIES, UNIT_MULTIPLIERS
 from basketflow.sources.panels import PART_TYPE_CATEGORY, RAW_CATEGORY, UNITS
 
-Z = normal_quantile(0.95)
-TQ = t_quantile(0.95, len(CPI_WEIGHTS) - 1)
+# Two-sided 95 % quantiles of the normal distribution and of Student's t with 7 degrees of freedom.
+Z = 1.959963984540054
+TQ = 2.364624251592785
 
 
 def _case(column: str, mapping: dict[str, str], default: str) -> str:
@@ -137,8 +137,9 @@ typed AS (SELECT *, TRY_CAST(trim(replace(replace(price_text, '$', ''), ',', '')
 broken AS (SELECT *, coalesce(price > 0, false) AS ok_price, regexp_matches(url, '^[A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]+') AS ok_url,
   quantity > 0 AS ok_quantity, rating BETWEEN 0 AND 5 AS ok_rating FROM typed),
 valid AS (SELECT * FROM broken WHERE ok_price AND ok_url AND ok_quantity AND ok_rating),
-feed_panel AS (SELECT product_id, trim(product_name, chr(9) || ' ') AS product_name, price, {CPI_CATEGORY} AS category, retailer, ts,
-  quantity, rating FROM typed)"""
+feed_panel AS (SELECT product_id, trim(product_name, chr(9) || ' ') AS product_name,
+  trim(replace(replace(price_text, '$', ''), ',', '')) AS price_text, price, original_price, {CPI_CATEGORY} AS category, retailer, url, ts,
+  unit, quantity, rating, review_count, l_orderkey FROM typed)"""
 
 
 def _outliers(source: str) -> str:
@@ -155,47 +156,55 @@ def _percent(x: str) -> str:
     return f"printf('%.2f%%', {x} * 100)"
 
 
-REPORT_COLUMNS = ["product_id", "product_name", "price", "category", "retailer", "timestamp", "quantity", "rating"]
+REPORT_COLUMNS = [
+    "product_id", "product_name", "price", "original_price", "category", "retailer", "url", "timestamp", "unit", "quantity", "rating", "review_count", "metadata",
+]
+STORED_AS = {"price": "price_text", "timestamp": "ts", "metadata": "l_orderkey"}
 
 
-def _report() -> str:
-    """The quality report as one row per check."""
-    nulls = {c: f"count(*) - count({'ts' if c == 'timestamp' else c})" for c in REPORT_COLUMNS}
+def _report(absent: str | None = None) -> str:
+    """The quality report as one row per check, for a feed without the absent column."""
+    there = [c for c in REPORT_COLUMNS if c != absent]
+    nulls = {c: f"count(*) - count({STORED_AS.get(c, c)})" for c in there}
     rows = ["SELECT 'empty' AS check_name, 'error' AS severity, '' AS subject, CAST(n AS DOUBLE) AS value, CAST(0 AS DOUBLE) AS threshold, "
             "n = 0 AS triggered, 'DataFrame is empty' AS message FROM m"]
     for c in ["product_id", "product_name", "price", "category", "retailer", "timestamp"]:
-        rows.append(f"SELECT 'required_column', 'error', '{c}', 0.0, 0.0, false, 'Missing required column: {c}'")
-    rows.append("SELECT 'data_type', 'error', 'price', 0.0, 0.0, false, 'Column ''price'' has invalid data type, expected numeric'")
+        rows.append(f"SELECT 'required_column', 'error', '{c}', {float(c == absent)}, 0.0, {str(c == absent).lower()}, 'Missing required column: {c}'")
+    rows.append("SELECT 'data_type', 'error', 'price', CAST(no_number AS DOUBLE), 0.0, no_number > 0, 'Column ''price'' has invalid data type, expected numeric' FROM m")
 
     def counted(check: str, severity: str, subject: str, n: str, text: str, source: str = "m") -> None:
         head, tail = text.split("{}")
         rows.append(f"SELECT '{check}', '{severity}', '{subject}', CAST({n} AS DOUBLE), 0.0, {n} > 0, '{head}' || CAST({n} AS BIGINT) || '{tail}' FROM {source}")
 
-    counted("null_price", "warning", "price", "null_price", "Found {} null price values")
+    counted("null_price", "warning", "price", "no_price", "Found {} null price values")
     counted("below_min", "warning", "price", "p_low", "{} prices below minimum threshold (0.01)")
     counted("above_max", "warning", "price", "p_high", "{} prices above maximum threshold (100000.0)")
     counted("negative_price", "error", "price", "p_neg", "Found {} negative prices")
-    total = " + ".join(f"null_{c}" for c in REPORT_COLUMNS)
+    total = " + ".join(f"null_{c}" for c in there)
     rows.append(f"SELECT 'completeness', 'warning', '', c, 0.95, c < 0.95, 'Data completeness (' || {_percent('c')} || ') below threshold (95.00%)' "
-                f"FROM (SELECT 1 - ({total}) / (n * {len(REPORT_COLUMNS)}) AS c FROM m)")
-    for c in REPORT_COLUMNS:
+                f"FROM (SELECT 1 - ({total}) / (n * {len(there)}) AS c FROM m)")
+    for c in there:
         rows.append(f"SELECT 'null_ratio', 'warning', '{c}', r, 0.05, r > 0.05, 'Column ''{c}'' has high null ratio: ' || {_percent('r')} "
                     f"FROM (SELECT null_{c} / n AS r FROM m)")
-    rows.append("SELECT 'stale', 'warning', 'timestamp', CAST(stale AS DOUBLE), 0.0, oldest < cutoff, stale || ' records are older than 1 day, 0:00:00' FROM m")
-    for c in ("oldest", "newest"):
+    if absent == "timestamp":
+        rows.append("SELECT 'stale', 'warning', 'timestamp', NULL, NULL, true, 'No timestamp column found for freshness check'")
+    else:
+        rows.append("SELECT 'stale', 'warning', 'timestamp', CAST(stale AS DOUBLE), 0.0, oldest < cutoff, stale || ' records are older than 1 day, 0:00:00' FROM m")
+    for c in ("oldest", "newest") if absent != "timestamp" else ():
         rows.append(f"SELECT '{c}_record', 'info', 'timestamp', NULL, NULL, false, strftime({c}, '%Y-%m-%dT%H:%M:%S') FROM m")
     counted("outliers", "warning", "price", "n", "Detected {} potential outliers", "(SELECT count(*) AS n FROM flagged WHERE is_outlier)")
     valid = ", ".join(f"'{c}'" for c in CPI_WEIGHTS)
     counted("invalid_categories", "warning", "category", "n", "Found {} invalid categories",
             f"(SELECT count(DISTINCT category) AS n FROM feed_panel WHERE category NOT IN ({valid}))")
     counted("exact_duplicates", "warning", "", "n", "Found {} exact duplicate rows",
-            "(SELECT (SELECT count(*) FROM feed_panel) - (SELECT count(*) FROM (SELECT DISTINCT * FROM feed_panel)) AS n)")
+            f"(SELECT (SELECT count(*) FROM feed_panel) - (SELECT count(*) FROM (SELECT DISTINCT {', '.join(STORED_AS.get(c, c) for c in there)} FROM feed_panel)) AS n)")
     counted("key_duplicates", "warning", "product_id, retailer", "n", "Found {} duplicate product_id/retailer combinations",
             "(SELECT (SELECT count(*) FROM feed_panel) - (SELECT count(*) FROM (SELECT DISTINCT product_id, retailer FROM feed_panel)) AS n)")
     cutoff = _ts(q.FEED_NOW - timedelta(days=1))
     sums = ", ".join(f"{v} AS null_{c}" for c, v in nulls.items())
     return (
-        f"WITH {FEED}, {_outliers('feed_panel')}, m AS (SELECT count(*) AS n, {sums}, count(*) FILTER (price < 0.01) AS p_low, "
+        f"WITH {FEED}, {_outliers('feed_panel')}, m AS (SELECT count(*) AS n, {sums}, count(*) - count(price) AS no_price, "
+        f"count(price_text) - count(price) AS no_number, count(*) FILTER (price < 0.01) AS p_low, "
         f"count(*) FILTER (price > 100000) AS p_high, count(*) FILTER (price < 0) AS p_neg, min(ts) AS oldest, max(ts) AS newest, "
         f"{cutoff} AS cutoff, count(*) FILTER (ts < {cutoff}) AS stale FROM feed_panel), report AS ({' UNION ALL '.join(rows)})"
     )
@@ -261,6 +270,14 @@ VALID_DEDUP = f"""WITH {FEED}, ranked AS (SELECT price, {CPI_CATEGORY} AS catego
     PARTITION BY product_id, retailer, CAST(ts AS DATE), hour(ts) ORDER BY ts DESC, price DESC) AS rn FROM valid),
 kept AS (SELECT category, price FROM ranked WHERE rn = 1), {_outliers("kept")}"""
 
+RULES = f"""WITH {FEED}, m AS (SELECT count(*) AS n, count(price) AS priced, count(category) AS named, count(product_id) AS ids,
+    count(*) FILTER (price NOT BETWEEN 0.01 AND 100000) AS bad_price,
+    count(*) FILTER (category NOT IN ({", ".join(f"'{c}'" for c in CPI_WEIGHTS)})) AS bad_category FROM feed_panel),
+  rules AS (SELECT 'column_to_exist' AS expectation, unnest(['price', 'product_id', 'category']) AS col, 0 AS seen, 0 AS bad
+    UNION ALL SELECT 'values_to_be_between', 'price', priced, bad_price FROM m
+    UNION ALL SELECT 'values_to_not_be_null', 'product_id', n, n - ids FROM m
+    UNION ALL SELECT 'values_to_be_in_set', 'category', named, bad_category FROM m)"""
+
 ORACLE: dict[str, str] = {
     "nowcast_at_date": _index(_points(q.AS_OF)) + INDEX_OUT,
     "nowcast_intraday": _index(_points(*q.INTRADAY)) + INDEX_OUT,
@@ -297,10 +314,29 @@ ORACLE: dict[str, str] = {
     "incremental_batch": f"""WITH {EVENTS} SELECT event_id, product_id, category, price, ts AS timestamp FROM panel
   WHERE ts > TIMESTAMP '2024-01-20 12:00:00' AND category IN ('purchase', 'view')""",
     "run_metrics": VALID_DEDUP
-    + """, n AS (SELECT (SELECT count(*) FROM valid) AS e, (SELECT count(*) FROM kept) AS t, (SELECT count(*) FROM flagged WHERE is_outlier) AS f)
-  SELECT e AS records_extracted, t AS records_transformed, f AS records_failed_validation, t - f AS records_loaded, round((t - f) / e, 6) AS success_rate,
-    CAST(0 AS BIGINT) AS error_count FROM n""",
+    + """, n AS (SELECT (SELECT count(*) FROM valid) AS e, (SELECT count(*) FROM kept) AS t, (SELECT count(*) FROM flagged WHERE is_outlier) AS f,
+    (SELECT count(*) FROM feed) AS a)
+  SELECT '20011105_000000' AS run_id, e AS landed, a - e AS quarantined, t AS transformed, f AS outliers, t - f AS stored, round((t - f) / e, 6) AS stored_share,
+    CAST(1 AS BIGINT) AS problems FROM n""",
+    "repeated_run": VALID_DEDUP
+    + """ SELECT '20011105_000000' AS run_id, (SELECT count(*) FROM valid) AS landed, (SELECT count(*) FROM kept) AS stored, (SELECT count(*) FROM kept) AS in_table""",
+    "quarantined_records": f"""WITH {FEED}, named AS (SELECT ts, concat_ws(',', CASE WHEN NOT ok_price THEN 'price' END, CASE WHEN NOT ok_url THEN 'url' END,
+    CASE WHEN NOT ok_quantity THEN 'quantity' END, CASE WHEN NOT ok_rating THEN 'rating' END) AS reasons FROM broken)
+  SELECT 'lines' AS feed, reasons, count(*) AS records, min(ts) AS first FROM named WHERE reasons <> '' GROUP BY 2""",
     "quality_report": _report() + " SELECT check_name, severity, subject, round(value, 6) AS value, threshold, triggered, message FROM report",
+    "quality_report_gaps": _report("timestamp") + " SELECT check_name, severity, subject, round(value, 6) AS value, threshold, triggered, message FROM report",
+    "quality_policies": _report()
+    + """ SELECT policy, policy = 'raise' AS raised, string_agg(message, '; ' ORDER BY message) AS errors FROM report, (VALUES ('record'), ('raise')) p(policy)
+  WHERE triggered AND severity = 'error' GROUP BY 1""",
+    "incremental_report": f"""WITH {FEED}, fresh AS (SELECT * FROM feed_panel WHERE ts >= {CUT}), past AS (SELECT DISTINCT product_id, retailer, price AS old FROM feed_panel WHERE ts < {CUT}),
+  m AS (SELECT count(*) AS n, count(*) - count(price) AS gone, count(*) FILTER (price < 0) AS neg,
+    (SELECT count(*) FROM fresh) - (SELECT count(*) FROM (SELECT DISTINCT product_id, retailer FROM fresh)) AS dup,
+    (SELECT count(*) FROM fresh JOIN past USING (product_id, retailer) WHERE abs((price - old) / old) > 0.5) AS jumps FROM fresh)
+  SELECT 'empty' AS check_name, CAST(n AS DOUBLE) AS value, n = 0 AS triggered, 'DataFrame is empty' AS message FROM m
+  UNION ALL SELECT 'null_price', CAST(gone AS DOUBLE), gone > 0, 'Found ' || gone || ' null price values' FROM m
+  UNION ALL SELECT 'negative_price', CAST(neg AS DOUBLE), neg > 0, 'Found ' || neg || ' negative prices' FROM m
+  UNION ALL SELECT 'key_duplicates', CAST(dup AS DOUBLE), dup > 0, 'Found ' || dup || ' duplicate product_id/retailer combinations' FROM m
+  UNION ALL SELECT 'price_jumps', CAST(jumps AS DOUBLE), jumps > 0, CASE WHEN jumps > 0 THEN jumps || ' products have suspicious price changes (>50%)' END FROM m""",
     "quality_summary": _report()
     + """ SELECT count(*) FILTER (triggered AND severity = 'error') = 0 AS is_valid,
   coalesce(string_agg(message, '; ' ORDER BY message) FILTER (triggered AND severity = 'error'), '') AS errors,
@@ -315,16 +351,14 @@ ORACLE: dict[str, str] = {
     "price_jump_warning": PAIRS
     + """, s AS (SELECT CAST(coalesce(sum(jumps), 0) AS BIGINT) AS jumps FROM jumps)
   SELECT jumps, CASE WHEN jumps > 0 THEN jumps || ' products have suspicious price changes (>50%)' END AS message FROM s""",
-    "expectation_suite": f"""WITH {FEED}, m AS (SELECT count(*) AS n, count(price) AS priced, count(category) AS named, count(product_id) AS ids,
-    count(*) FILTER (price NOT BETWEEN 0.01 AND 100000) AS bad_price,
-    count(*) FILTER (category NOT IN ({", ".join(f"'{c}'" for c in CPI_WEIGHTS)})) AS bad_category FROM feed_panel),
-  rules AS (SELECT 'column_to_exist' AS expectation, unnest(['price', 'product_id', 'category']) AS col, 0 AS seen, 0 AS bad
-    UNION ALL SELECT 'values_to_be_between', 'price', priced, bad_price FROM m
-    UNION ALL SELECT 'values_to_not_be_null', 'product_id', n, n - ids FROM m
-    UNION ALL SELECT 'values_to_be_in_set', 'category', named, bad_category FROM m)
-  SELECT expectation, col AS column, bad = 0 AS success, CAST(seen AS BIGINT) AS element_count, CAST(bad AS BIGINT) AS unexpected_count,
+    "expectation_suite": RULES
+    + """ SELECT expectation, col AS column, bad = 0 AS success, CAST(seen AS BIGINT) AS element_count, CAST(bad AS BIGINT) AS unexpected_count,
     CASE WHEN seen = 0 THEN 0.0 ELSE round(bad / seen * 100, 6) END AS unexpected_percent FROM rules""",
-    "duplicate_rows": f"""WITH {EVENTS}, d AS (SELECT product_id, category, retailer, CAST(ts AS DATE) AS date FROM panel)
+    "suite_summary": RULES
+    + """ SELECT bool_and(bad = 0) AS success, count(*) AS evaluated, count(*) FILTER (bad = 0) AS successful, count(*) FILTER (bad > 0) AS unsuccessful,
+    round(count(*) FILTER (bad = 0) / count(*) * 100, 6) AS success_percent FROM rules""",
+    "nowcast_stored": _index(_points(q.AS_OF)) + INDEX_OUT,
+    "duplicate_rows": f"""WITH {FEED}, d AS (SELECT * FROM feed_panel UNION ALL SELECT * FROM feed_panel WHERE rating >= 4)
   SELECT 'exact' AS kind, (SELECT count(*) FROM d) - (SELECT count(*) FROM (SELECT DISTINCT * FROM d)) AS records
   UNION ALL SELECT 'key', (SELECT count(*) FROM d) - (SELECT count(*) FROM (SELECT DISTINCT product_id, retailer FROM d))""",
     "summary_stats": f"""WITH {PANEL} SELECT count(*) AS total_records, count(DISTINCT product_id) AS unique_products,

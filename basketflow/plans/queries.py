@@ -15,7 +15,7 @@ from basketflow.functions.timeparts import ts_like
 from basketflow.operators import compare, outliers, price_index, price_jumps, quality, reports, series, transform
 from basketflow.plans import etl
 from basketflow.schema import SUBCATEGORIES, hierarchy_table, weights_table
-from basketflow.session import work_path
+from basketflow.session import materialize, work_path
 from basketflow.sources import catalog, ingest, panels, storage
 from basketflow.streaming import jobs
 
@@ -64,34 +64,21 @@ def _price_columns(panel: DataFrame) -> DataFrame:
     return panel.select("product_id", "product_name", "price", "category", "retailer", "timestamp", "unit", "quantity")
 
 
-def _landed_feed(spark: SparkSession, sf: str) -> DataFrame:
-    """The raw feed as landed: the checks read stored text, as they would from a source."""
-    path = work_path(spark, "raw")
-    storage.write_raw(panels.raw_feed(spark, sf), path, "20011105_000000")
-    return spark.read.parquet(path).drop("run_id")
+def _conformed_feed(spark: SparkSession, sf: str) -> DataFrame:
+    return ingest.conform(panels.raw_feed(spark, sf), FEED_NOW)
 
 
-def _conformed_feed(spark: SparkSession, sf: str) -> DataFrame:
-    return ingest.conform(_landed_feed(spark, sf), FEED_NOW)
+def _text_panel(spark: SparkSession, sf: str) -> DataFrame:
+    """All columns of the feed under index categories, prices as plain text, whether numbers or not; nothing dropped."""
+    raw = panels.raw_feed(spark, sf)
+    names = {"product_name": strip_ws(F.col("product_name")), "category": normalize_category(F.col("retailer"), F.col("category"))}
+    return raw.withColumns(names | {"price": strip_ws(F.replace(F.replace("price", F.lit("$")), F.lit(",")))})
 
 
 def _feed_panel(spark: SparkSession, sf: str) -> DataFrame:
-    """The raw feed with typed columns and index categories, broken values as NULL, nothing dropped.
-
-    Stored once: the checks pass over the stored columns, not over the parsing.
-    """
-    path = work_path(spark, "feed")
-    ingest.conform(panels.raw_feed(spark, sf), FEED_NOW).select(
-        "product_id",
-        strip_ws(F.col("product_name")).alias("product_name"),
-        "price",
-        normalize_category(F.col("retailer"), F.col("category")).alias("category"),
-        "retailer",
-        "timestamp",
-        "quantity",
-        "rating",
-    ).write.parquet(path)
-    return spark.read.parquet(path)
+    """The feed panel with prices as numbers, NULL where they are none; nothing dropped."""
+    panel = _text_panel(spark, sf)
+    return panel.withColumn("price", quality.numeric_price(panel))
 
 
 def _index_panel(spark: SparkSession, sf: str) -> DataFrame:
@@ -242,14 +229,40 @@ def incremental_batch(spark, sf):
     )
 
 
+def _run_config(spark: SparkSession, **more) -> EtlConfig:
+    root = work_path(spark, "run")
+    return EtlConfig(output_path=f"{root}/processed", raw_path=f"{root}/raw", **more)
+
+
 @query
 def run_metrics(spark, sf):
-    root = work_path(spark, "run")
-    cfg = EtlConfig(output_path=f"{root}/processed", raw_path=f"{root}/raw")
-    done = etl.run(spark, {"lines": _landed_feed(spark, sf)}, cfg, FEED_NOW).to_dict()
-    counts = ["records_extracted", "records_transformed", "records_failed_validation", "records_loaded", "success_rate", "error_count"]
-    schema = ", ".join(f"{c} {'DOUBLE' if c == 'success_rate' else 'BIGINT'}" for c in counts)
-    return _rounded(spark.createDataFrame([tuple(done[c] for c in counts)], schema), "success_rate")
+    """The daily run over the feed and over a second one whose files can't be read."""
+    lines, path = panels.raw_feed(spark, sf), work_path(spark, "unreadable")
+    lines.select("product_id").write.text(path)
+    feeds = {"lines": lines, "unreadable": spark.read.schema(lines.schema).parquet(path)}
+    log = etl.run(spark, feeds, _run_config(spark), FEED_NOW)
+    counts = ["landed", "quarantined", "transformed", "outliers", "stored"]
+    return _rounded(log.select("run_id", *counts, "stored_share", F.size("problems").cast("bigint").alias("problems")), "stored_share")
+
+
+@query
+def quarantined_records(spark, sf):
+    """What a run keeps of the records that break a rule, as read back from its quarantine."""
+    cfg = _run_config(spark)
+    etl.land(spark, {"lines": panels.raw_feed(spark, sf)}, cfg, cfg.raw_path, FEED_NOW)
+    kept = etl.landed(spark, cfg.raw_path).where(~F.col("valid"))
+    return kept.groupBy("feed", F.array_join("reasons", ",").alias("reasons")).agg(F.count(F.lit(1)).alias("records"), F.min("timestamp").alias("first"))
+
+
+@query
+def repeated_run(spark, sf):
+    """Rows that two runs of one id store: those of one."""
+    cfg = _run_config(spark, validate=False)
+    feeds = {"lines": panels.raw_feed(spark, sf)}
+    for _ in range(2):
+        log = etl.run(spark, feeds, cfg, FEED_NOW)
+    stored = storage.read_prices(spark, f"{cfg.output_path}/prices").agg(F.count(F.lit(1)).alias("in_table"))
+    return log.select("run_id", "landed", "stored").crossJoin(F.broadcast(stored))
 
 
 # --- quality
@@ -257,13 +270,32 @@ def run_metrics(spark, sf):
 
 @query
 def quality_report(spark, sf):
-    return _rounded(quality.quality_report(_feed_panel(spark, sf), FEED_NOW), "value")
+    return _rounded(quality.quality_report(_text_panel(spark, sf), FEED_NOW), "value")
+
+
+@query
+def quality_report_gaps(spark, sf):
+    """The report of a feed that lacks a required column."""
+    return _rounded(quality.quality_report(_text_panel(spark, sf).drop("timestamp"), FEED_NOW), "value")
+
+
+@query
+def incremental_report(spark, sf):
+    """The report of the later rows, with the jumps against the earlier ones."""
+    panel = _feed_panel(spark, sf)
+    cut = ts_like(panel, "timestamp", CUT)
+    new, old = panel.where(F.col("timestamp") >= cut), panel.where(F.col("timestamp") < cut)
+    rows = quality.incremental_report(new, old, FEED_NOW)
+    return rows.where(F.col("check_name").isin("empty", "null_price", "negative_price", "key_duplicates", "price_jumps")).select("check_name", "value", "triggered", "message")
+
+
+def _summary(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.quality_summary(quality.quality_report(_text_panel(spark, sf), FEED_NOW))
 
 
 @query
 def quality_summary(spark, sf):
-    summary = quality.quality_summary(quality.quality_report(_feed_panel(spark, sf), FEED_NOW))
-    return summary.select(
+    return _summary(spark, sf).select(
         "is_valid",
         F.array_join("errors", "; ").alias("errors"),
         F.size("warnings").cast("bigint").alias("warnings"),
@@ -271,6 +303,19 @@ def quality_summary(spark, sf):
     )
 
 
+@query
+def quality_policies(spark, sf):
+    """What the gate does with the feed under either policy: errors recorded, or raised."""
+    summary, _ = materialize(_summary(spark, sf))
+    rows = []
+    for policy in ("record", "raise"):
+        try:
+            rows.append((policy, False, "; ".join(quality.quality_gate(summary, policy).errors)))
+        except quality.InvalidData as e:
+            rows.append((policy, True, str(e)))
+    return spark.createDataFrame(rows, "policy STRING, raised BOOLEAN, errors STRING")
+
+
 @query
 def invalid_categories(spark, sf):
     return quality.invalid_categories(panels.raw_feed(spark, sf), quality.QualityConfig())
@@ -313,11 +358,18 @@ def expectation_suite(spark, sf):
     return _rounded(quality.check_expectations(_feed_panel(spark, sf)), "unexpected_percent")
 
 
+@query
+def suite_summary(spark, sf):
+    return _rounded(quality.suite_result(quality.check_expectations(_feed_panel(spark, sf))), "success_percent")
+
+
 @query
 def duplicate_rows(spark, sf):
-    events = panels.events_panel(spark, sf).select("product_id", "category", "retailer", F.to_date("timestamp").alias("date"))
-    one = quality.exact_duplicates(events).select(F.lit("exact").alias("kind"), F.col("n").alias("records"))
-    keyed = quality.key_duplicates(events, ["product_id", "retailer"]).select(F.lit("key").alias("kind"), F.col("n").alias("records"))
+    """Whole rows of the feed, of which those rated 4 and more are delivered twice."""
+    feed = _text_panel(spark, sf)
+    rows = feed.unionByName(feed.where("rating >= 4"))
+    one = quality.exact_duplicates(rows).select(F.lit("exact").alias("kind"), F.col("n").alias("records"))
+    keyed = quality.key_duplicates(rows, ["product_id", "retailer"]).select(F.lit("key").alias("kind"), F.col("n").alias("records"))
     return one.unionByName(keyed)
 
 
@@ -502,8 +554,7 @@ def stored_prices(spark, sf):
 
 @query
 def latest_snapshot(spark, sf):
-    latest = storage.latest_snapshot(storage.read_prices(spark, _stored(spark, sf)))
-    return latest.select("product_id", "retailer", "timestamp", "category", "price")
+    return storage.latest_snapshot(spark, _stored(spark, sf)).select("product_id", "retailer", "timestamp", "category", "price")
 
 
 @query
@@ -537,6 +588,19 @@ def retention_report(spark, sf):
     return storage.retention_report(dated, CUT.date())
 
 
+@query
+def retention_files(spark, sf):
+    """Runs, and whether there are files and bytes, on either side of the cutoff."""
+    report = storage.retention_files(spark, _stored(spark, sf), "20011106_000000")
+    return report.select("status", "runs", (F.col("files") >= F.col("runs")).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
+
+
+@query
+def nowcast_stored(spark, sf):
+    """The index over a stored table."""
+    return _index_rows(price_index.index_at(storage.load_prices(spark, _stored(spark, sf)), [AS_OF], CFG))
+
+
 @query
 def csv_series_scan(spark, sf):
     path = work_path(spark, "series-csv")

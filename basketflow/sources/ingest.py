@@ -98,12 +98,15 @@ def valid_records(conformed: DataFrame) -> DataFrame:
     return conformed.select(*PRICE_SCHEMA.names)
 
 
+def judged(conformed: DataFrame) -> DataFrame:
+    """Every row with the names of the rules it breaks in `reasons`, and `valid` where it breaks none."""
+    reasons = F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in broken_rules(conformed).items()]))
+    return conformed.select(*PRICE_SCHEMA.names, reasons.alias("reasons")).withColumn("valid", F.size("reasons") == 0)
+
+
 def quarantine(conformed: DataFrame) -> DataFrame:
     """Rows that break a rule, with the names of the rules in `reasons`."""
-    rules = broken_rules(conformed)
-    reasons = F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules.items()]))
-    some = reduce(lambda a, b: a | b, rules.values())
-    return conformed.where(some).select(*PRICE_SCHEMA.names, reasons.alias("reasons"))
+    return judged(conformed).where(~F.col("valid")).drop("valid")
 
 
 def quarantine_reasons(conformed: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,18 +16,17 @@ def run_id(at: datetime) -> str:
     return at.strftime("%Y%m%d_%H%M%S")
 
 
-def write_raw(
-    df: DataFrame, path: str, run: str, compression: str = "snappy", count: Observation | None = None
-) -> bool:
-    """Raw landing, one partition per run; an empty feed writes nothing. `count` takes the rows written as `n`."""
-    if df.isEmpty():
-        return False
-    if count is not None:
-        df = df.observe(count, F.count(F.lit(1)).alias("n"))
-    df.withColumn("run_id", F.lit(run)).write.mode("append").option("compression", compression).partitionBy(
-        "run_id"
-    ).parquet(path)
-    return True
+def write_raw(df: DataFrame, path: str, run: str, compression: str = "snappy") -> bool:
+    """Raw landing, one partition per run, which a retry replaces; false where the feed was empty."""
+    written = Observation("landing")
+    rows = df.observe(written, F.count(F.lit(1)).alias("n")).withColumn("run_id", F.lit(run))
+    _replacing(rows, compression).partitionBy("run_id").parquet(path)
+    return written.get["n"] > 0
+
+
+def _replacing(df: DataFrame, compression: str) -> DataFrameWriter:
+    """A writer that replaces the partitions it has rows for and leaves the others, so that a retry stores nothing twice."""
+    return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", compression)
 
 
 def write_prices(df: DataFrame, path: str, compression: str = "snappy") -> None:
@@ -35,16 +34,13 @@ def write_prices(df: DataFrame, path: str, compression: str = "snappy") -> None:
 
     The rebalance splits a large month over many files and packs small ones.
     """
-    df.withColumn("month", month_label(F.col("timestamp"))).hint("rebalance", "run_id", "month").sortWithinPartitions(
-        "run_id", "month", "timestamp"
-    ).write.mode("append").option("compression", compression).partitionBy("run_id", "month").parquet(path)
+    dealt = df.withColumn("month", month_label(F.col("timestamp"))).hint("rebalance", "run_id", "month")
+    _replacing(dealt.sortWithinPartitions("run_id", "month", "timestamp"), compression).partitionBy("run_id", "month").parquet(path)
 
 
 def write_by_category(df: DataFrame, path: str, compression: str = "snappy") -> None:
     """Second layout by category in one job; a large category is split over many files."""
-    df.hint("rebalance", "category").write.mode("append").option("compression", compression).partitionBy(
-        "category", "run_id"
-    ).parquet(path)
+    _replacing(df.hint("rebalance", "category"), compression).partitionBy("category", "run_id").parquet(path)
 
 
 def read_prices(spark: SparkSession, path: str) -> DataFrame | None:
@@ -55,10 +51,19 @@ def read_prices(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def latest_snapshot(df: DataFrame) -> DataFrame:
-    """Rows of the newest run; reads the other runs' partition names only."""
-    newest = df.agg(F.max("run_id")).first()[0]
-    return df.where(F.col("run_id") == newest)
+def run_folders(spark: SparkSession, path: str) -> list[str]:
+    """The runs of a stored table, oldest first: one name per run folder, no file is opened."""
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/run_id=*")
+    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
+    return sorted(f.getPath().getName().removeprefix("run_id=") for f in found or [])
+
+
+def latest_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
+    """Rows of the newest run, which is known from the folder names; no other run is listed or read. None when nothing is stored."""
+    runs = run_folders(spark, path)
+    if not runs:
+        return None
+    return spark.read.option("basePath", path).option("ignoreCorruptFiles", True).parquet(f"{path}/run_id={runs[-1]}")
 
 
 def comparable(df: DataFrame) -> list:
@@ -93,11 +98,11 @@ def history_scan(df: DataFrame, start: datetime, end: datetime, category: str |
 
 def load_prices(spark: SparkSession, path: str, data: DataFrame | None = None, latest_only: bool = False) -> DataFrame:
     """Input of the index: the given frame, else the stored history (or its newest run)."""
-    df = data if data is not None else read_prices(spark, path)
+    df = data
+    if df is None:
+        df = latest_snapshot(spark, path) if latest_only else read_prices(spark, path)
     if df is None:
         raise FileNotFoundError(f"no price data found in {path}")
-    if data is None and latest_only:
-        df = latest_snapshot(df)
     return df.withColumn("date", F.to_date("timestamp"))
 
 
@@ -127,20 +132,18 @@ def retention_report(df: DataFrame, cutoff: date) -> DataFrame:
 
 
 def stored_runs(spark: SparkSession, path: str) -> DataFrame:
-    """(run_id, files, bytes, last_write) from the file metadata; reads no data column."""
-    meta = F.col("_metadata")
-    files = (
-        spark.read.parquet(path)
-        .select(
-            "run_id",
-            meta["file_path"].alias("file_path"),
-            meta["file_size"].alias("bytes"),
-            meta["file_modification_time"].alias("written"),
-        )
-        .distinct()
-    )
+    """(run_id, files, bytes, last_write) from the listing of the files; none is opened."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
     return files.groupBy("run_id").agg(
-        F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.max("written").alias("last_write")
+        F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), F.max("modificationTime").alias("last_write")
+    )
+
+
+def retention_files(spark: SparkSession, path: str, first_kept: str) -> DataFrame:
+    """What dropping the runs before `first_kept` would free and keep: runs, files and bytes."""
+    kept = F.when(F.col("run_id") >= first_kept, "kept").otherwise("expired").alias("status")
+    return stored_runs(spark, path).groupBy(kept).agg(
+        F.count(F.lit(1)).alias("runs"), F.sum("files").alias("files"), F.sum("bytes").alias("bytes")
     )
 
 

@@ -1,3 +1,4 @@
+import glob
 import json
 import os
 from datetime import date, datetime
@@ -28,7 +29,8 @@ def test_runs_snapshot_and_history(spark, tmp_path):
     storage.write_prices(rows(spark, "2024-02-01", "2024-03-01").withColumn("run_id", F.lit("2")), path)
     stored = storage.read_prices(spark, path)
     assert stored.count() == 5
-    assert storage.latest_snapshot(stored).count() == 2
+    assert storage.latest_snapshot(spark, path).count() == 2 and storage.latest_snapshot(spark, str(tmp_path / "none")) is None
+    assert "run_id=1" not in "".join(storage.latest_snapshot(spark, path).inputFiles())
     history = storage.history_scan(stored, datetime(2024, 1, 1), datetime(2024, 3, 1))
     assert history.count() == 4  # the row of 1 February is stored twice
     assert storage.history_scan(stored, datetime(2024, 1, 1), datetime(2024, 3, 1), "housing").count() == 0
@@ -70,6 +72,9 @@ def test_retention(spark, tmp_path):
         if "run_id=1" in folder or "run_id=3" in folder:
             for f in files:
                 os.utime(os.path.join(folder, f), (old, old))
+    sizes = [os.path.getsize(f) for f in glob.glob(f"{path}/run_id=1/*/*.parquet")]
+    files = {r.status: (r.runs, r.files, r.bytes) for r in storage.retention_files(spark, path, "2").collect()}
+    assert files["expired"] == (1, len(sizes), sum(sizes)) and files["kept"][0] == 2
     report = storage.drop_expired_runs(spark, path, datetime(2024, 6, 1), days=30)
     assert report["runs_deleted"] == 1 and report["files_deleted"] == 2 and report["bytes_freed"] > 0
     assert {r.run_id for r in spark.read.parquet(path).select("run_id").distinct().collect()} == {2, 3}  # the newest run stays
@@ -108,37 +113,48 @@ def config(tmp_path, **more):
 
 def test_run(spark, tmp_path):
     cfg = config(tmp_path)
-    metrics = etl.run(spark, {"a": feed(spark), "w": feed(spark, 20, "Walmart", 0)}, cfg, NOW)
-    assert metrics.errors == []
-    assert (metrics.records_extracted, metrics.records_transformed, metrics.records_failed_validation, metrics.records_loaded) == (52, 52, 2, 50)
-    assert metrics.success_rate == pytest.approx(50 / 52) and metrics.to_dict()["error_count"] == 0 and metrics.duration_seconds > 0
-    stored = storage.read_prices(spark, f"{cfg.output_path}/prices")
-    assert stored.count() == 50 and {r.category for r in stored.collect()} == {"grocery"}
+    feeds = {"a": feed(spark), "w": feed(spark, 20, "Walmart", 0)}
+    for _ in range(2):  # a repeated run replaces what it stored
+        log = etl.run(spark, feeds, cfg, NOW).first()
+        assert log.problems == []
+        assert (log.landed, log.quarantined, log.transformed, log.outliers, log.stored) == (52, 2, 52, 2, 50)
+        assert log.stored_share == pytest.approx(50 / 52) and log.seconds > 0
+        stored = storage.read_prices(spark, f"{cfg.output_path}/prices")
+        assert stored.count() == 50 and {r.category for r in stored.collect()} == {"grocery"}
+        assert storage.read_prices(spark, f"{cfg.output_path}/by_category").count() == 50
     assert {r.product_name for r in stored.where("product_id = 'p0'").collect()} == {"n0"}
+    kept = etl.landed(spark, f"{cfg.raw_path}/run_id=20240102_060000").where("not valid").collect()
+    assert [(r.feed, r.reasons) for r in kept] == [("a", ["product_id"])] * 2
 
 
 def test_run_with_nothing_and_without_validation(spark, tmp_path):
-    empty = etl.run(spark, {"a": feed(spark).limit(0)}, config(tmp_path), NOW)
-    assert (empty.records_extracted, empty.success_rate, empty.errors) == (0, 0.0, [])
-    loaded = etl.run(spark, {"a": feed(spark)}, config(tmp_path, validate=False), NOW)
-    assert loaded.records_loaded == 31
+    empty = etl.run(spark, {"a": feed(spark).limit(0)}, config(tmp_path), NOW).first()
+    assert (empty.landed, empty.stored_share, empty.problems) == (0, 0.0, [])
+    assert etl.run(spark, {"a": feed(spark)}, config(tmp_path, validate=False), NOW).first().stored == 31
 
 
-def test_run_policies(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(etl, "QualityConfig", etl.QualityConfig)
+def test_run_policies(spark, tmp_path):
     strict = etl.QualityConfig(required_columns=("nope",))
-    recorded = etl.run(spark, {"a": feed(spark)}, config(tmp_path), NOW, strict)
-    assert recorded.errors == ["Missing required column: nope"] and recorded.records_loaded == 30
+    recorded = etl.run(spark, {"a": feed(spark)}, config(tmp_path), NOW, strict).first()
+    assert recorded.problems == ["Missing required column: nope"] and recorded.stored == 30
     with pytest.raises(InvalidData):
         etl.run(spark, {"a": feed(spark)}, config(tmp_path / "x", on_invalid="raise"), NOW, strict)
 
 
-def test_a_broken_feed_is_noted(spark, tmp_path):
-    metrics = etl.run(spark, {"bad": spark.range(3).select(F.array("id").alias("rating")), "good": feed(spark)}, config(tmp_path), NOW)
-    assert len(metrics.errors) == 1 and metrics.errors[0].startswith("Error reading bad") and metrics.records_loaded == 30
+def test_broken_feeds_are_noted(spark, tmp_path):
+    corrupt = tmp_path / "corrupt"
+    corrupt.mkdir()
+    (corrupt / "part-0.parquet").write_bytes(b"no parquet at all")
+    feeds = {
+        "unfit": spark.range(3).select(F.array("id").alias("rating")),
+        "corrupt": spark.read.schema(FEED).parquet(str(corrupt)),
+        "good": feed(spark),
+    }
+    log = etl.run(spark, feeds, config(tmp_path), NOW).first()
+    assert [p.split(":")[0] for p in log.problems] == ["feed unfit", "feed corrupt"] and log.stored == 30
 
 
 def test_incremental_run(spark, tmp_path):
     late = feed(spark, 5, bad=0).withColumn("timestamp", F.expr("timestamp - INTERVAL 2 DAYS"))
-    metrics = etl.run_incremental(spark, {"a": feed(spark), "old": late}, config(tmp_path), NOW, datetime(2024, 1, 1), ("food",))
-    assert metrics.records_extracted == 31
+    log = etl.run_incremental(spark, {"a": feed(spark), "old": late}, config(tmp_path), NOW, datetime(2024, 1, 1), ("food",)).first()
+    assert log.landed == 31
