@@ -9,16 +9,15 @@ from pyspark.sql import functions as F
 
 from basketflow.schema import CATEGORY_MAP, DEFAULT_CATEGORY
 
-# White space that is stripped, letters no number text may hold (they mark NaN,
-# infinity, hexadecimal and typed literals), and the patterns of URLs and ids.
+# White space that is stripped, and the patterns of URLs and ids.
 WHITE_SPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-NO_NUMBER_LETTERS = "[dDfFiInNpPxX]"
 URL_PATTERN = r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]+"
 AMAZON_ID_PATTERN = r"/dp/([A-Z0-9]{10})"
 WALMART_ID_PATTERN = r"/ip/[^/]+/(\d+)"
+NUMBER_PATTERN = rf"^[{WHITE_SPACE}]*([+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?)[{WHITE_SPACE}]*$"
 BASE_URLS = {"amazon": "https://www.amazon.com", "walmart": "https://www.walmart.com"}
 
 
@@ -28,9 +27,8 @@ def strip_ws(c: Column) -> Column:
 
 
 def number(c: Column) -> Column:
-    """Plain decimal text to double; NULL for anything else. The cast itself strips ASCII white space."""
-    text = F.when(F.octet_length(c) == F.length(c), c).otherwise(strip_ws(c))
-    return F.when(~c.rlike(NO_NUMBER_LETTERS), text.try_cast("double"))
+    """Plain decimal text, in white space or not, to double; NULL for anything else. The text is evaluated once."""
+    return F.regexp_extract(c, NUMBER_PATTERN, 1).try_cast("double")
 
 
 def clean_price(c: Column) -> Column:
