@@ -18,6 +18,14 @@ def test_parts_good_from_bad(spark):
     assert kept[1] > 0.95 and kept[0] < 0.2
 
 
+def test_parts_good_from_bad_on_labels_it_has_not_seen(spark):
+    docs, labels = (spark.read.parquet(f"{SF.replace('0.001', '0.01')}/{t}.parquet") for t in ("documents", "labels"))
+    unseen = F.pmod(F.xxhash64("doc_id", F.lit("unseen")), F.lit(2)) == 1
+    found = quality_sample(docs, labels.filter(~unseen)).join(labels.filter(unseen), "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()
+    share = {r.quality: r.kept for r in found}
+    assert share[1] > 0.95 and share[0] < 0.1, share
+
+
 def test_table_is_the_ratio_of_counts(spark, docs):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     sample = labelled(labels)
