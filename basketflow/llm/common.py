@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_path
@@ -38,6 +38,21 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def one_of_each(docs: DataFrame, key: Column, kept: DataFrame) -> DataFrame:
+    """Rows of docs whose doc_id and text key are among the kept (doc_id, key), one row of each; which of several is not stated.
+
+    Repeated rows meet within a task before they move. Null doc_ids are equal to each other.
+    """
+    names = ["_nil", "_id", "_key"]
+
+    def keyed(doc_id: Column, text_key: Column) -> list[Column]:
+        return [c.alias(n) for c, n in zip((doc_id.isNull(), F.coalesce(doc_id, F.lit(0)), text_key), names)]
+
+    one = docs.select("*", *keyed(F.col("doc_id").cast("long"), key)).dropDuplicates(names)
+    held = kept.select(*keyed(F.col("doc_id"), F.col("key"))).distinct()
+    return one.join(held.hint("merge"), names, "left_semi").drop(*names)
+
+
 def words(text: str) -> list[str]:
     """Lower-cased runs of letters, digits and underscores."""
     return _WORD.findall(text.lower())

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, id_text, stash
+from .common import documents, id_text, one_of_each, stash
 
 SALTS = 64
 
@@ -76,6 +76,6 @@ FROM n WINDOW w AS (PARTITION BY body)
 
 
 def keep_first(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: one row of each group of equal texts, all columns of docs."""
-    kept = exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept.hint("merge"), docs["doc_id"].cast("long").eqNullSafe(kept["_kept_id"]), "left_semi")
+    """Pipeline stage: exactly one row of each group of equal texts, all columns of docs. Decided by doc_id and text digest, not by doc_id alone."""
+    kept = exact_dedup(docs).filter("kept").select("doc_id", F.col("digest").alias("key"))
+    return one_of_each(docs, sha256(normalised(F.coalesce(F.col("text").cast("string"), F.lit("")))), kept)

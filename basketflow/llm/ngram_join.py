@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, gram_hashes, id_text, rows_of, stash, word_hashes
+from .common import documents, gram_hashes, id_text, one_of_each, rows_of, stash, word_hashes
 
 # Documents of a candidate component that one task compares with one another at a time.
 BLOCK = 256
@@ -203,18 +203,8 @@ def links(docs: DataFrame, members: DataFrame, n: int, threshold: float, block:
     return paired.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j").mapInArrow(verify, "node string, n_links long, root string, linked array<string>")
 
 
-def ngram_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.9995, block: int = BLOCK) -> DataFrame:
-    """Every row of docs: doc_id, class_id, n_links, n_copies.
-
-    Two documents are linked when the Jaccard similarity of their sets of word n-grams (lower-cased words) reaches the
-    threshold. n_links counts the linked documents with another set, copies of them included; n_copies the documents with
-    the same set; class_id is the least doc_id that links and copies lead to. A text of fewer than n words is one gram; a null or empty text or one
-    without words links with nothing, and its class is its doc_id. Repeated rows count as copies. Null doc_ids are compared like others and
-    come first among equals only if a class has no other. No rows give no rows. Other columns are ignored.
-
-    Documents of one set are one node. Nodes that share a band hash fall in one candidate component, which holds
-    every pair the bands propose; inside it all pairs are verified on the full sets, block by block.
-    """
+def classes(docs: DataFrame, n: int, threshold: float, recall: float, block: int) -> tuple[DataFrame, DataFrame]:
+    """The signatures of every row, and of every node its first row (doc_id, text_key), copies, root and n_links."""
     bands, rows = banding(threshold, recall)
     signed = stash(signatures(docs, n, bands, rows), "signatures")
     nodes = stash(
@@ -231,7 +221,23 @@ def ngram_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: floa
     linked = stash(links(docs, members, n, threshold, block), "verified")
     counts = linked.groupBy("node").agg(F.sum("n_links").alias("n_links"))
     roots = components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    named = nodes.join(roots.hint("merge"), "node", "left").join(counts.hint("merge"), "node", "left").select("node", "doc_id", "copies", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    named = nodes.join(roots.hint("merge"), "node", "left").join(counts.hint("merge"), "node", "left").select("node", "doc_id", "text_key", "copies", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return signed, named
+
+
+def ngram_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.9995, block: int = BLOCK) -> DataFrame:
+    """Every row of docs: doc_id, class_id, n_links, n_copies.
+
+    Two documents are linked when the Jaccard similarity of their sets of word n-grams (lower-cased words) reaches the
+    threshold. n_links counts the linked documents with another set, copies of them included; n_copies the documents with
+    the same set; class_id is the least doc_id that links and copies lead to. A text of fewer than n words is one gram; a null or empty text or one
+    without words links with nothing, and its class is its doc_id. Repeated rows count as copies. Null doc_ids are compared like others and
+    come first among equals only if a class has no other. No rows give no rows. Other columns are ignored.
+
+    Documents of one set are one node. Nodes that share a band hash fall in one candidate component, which holds
+    every pair the bands propose; inside it all pairs are verified on the full sets, block by block.
+    """
+    signed, named = classes(docs, n, threshold, recall, block)
     least = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     info = named.join(least.hint("merge"), "root").select("node", "class_id", "n_links", "copies")
     return signed.select("doc_id", "node").join(info.hint("merge"), "node", "left").select(
@@ -243,7 +249,12 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(documents(spark, sf_dir))
 
 
-def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each class of near duplicates the document with the least doc_id, all columns of docs."""
-    kept = ngram_join(docs).filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept.hint("merge"), docs["doc_id"].cast("long").eqNullSafe(kept["_kept_id"]), "left_semi")
+def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str, n: int = 5, threshold: float = 0.8, recall: float = 0.9995) -> DataFrame:
+    """Pipeline stage: of each class of near duplicates exactly one row of the least doc_id, all columns of docs.
+
+    Decided by doc_id and text, not by doc_id alone. Texts without words stay, one row of each doc_id and text.
+    """
+    signed, named = classes(docs, n, threshold, recall, BLOCK)
+    first = named.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nil"), "doc_id", "text_key")).alias("rep")).select("rep.doc_id", F.col("rep.text_key").alias("key"))
+    wordless = signed.filter("node is null").select("doc_id", F.col("text_key").alias("key"))
+    return one_of_each(docs, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))), first.unionByName(wordless))

@@ -50,3 +50,9 @@ def test_stage_keeps_columns(spark, docs, odd):
     assert kept.columns == docs.columns
     assert kept.count() == len({re.sub("[\x20\x09-\x0d]+", " ", r.text or "") for r in docs.collect()})
     assert {r.doc_id for r in keep_first(spark, odd, "").collect()} == {1, 2, 3, 5, 7, 8, 9, None}
+
+
+def test_stage_decides_per_row(spark):
+    rows = [(3, "same"), (None, "same"), (None, "other"), (None, "other"), (4, "third"), (4, "third"), (4, "same"), (2, "fourth"), (5, "fourth"), (5, "fifth")]
+    kept = keep_first(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(3, "same"), (None, "other"), (4, "third"), (2, "fourth"), (5, "fifth")], key=str)

@@ -84,3 +84,11 @@ def test_stage_keeps_one_of_each_class(spark, docs, odd):
     kept = keep_one(spark, docs, "")
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == expected
     assert keep_one(spark, odd, "").count() > 0
+
+
+def test_stage_decides_per_row(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    near = a + " more"
+    rows = [(3, a), (None, near), (None, b), (None, b), (4, c), (4, c), (4, near), (6, "-"), (7, "-"), (7, "-")]
+    kept = keep_one(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(3, a), (None, b), (4, c), (6, "-"), (7, "-")], key=str)
