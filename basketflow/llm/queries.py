@@ -8,6 +8,7 @@ from .ngram_join import op10_ngram_join
 from .packing import op8_best_fit_packing
 from .resample import op2_quality_classifier
 from .sharding import op3_sharding
+from .target_sampling import OP13_SQL, op13_target_sampling
 from .token_counts import op7_token_counts
 from .url_filter import op5_url_filter
 
@@ -24,6 +25,7 @@ REGISTRY = {
         op8_best_fit_packing,
         op9_byte_bpe,
         op10_ngram_join,
+        op13_target_sampling,
     )
 }
-ORACLE = {"op4_exact_dedup": OP4_SQL}
+ORACLE = {"op4_exact_dedup": OP4_SQL, "op13_target_sampling": OP13_SQL}
