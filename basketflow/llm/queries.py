@@ -1,6 +1,7 @@
 """The registered queries of this subpackage and the SQL of those that SQL can express."""
 
 from .bpe_replay import op9_byte_bpe
+from .collocations import OP12_SQL, op12_collocations
 from .exact_dedup import OP4_SQL, op4_exact_dedup
 from .imatch import op6_document_fingerprints
 from .licenses import op1_license_scan
@@ -25,7 +26,8 @@ REGISTRY = {
         op8_best_fit_packing,
         op9_byte_bpe,
         op10_ngram_join,
+        op12_collocations,
         op13_target_sampling,
     )
 }
-ORACLE = {"op4_exact_dedup": OP4_SQL, "op13_target_sampling": OP13_SQL}
+ORACLE = {"op4_exact_dedup": OP4_SQL, "op12_collocations": OP12_SQL, "op13_target_sampling": OP13_SQL}
