@@ -1,6 +1,7 @@
 """The registered queries of this subpackage and the SQL of those that SQL can express."""
 
 from .bpe_replay import op9_byte_bpe
+from .bpe_trie import op11_trie_bpe
 from .collocations import OP12_SQL, op12_collocations
 from .exact_dedup import OP4_SQL, op4_exact_dedup
 from .imatch import op6_document_fingerprints
@@ -26,6 +27,7 @@ REGISTRY = {
         op8_best_fit_packing,
         op9_byte_bpe,
         op10_ngram_join,
+        op11_trie_bpe,
         op12_collocations,
         op13_target_sampling,
     )
