@@ -65,6 +65,7 @@ class ForecastConfig:
     seasonal_period: int = 12
     auto_order: bool = True
     arima_order: tuple[int, int, int] = (1, 1, 1)
+    # (1, 1, 1): one difference and one AR and MA term at the seasonal lag; (0, 0, 0): none of them.
     seasonal_order: tuple[int, int, int] = (1, 1, 1)
     # True makes "ensemble" an alias of "arima" instead of the mean of ARIMA and ETS.
     ensemble_is_arima: bool = False
@@ -73,7 +74,10 @@ class ForecastConfig:
         _require(self.model_type in ("arima", "ets", "ensemble"), f"unknown model type: {self.model_type}")
         _require(self.horizon >= 1, "horizon must be at least 1")
         _require(0.5 <= self.confidence_level <= 0.99, "confidence_level must lie in [0.5, 0.99]")
-        _require(self.seasonal_period >= 1, "seasonal_period must be at least 1")
+        _require(self.seasonal_period >= 2, "seasonal_period must be at least 2")
+        _require(self.seasonal_order in ((0, 0, 0), (1, 1, 1)), "seasonal_order is (0, 0, 0) or (1, 1, 1)")
+        p, d, q = self.arima_order
+        _require(0 <= p <= 2 and 0 <= q <= 2 and d in (0, 1), "arima_order: p and q up to 2, d up to 1")
 
 
 @dataclass(frozen=True)

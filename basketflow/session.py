@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import lru_cache
@@ -34,7 +36,9 @@ def build_session(app: str = "basketflow", master: str | None = None, **conf: st
 
 @lru_cache(maxsize=1)
 def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="basketflow-")
+    root = tempfile.mkdtemp(prefix="basketflow-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -52,6 +56,13 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written to a work folder and read back: what follows neither repeats it nor depends on the executors that made it."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame) -> tuple[DataFrame, int]:
     """Persist an aggregated side and count it. Lost blocks are recomputed from the lineage."""
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
