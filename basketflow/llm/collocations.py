@@ -10,12 +10,11 @@ that the bitmaps let through, which leaves exactly the frequent ones.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
+from pandas.util import hash_array
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -72,6 +71,26 @@ def parted(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return words, owner, first
 
 
+def numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different keys, the number of each key among them, and how often each occurs."""
+    coded = pa.array(keys, pa.int64()).dictionary_encode()
+    number = np.asarray(coded.indices, np.int64)
+    return np.asarray(coded.dictionary, np.int64), number, np.bincount(number, minlength=len(coded.dictionary))
+
+
+def word_hashes(langs: pa.Array, words: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each pair."""
+    coded = langs.dictionary_encode()
+    seeds = hash_array(coded.dictionary.to_numpy(zero_copy_only=False), categorize=False)[np.asarray(coded.indices, np.int64)] if len(langs) else np.empty(0, np.uint64)
+    return _mixed(hash_array(words.to_numpy(zero_copy_only=False), categorize=False) if len(words) else seeds, seeds)
+
+
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    out = (a ^ a >> np.uint64(29)) * np.uint64(0x9E3779B97F4A7C15) + b * np.uint64(0xBF58476D1CE4E5B9)
+    out ^= out >> np.uint64(32)
+    return out * np.uint64(0xD6E8FEB86659FD93)
+
+
 class Bitmap:
     """Hashes by their upper bits. `passes` is true for every hash it was made of, and for few others while it is not full."""
 
@@ -103,16 +122,13 @@ class Block:
         langs = batch.column("lang").dictionary_encode()
         coded = words.dictionary_encode()
         width = max(len(coded.dictionary), 1)
-        keys, self.unit = np.unique(np.asarray(langs.indices, np.int64)[owner] * width + np.asarray(coded.indices, np.int64), return_inverse=True)
+        keys, self.unit, _ = numbered(np.asarray(langs.indices, np.int64)[owner] * width + np.asarray(coded.indices, np.int64))
         self.lang = langs.dictionary.take(pa.array(keys // width))
         self.word = coded.dictionary.take(pa.array(keys % width))
         self.first = first
 
     def hashes(self) -> np.ndarray:
-        """xxhash64(lang, word) as Spark computes it."""
-        seeds = {lang: xxhash.xxh64_intdigest(lang.encode(), 42) for lang in self.lang.unique().to_pylist()}
-        found = (xxhash.xxh64_intdigest(w, seeds[g]) for g, w in zip(self.lang.to_pylist(), self.word.cast(pa.binary()).to_pylist()))
-        return np.fromiter(found, np.uint64, len(self.word))
+        return word_hashes(self.lang, self.word)
 
     def levels(self, filters: list[Bitmap], most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """For 2 to `most` words: hashes, counts and words (as numbers) of the different phrases both whose parts pass the filters."""
@@ -122,13 +138,10 @@ class Block:
         good = filters[0].passes(hashes)[code] if units else np.empty(0, bool)
         for n in range(2, most + 1):
             at = np.flatnonzero(good[: 1 - n] & good[1 : len(good) - n + 2] & ~self.first[n - 1 :]) if len(good) >= n else np.empty(0, np.int64)
-            last = unit[at + n - 1]
-            _, place, inverse, counts = np.unique(code[at] * units + last, return_index=True, return_inverse=True, return_counts=True)
-            before, last = code[at[place]], last[place]
+            keys, inverse, counts = numbered(code[at] * units + unit[at + n - 1])
+            before, last = np.divmod(keys, max(units, 1))
             parts = np.column_stack([parts[before], last])
-            hashes = (hashes[before] ^ hashes[before] >> np.uint64(29)) * np.uint64(0x9E3779B97F4A7C15) + single[last] * np.uint64(0xBF58476D1CE4E5B9)
-            hashes ^= hashes >> np.uint64(32)
-            hashes *= np.uint64(0xD6E8FEB86659FD93)
+            hashes = _mixed(hashes[before], single[last])
             yield hashes, counts, parts
             if n == most:
                 return
@@ -158,6 +171,17 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(count, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
+def hashed(single: DataFrame) -> DataFrame:
+    """`hash` of the frequent words."""
+
+    def run(batches):
+        for batch in batches:
+            found = word_hashes(batch.column("lang"), batch.column("phrase"))
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], names=["hash"])
+
+    return single.select("lang", "phrase").mapInArrow(run, "hash long")
+
+
 def mined(rows: DataFrame, filters: list[Bitmap], support: int, shards: int) -> DataFrame:
     """`hash` of every phrase of len(filters) + 1 words that is frequent in some shard."""
     if not 1 <= shards <= 1 << (64 - _HASH_BITS):
@@ -196,7 +220,7 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT, words: int = WORDS
     rows = lang_text(docs)
     single = stash(word_counts(rows).where(F.col("phrase").isNull() | (F.col("n") >= support)), "phrase-words")
     totals, single = single.where(F.col("phrase").isNull()).select("lang", "n"), single.where(F.col("phrase").isNotNull())
-    filters = [bitmap(single.select(F.xxhash64("lang", "phrase").alias("hash")))]
+    filters = [bitmap(stash(hashed(single), "phrase-word-hashes"))]
     for n in range(2, words + 1):
         filters.append(bitmap(stash(mined(rows, filters, support, shards), f"phrase-mined-{n}")))
     return single.unionByName(stash(counted(rows, filters, support), "phrase-counts")), totals
