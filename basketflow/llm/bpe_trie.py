@@ -64,14 +64,16 @@ class TrieBpe:
         for i in sorted(self.ids.values(), key=lambda i: len(self.words[i])):
             a, b = halves.get(i, (None, None))
             self.right[i], self.left[i] = ((i,), (i,)) if a is None else ((*self.right[b], i), (*self.left[a], i))
-        # The longest token with these last two bytes.
+        # The longest token with these last three bytes.
         self.longest: dict[bytes, int] = {}
         for w in self.ids:
-            self.longest[w[-2:]] = max(len(w), self.longest.get(w[-2:], 1))
+            if len(w) > 2:
+                self.longest[w[-3:]] = max(len(w), self.longest.get(w[-3:], 0))
         self.pair = Memo(self._stays, PAIRS_KEPT)
         self.pattern = regex.compile(_WORDS)
         self.known: dict[str, bytes] = {}
         self.table = pa.array(self.words, pa.binary())
+        self.packed = [i.to_bytes(4, "little") for i in range(len(self.words))]
 
     def _stays(self, pair: int) -> bool:
         """Whether two tokens side by side stay as they are: no merge across their border comes before those that make them.
@@ -98,46 +100,60 @@ class TrieBpe:
     def encode_words(self, words: Iterable[bytes]) -> dict[bytes, list[int]]:
         """Ids of every distinct word.
 
-        Sorted words are the trie in preorder: a word leaves the path of the one before where they begin to differ. `last` holds the
-        tokens of the nodes on the present path; going down adds one per byte, going up drops them.
+        Sorted words are the trie in preorder: a word leaves the path of the one before where they begin to differ. `last` holds the tokens of
+        the nodes on the present path; going down adds one per byte, going up drops them.
         """
-        ids, longest, sizes, pair = self.ids, self.longest, [len(w) for w in self.words], self.pair
+        lookup, longest, sizes, pair = self.ids.get, self.longest.get, [len(w) for w in self.words], self.pair
         out: dict[bytes, list[int]] = {}
         last: list[int] = []
         before = b""
         for word in sorted(set(words)):
-            shared = next((i for i, (a, b) in enumerate(zip(before, word)) if a != b), min(len(before), len(word)))
+            shared = 0
+            for a, b in zip(before, word):
+                if a != b:
+                    break
+                shared += 1
             del last[shared:]
+            depth = shared
             for depth in range(shared + 1, len(word) + 1):
-                for size in range(min(depth, longest.get(word[max(depth - 2, 0) : depth], 1)), 0, -1):
-                    token = ids.get(word[depth - size : depth])
-                    if token is not None and (size == depth or pair[last[depth - size - 1] << 32 | token]):
-                        last.append(token)
+                start = depth - longest(word[depth - 3 : depth], 2) if depth > 3 else 0
+                if start < 0:
+                    start = 0
+                while True:  # the longest token first; a single byte always is one
+                    token = lookup(word[start:depth])
+                    if token is not None and (not start or pair[last[start - 1] << 32 | token]):
                         break
+                    start += 1
+                last.append(token)
             found, depth = [], len(word)
             while depth:
-                found.append(last[depth - 1])
-                depth -= sizes[found[-1]]
-            out[word] = found[::-1]
+                token = last[depth - 1]
+                found.append(token)
+                depth -= sizes[token]
+            found.reverse()
+            out[word] = found
             before = word
         return out
 
     def parted(self, chunk: str) -> list[str]:
         """The words of a chunk without special strings."""
-        if _AGREED.fullmatch(chunk):
-            return self.pattern.findall(chunk)
-        return [chunk[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(chunk)]
-
-    def pieces(self, chunk: str, special: bool) -> list[str]:
+        if chunk.isascii():
+            if chunk[1:].isalpha() and chunk[0] == " ":
+                return [chunk]
+            if chunk[-1:] in (",", ".") and chunk[1:-1].isalpha() and chunk[0] == " ":
+                return [chunk[:-1], chunk[-1]]
+        elif not _AGREED.fullmatch(chunk):
+            return [chunk[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(chunk)]
+        return self.pattern.findall(chunk)
+
+    def pieces(self, chunk: str) -> list[str]:
         """The words and special strings of a chunk."""
-        if not special:
-            return self.parted(chunk)
         return [w for part in self.cut.split(chunk) for w in ([part] if part in self.special else self.parted(part))]
 
     def learn(self, words: set[str]) -> None:
-        raw = {w: w.encode() for w in words}
-        ids = self.encode_words(raw.values())
-        self.known.update((w, np.array(ids[b], "<u4").tobytes()) for w, b in raw.items())
+        ids = self.encode_words(map(str.encode, words))
+        packed = self.packed.__getitem__
+        self.known.update((w, b"".join(map(packed, ids[w.encode()]))) for w in words)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another; starts of the texts."""
@@ -152,12 +168,14 @@ class TrieBpe:
             split = pa.ListArray.from_arrays(pa.array(range(len(texts) + 1), pa.int32()), texts)
         coded = split.flatten().dictionary_encode()
         offsets = np.asarray(split.offsets, np.int64) - split.offsets[0].as_py()
-        odd = bool(special.any())
-        chunks = [self.pieces(c, odd and self.cut.search(c) is not None) for c in coded.dictionary.to_pylist()]
+        if special.any():
+            chunks = [self.pieces(c) if self.cut.search(c) else self.parted(c) for c in coded.dictionary.to_pylist()]
+        else:
+            chunks = list(map(self.parted, coded.dictionary.to_pylist()))
         if len(self.known) > WORDS_KEPT:
             self.known = {}
         for content, i in self.special.items():
-            self.known[content] = i.to_bytes(4, "little")
+            self.known[content] = self.packed[i]
         self.learn({w for words in chunks for w in words if w not in self.known})
         known = self.known
         made = [b"".join([known[w] for w in words]) for words in chunks]
