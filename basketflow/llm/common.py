@@ -38,12 +38,23 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The wanted names, with underscores behind those that a column of df has already (in any case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def one_of_each(docs: DataFrame, key: Column, kept: DataFrame) -> DataFrame:
     """Rows of docs whose doc_id and text key are among the kept (doc_id, key), one row of each; which of several is not stated.
 
-    Repeated rows meet within a task before they move. Null doc_ids are equal to each other.
+    Repeated rows meet within a task before they move. Null doc_ids are equal to each other. Columns of docs may have any names.
     """
-    names = ["_nil", "_id", "_key"]
+    names = free_names(docs, "no_id", "id", "key")
 
     def keyed(doc_id: Column, text_key: Column) -> list[Column]:
         return [c.alias(n) for c, n in zip((doc_id.isNull(), F.coalesce(doc_id, F.lit(0)), text_key), names)]

@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 from .common import Memo, documents, gram_hashes, hash64, id_text, stash, worker_state
 from .word_bpe import blocks
 
-# The hashed models have 2^BITS slots: the size of what is summed, sent to the driver and broadcast, whatever the corpus.
-BITS = 16
+# The hashed models have 2^BITS slots for small corpora, and a slot a document for larger ones, up to 2^MOST_BITS: the size of what
+# is summed, sent to the driver and broadcast.
+BITS, MOST_BITS = 18, 20
+# White space parts words; so does this many characters without any.
+LONGEST = 24
 # Labelled documents of either kind that target model and cut are taken from, at most.
 SAMPLE = 20_000
 # Weight of the raw model in the smoothed target model, in tokens per slot.
@@ -37,7 +40,7 @@ def _case(letters: str) -> str:
 
 def _tokens() -> Memo:
     """Chunk to two packed hashes: of its letters and digits, and of its shape (cases, digits, punctuation)."""
-    shapes = Memo(lambda shape: hash64("\0" + shape[:8]).to_bytes(8, "little"), 50_000)
+    shapes = Memo(lambda shape: hash64("\0" + shape).to_bytes(8, "little"), 50_000)
 
     def token(chunk: str) -> bytes:
         stem, mark = (chunk[:-1], chunk[-1]) if chunk[-1:] in (".", ",") else (chunk, "")
@@ -51,9 +54,9 @@ def _tokens() -> Memo:
 def block_slots(texts: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """Slots of the texts' words and of their runs of one to three word shapes, as often as they occur, and the number of the text that each belongs to.
 
-    Words are parted by white space. A word that repeats the one before has a shape of its own. A text's slots keep their order, whatever texts stand beside it.
+    Words are parted by white space, and every LONGEST characters where there is none. A word that repeats the one before has a shape of its own. A text's slots keep their order, whatever texts stand beside it.
     """
-    split = pc.utf8_split_whitespace(texts)
+    split = pc.utf8_split_whitespace(pc.replace_substring_regex(texts, rf"(\S{{{LONGEST}}})", r"\1 "))
     coded = split.flatten().dictionary_encode()
     owner = np.repeat(np.arange(len(texts)), np.diff(np.asarray(split.offsets)))
     memo = worker_state("quality", "tokens", _tokens)
@@ -106,8 +109,8 @@ def ratio_table(docs: DataFrame, sample: DataFrame, bits: int = BITS, prior: flo
 
     sums = rows.mapInArrow(count, "slot long, raw long, target long").groupBy("slot").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
     counts = np.zeros((2, 1 << bits))
-    for slot, raw, target in sums.collect():  # at most 2^bits rows
-        counts[:, slot] = raw, target
+    found = sums.toArrow()  # at most 2^bits rows
+    counts[:, found.column("slot").to_numpy()] = found.column("raw").to_numpy(), found.column("target").to_numpy()
     raw = (counts[0] + 0.5) / (counts[0] + 0.5).sum()
     weight = prior * (1 << bits)
     return np.log((counts[1] + weight * raw) / (counts[1].sum() + weight) / raw)
@@ -130,7 +133,7 @@ def log_weight(table: np.ndarray):
 
 def gumbel(seed: int) -> Column:
     """Noise of a standard Gumbel distribution that the document's id decides."""
-    uniform = (F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
+    uniform = (F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.lit(seed)), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
     return -F.log(-F.log(uniform))
 
 
@@ -169,16 +172,21 @@ def kth_largest(df: DataFrame, column: str, k: int) -> float:
             above += n
 
 
-def resample(docs: DataFrame, labels: DataFrame, seed: int = 7, bits: int = BITS, sample: int = SAMPLE):
+def model_bits(docs: DataFrame) -> int:
+    return min(max(docs.count().bit_length(), BITS), MOST_BITS)
+
+
+def resample(docs: DataFrame, labels: DataFrame, seed: int = 7, bits: int | None = None, sample: int = SAMPLE):
     """(scores, table, threshold): log_weight and gumbel_key of every row; the log ratios; the key that the chosen ones reach.
 
     k, the size of the sample, is the number of documents whose weight reaches the cut that best parts the calibrating half of the
     labelled documents. Documents with the k greatest keys (log weight plus Gumbel noise) are the sample without replacement.
     """
     known = stash(labelled(labels, sample), "labelled")
-    table = ratio_table(docs, known, bits)
+    table = ratio_table(docs, known, bits or model_bits(docs))
     scored = stash(id_text(docs).select("doc_id", log_weight(table)("text").alias("log_weight")).withColumn("gumbel_key", F.col("log_weight") + gumbel(seed)), "scores")
-    held_out = scored.join(F.broadcast(known.filter("half = 1")), "doc_id").select("log_weight", "quality").collect()  # bounded by the sample
+    held_out = scored.join(F.broadcast(known.filter("half = 1")), "doc_id").groupBy("doc_id", "quality").agg(F.min("log_weight").alias("log_weight"))
+    held_out = held_out.select("log_weight", "quality").collect()  # a row per label, however often its document is there
     cut = cut_between([w for w, q in held_out if q >= 1], [w for w, q in held_out if q <= 0])
     k = scored.filter(F.col("log_weight") >= cut).count()
     return scored, table, kth_largest(scored, "gumbel_key", k)
@@ -200,7 +208,11 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_sampled(spark: SparkSession, docs: DataFrame, sf_dir: str, seed: int = 7) -> DataFrame:
-    """Pipeline stage: the sampled rows, all columns of docs. Keys are computed again beside the rows, which so need no join."""
+    """Pipeline stage: the sampled rows, all columns of docs. Keys are computed again beside the rows, which so need no join.
+
+    Null and empty texts, ties and repeated rows are as in quality_sample: equal rows stay or go together, without labels all stay. No rows give
+    no rows. Columns of docs may have any names, since none is added.
+    """
     _, table, threshold = resample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), seed)
     key = log_weight(table)(F.coalesce(F.col("text").cast("string"), F.lit(""))) + gumbel(seed)
-    return docs.withColumn("_gumbel_key", key).filter(F.col("_gumbel_key") >= F.lit(threshold)).drop("_gumbel_key")
+    return docs.filter(key >= F.lit(threshold))
