@@ -140,8 +140,72 @@ def _roots(near: np.ndarray) -> np.ndarray:
         root = least
 
 
-def links(docs: DataFrame, members: DataFrame, n: int, threshold: float, block: int = BLOCK, partners: bool = False) -> DataFrame:
-    """Verified links between members (node, comp, doc_id, text_key, copies) of one comp: node, n_links, root, linked.
+def gram_sets(docs: DataFrame, members: DataFrame, n: int) -> DataFrame:
+    """node, size, grams of the members (node, doc_id, text_key): at least one row of each node, which rows of several tasks may repeat.
+
+    Of rows with one doc_id and text a task sends one.
+    """
+
+    def once(batches):
+        seen = set()
+        for batch in batches:
+            keys = list(zip(batch.column("doc_id").to_pylist(), batch.column("text_key").to_pylist()))
+            new = []
+            for i, key in enumerate(keys):
+                if key not in seen:
+                    seen.add(key)
+                    new.append(i)
+            yield batch if len(new) == len(keys) else batch.take(pa.array(new, pa.int32()))
+
+    def grams(batches):
+        for batch in batches:
+            sets = [gram_set(t, n) for (t,) in rows_of([batch], "text")]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array([len(s) for s in sets], pa.int32()), pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "size", "grams"]
+            )
+
+    left = id_text(docs, F.xxhash64("text").alias("text_key")).mapInArrow(once, "doc_id long, text string, text_key long")
+    named = members.select("node", F.col("doc_id").alias("m_id"), F.col("text_key").alias("m_key"))
+    texts = left.join(named.hint("merge"), F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("text_key") == F.col("m_key")))
+    return texts.select("node", "text").mapInArrow(grams, "node string, size int, grams binary")
+
+
+def narrowed(members: DataFrame, held: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
+    """members (node, comp, copies) with the components of more than `block` members cut into finer ones, by an exact filter.
+
+    With the grams of a component in one order, the rarest first, two sets whose similarity reaches the threshold share one of the first
+    size - ceil(threshold * size) + 1 grams of each. What many texts have in common comes last in this order, so texts that share only
+    boilerplate part. Members that share none of these grams with another one have no link and are left out.
+    """
+    counts = members.groupBy("comp").agg(F.count(F.lit(1)).alias("n"))
+    large = counts.filter(F.col("n") > block).select("comp")
+    if large.isEmpty():
+        return members
+    small = members.join(large, "comp", "left_anti")
+    inside = stash(members.join(large, "comp").join(held, "node").groupBy("node", "comp").agg(F.first("size").alias("size"), F.first("grams").alias("grams")), "large-components")
+
+    def one_by_one(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                grams = np.frombuffer(batch.column("grams")[i].as_py(), np.int64)
+                fixed = [pa.array([batch.column(c)[i].as_py()] * len(grams), k) for c, k in (("comp", pa.string()), ("node", pa.string()), ("size", pa.int32()))]
+                yield pa.RecordBatch.from_arrays([*fixed, pa.array(grams)], names=["comp", "node", "size", "gram"])
+
+    single = inside.mapInArrow(one_by_one, "comp string, node string, size int, gram long")
+    often = single.groupBy("comp", "gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = single.join(often.hint("merge"), ["comp", "gram"]).groupBy("comp", "node").agg(F.first("size").alias("size"), F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("shared"))
+    first = F.col("size") - F.ceil(threshold * F.col("size") - 1e-9) + 1
+    alone = F.col("size") - F.size("shared")  # grams of no other member come before all shared ones
+    prefix = F.slice("shared", F.lit(1), F.greatest(first - alone, F.lit(0)).cast("int"))
+    keys = stash(shared.select("comp", "node", F.explode(prefix).alias("p")).select("comp", "node", "p.gram"), "rare-grams")
+    hubs = keys.groupBy("comp", "gram").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    finer = components(keys.join(hubs.hint("merge"), ["comp", "gram"]).select(F.col("node").alias("a"), F.col("hub").alias("b")))
+    cut = members.drop("comp").join(finer.withColumnRenamed("root", "comp").hint("merge"), "node")
+    return small.unionByName(cut)
+
+
+def verified(held: DataFrame, members: DataFrame, threshold: float, block: int = BLOCK, partners: bool = False) -> DataFrame:
+    """Verified links between members (node, comp, copies) of one comp with their gram sets: node, n_links, root, linked.
 
     A comp of more than about `block` members is cut into blocks and every pair of blocks compared, each as a group of its own.
     A row is a node with links in one such group: n_links counts the documents (copies included) it is linked to there, root is the least
@@ -150,16 +214,7 @@ def links(docs: DataFrame, members: DataFrame, n: int, threshold: float, block:
     """
     sizes = members.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
     placed = members.join(sizes.hint("merge"), "comp").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    left = id_text(docs, F.xxhash64("text").alias("text_key"))
-    texts = left.join(placed.withColumnsRenamed({"doc_id": "m_id", "text_key": "m_key"}).hint("merge"), F.col("doc_id").eqNullSafe(F.col("m_id")) & (F.col("text_key") == F.col("m_key")))
-
-    def grams(batches):
-        for batch in batches:
-            sets = [gram_set(t, n).tobytes() for (t,) in rows_of([batch], "text")]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("comp", "node", "copies", "block", "blocks")), pa.array(sets, pa.binary())], names=["comp", "node", "copies", "block", "blocks", "grams"])
-
-    held = texts.select("comp", "node", "copies", "block", "blocks", "text").mapInArrow(grams, "comp string, node string, copies long, block int, blocks int, grams binary")
-    paired = held.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+    paired = held.join(placed.hint("merge"), "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "comp", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "copies", "grams"
     )
 
@@ -203,6 +258,11 @@ def links(docs: DataFrame, members: DataFrame, n: int, threshold: float, block:
     return paired.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j").mapInArrow(verify, "node string, n_links long, root string, linked array<string>")
 
 
+def links(docs: DataFrame, members: DataFrame, n: int, threshold: float, block: int = BLOCK, partners: bool = False) -> DataFrame:
+    """As `verified`, for members (node, comp, doc_id, text_key, copies) of docs."""
+    return verified(gram_sets(docs, members, n), members.select("node", "comp", "copies"), threshold, block, partners)
+
+
 def classes(docs: DataFrame, n: int, threshold: float, recall: float, block: int) -> tuple[DataFrame, DataFrame]:
     """The signatures of every row, and of every node its first row (doc_id, text_key), copies, root and n_links."""
     bands, rows = banding(threshold, recall)
@@ -217,8 +277,9 @@ def classes(docs: DataFrame, n: int, threshold: float, recall: float, block: int
     hubs = keys.groupBy("band", "key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("members")).filter("members > 1").drop("members")
     near = keys.join(hubs.hint("merge"), ["band", "key"]).select(F.col("node").alias("a"), F.col("hub").alias("b"))
     comps = components(near).withColumnRenamed("root", "comp")
-    members = nodes.drop("bands").join(comps.hint("merge"), "node")
-    linked = stash(links(docs, members, n, threshold, block), "verified")
+    members = stash(nodes.drop("bands").join(comps.hint("merge"), "node"), "members")
+    held = stash(gram_sets(docs, members, n), "gram-sets")
+    linked = stash(verified(held, narrowed(members.select("node", "comp", "copies"), held, threshold, block), threshold, block), "verified")
     counts = linked.groupBy("node").agg(F.sum("n_links").alias("n_links"))
     roots = components(linked.select(F.col("node").alias("a"), F.col("root").alias("b")))
     named = nodes.join(roots.hint("merge"), "node", "left").join(counts.hint("merge"), "node", "left").select("node", "doc_id", "text_key", "copies", F.coalesce("root", "node").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
@@ -235,7 +296,7 @@ def ngram_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: floa
     come first among equals only if a class has no other. No rows give no rows. Other columns are ignored.
 
     Documents of one set are one node. Nodes that share a band hash fall in one candidate component, which holds
-    every pair the bands propose; inside it all pairs are verified on the full sets, block by block.
+    every pair the bands propose. Large components are cut by their rarest grams, then all pairs inside are verified on the full sets, block by block.
     """
     signed, named = classes(docs, n, threshold, recall, block)
     least = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))

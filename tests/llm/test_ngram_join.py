@@ -1,8 +1,10 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from basketflow.llm.common import words
-from basketflow.llm.ngram_join import banding, components, keep_one, links, ngram_join, signatures
+from basketflow.llm.ngram_join import banding, components, gram_sets, keep_one, links, narrowed, ngram_join, signatures
 
 
 def grams(text):
@@ -92,3 +94,50 @@ def test_stage_decides_per_row(spark):
     rows = [(3, a), (None, near), (None, b), (None, b), (4, c), (4, c), (4, near), (6, "-"), (7, "-"), (7, "-")]
     kept = keep_one(spark, spark.createDataFrame(rows, "doc_id long, text string"), "")
     assert sorted(map(tuple, kept.collect()), key=str) == sorted([(3, a), (None, b), (4, c), (6, "-"), (7, "-")], key=str)
+
+
+def boilerplate(n):
+    """Texts that share half of their words, in front: similar below the threshold, so that bands mix them."""
+    common = " ".join(f"common{i}" for i in range(70))
+    return [(i, common + " " + " ".join(f"own{i}x{j}" for j in range(40))) for i in range(n)]
+
+
+def test_shared_boilerplate_is_not_compared(spark):
+    """Texts of one component that share only boilerplate part before any pair is verified; links stay."""
+    rows = boilerplate(400)
+    rows += [(1000 + i, text + " tail") for i, (_, text) in enumerate(rows[:30])] + [(2000, rows[0][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    bands, per_band = banding(0.8, 0.9995)
+    nodes = signatures(df, 5, bands, per_band).dropDuplicates(["node"]).select("node", F.lit("all").alias("comp"), "doc_id", "text_key", F.lit(1).cast("long").alias("copies")).cache()
+    held = gram_sets(df, nodes, 5)
+    cut = narrowed(nodes.select("node", "comp", "copies"), held, 0.8, 32)
+    sizes = [r["count"] for r in cut.groupBy("comp").count().collect()]
+    assert sorted(sizes) == [2] * 30
+    assert rows_of(ngram_join(df, block=32)) == brute(rows)
+
+
+def test_prefix_filter_loses_no_link(spark):
+    """Random sets of few grams around the threshold: every linked pair is still in one component."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(120):
+        ws = [f"w{rng.randrange(4)}_{k}" if rng.random() < 0.015 else f"w_{k}" for k in range(rng.choice([40, 60, 62]))]
+        rows.append((i, " ".join(ws)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    nodes = signatures(df, 5, 20, 5).dropDuplicates(["node"]).select("node", F.lit("all").alias("comp"), "doc_id", "text_key", F.lit(1).cast("long").alias("copies"))
+    nodes = spark.createDataFrame(nodes.collect(), nodes.schema)
+    held = gram_sets(df, nodes, 5)
+    cut = {r.node: r.comp for r in narrowed(nodes.select("node", "comp", "copies"), held, 0.8, 4).collect()}
+    text = dict(rows)
+    named = [(r.node, grams(text[r.doc_id])) for r in nodes.collect()]
+    linked = [(a, b) for a, x in named for b, y in named if a < b and len(x & y) >= 0.8 * len(x | y) - 1e-9]
+    assert len(linked) > 20 and all(cut[a] == cut[b] for a, b in linked)
+
+
+def test_repeated_rows_send_their_text_once_a_task(spark):
+    text = " ".join(f"w{i}" for i in range(50))
+    rows = [(1, text)] * 300 + [(2, text + " more")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    nodes = signatures(df, 5, 20, 5).dropDuplicates(["node"]).select("node", F.lit("c").alias("comp"), "doc_id", "text_key", F.lit(1).cast("long").alias("copies"))
+    assert gram_sets(df, nodes, 5).count() == 2
+    assert {(r.doc_id, r.class_id, r.n_links, r.n_copies) for r in ngram_join(df).collect()} == {(1, 1, 1, 300), (2, 1, 300, 1)}
