@@ -104,9 +104,9 @@ def _stages(spark, feeds, cfg, now, quality, log, problems) -> None:
         clean = drop_outliers(flag_outliers(panel, quality, stats))
 
     clean = clean.withColumn("run_id", F.lit(run_id))
-    storage.write_prices(clean.observe(loaded, n), f"{cfg.output_path}/prices", cfg.compression)
+    storage.write_prices(clean.observe(loaded, n), f"{cfg.output_path}/prices", cfg.compression, [run_id])
     log["stored"] = loaded.get["n"]
-    storage.write_by_category(clean, f"{cfg.output_path}/by_category", cfg.compression)
+    storage.write_by_category(clean, f"{cfg.output_path}/by_category", cfg.compression, [run_id])
     if cfg.jdbc_url:
         try:
             storage.append_jdbc(clean, cfg.jdbc_url, batch_size=cfg.jdbc_batch_size)

@@ -417,6 +417,9 @@ ORACLE: dict[str, str] = {
   FROM ids LEFT JOIN named ON named.retailer = ids.retailer AND named.product_id = ids.id""",
     "stored_prices": f"""WITH {PANEL}, runs AS (SELECT '20011105_000000' AS run_id, * FROM panel UNION ALL SELECT '20011106_000000', * FROM panel WHERE ts >= {CUT})
   SELECT run_id, category, count(*) AS records, round(sum(price), 2) AS total FROM runs GROUP BY 1, 2""",
+    "retention_files": f"""WITH {PANEL} SELECT status, 1 AS runs, true AS has_files, true AS has_bytes FROM (VALUES ('expired'), ('kept')) s(status)
+  WHERE EXISTS (SELECT 1 FROM panel WHERE status = 'expired' OR ts >= {CUT})""",
+    "retention_drop": f"WITH {PANEL} SELECT '20011106_000000' AS run_id, count(*) AS records, 1 AS runs_deleted FROM panel WHERE ts >= {CUT}",
     "latest_snapshot": f"WITH {PANEL} SELECT product_id, retailer, ts AS timestamp, category, price FROM panel WHERE ts >= {CUT}",
     "history_scan": f"""WITH {PANEL} SELECT DISTINCT product_id, product_name, retailer, ts AS timestamp, category, price, unit, quantity FROM panel
   WHERE ts BETWEEN TIMESTAMP '1999-07-01' AND TIMESTAMP '2000-06-30' AND category = 'grocery'""",

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -595,6 +595,15 @@ def retention_files(spark, sf):
     return report.select("status", "runs", (F.col("files") >= F.col("runs")).alias("has_files"), (F.col("bytes") > 0).alias("has_bytes"))
 
 
+@query
+def retention_drop(spark, sf):
+    """What is left when the older run has expired: its folder and marker are gone, the newest run stays."""
+    path = _stored(spark, sf)
+    dropped = storage.drop_expired_runs(spark, path, datetime.now() + timedelta(days=500))
+    left = storage.read_prices(spark, path).groupBy("run_id").agg(F.count(F.lit(1)).alias("records"))
+    return left.withColumn("runs_deleted", F.lit(dropped["runs_deleted"]).cast("bigint"))
+
+
 @query
 def nowcast_stored(spark, sf):
     """The index over a stored table."""
@@ -714,15 +723,18 @@ def forecast_json(spark, sf):
 
 
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    stream = jobs.read_stream(spark, sf, "events.parquet", panels.table(spark, sf, "events").schema)
-    return panels.as_events_panel(stream)
+    """The events dealt by id over files, one micro-batch each, so that hours and days come mixed."""
+    events = panels.table(spark, sf, "events")
+    path = work_path(spark, "event-files")
+    events.repartition(6, "event_id").write.parquet(path)
+    return panels.as_events_panel(jobs.read_stream(spark, path, "*.parquet", events.schema, 1))
 
 
 @query
 def stream_hourly_last(spark, sf):
     out, marks = work_path(spark, "hourly"), work_path(spark, "hourly-marks")
     last = jobs.hourly_last(["event_id"])
-    schema = jobs.run_available(_event_stream(spark, sf), last, out, marks)
+    schema = jobs.run_available(_event_stream(spark, sf), last, out, marks, merge=last)
     state = jobs.merged(spark, out, schema, last)
     return state.select("product_id", "retailer", F.date_format("hour_start", "yyyy-MM-dd HH").alias("hour"), "price", "category", "event_id")
 
@@ -731,6 +743,6 @@ def stream_hourly_last(spark, sf):
 def stream_category_index(spark, sf):
     out, marks = work_path(spark, "daily"), work_path(spark, "daily-marks")
     base = price_index.base_prices(panels.events_panel(spark, sf), IndexConfig(base_period=EVENTS_START, base_days=10))
-    schema = jobs.run_available(_event_stream(spark, sf), jobs.daily_relatives(base), out, marks)
+    schema = jobs.run_available(_event_stream(spark, sf), jobs.daily_relatives(base), out, marks, merge=jobs.daily_sums)
     state = jobs.merged(spark, out, schema, jobs.daily_sums)
     return _day(_rounded(jobs.sliding_index(state), "price_index"), "window_start", "window_end")

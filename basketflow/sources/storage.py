@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date, datetime, timedelta
 
 from pyspark.errors import AnalysisException
@@ -10,6 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketflow.functions.timeparts import month_label, ts_like
+from basketflow.sources import files
+
+# A run of a stored table is read once its name is in this folder of the table; the name is written after all its partitions.
+RUNS = "_runs"
 
 
 def run_id(at: datetime) -> str:
@@ -29,41 +34,60 @@ def _replacing(df: DataFrame, compression: str) -> DataFrameWriter:
     return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", compression)
 
 
-def write_prices(df: DataFrame, path: str, compression: str = "snappy") -> None:
+def _publish(df: DataFrame, path: str, write, runs: Sequence[str] | None) -> None:
+    """Withdraws the runs, writes their partitions, then shows them: a reader sees a run whole or not at all.
+
+    While a run is replaced it is not shown; a run that dies stays unseen until it is repeated. Without names the runs are taken from the rows.
+    """
+    spark = df.sparkSession
+    shown = [str(r) for r in runs] if runs is not None else [str(r.run_id) for r in df.select("run_id").distinct().collect()]
+    for run in shown:
+        files.delete(spark, f"{path}/{RUNS}/{run}")
+    write()
+    for run in shown:
+        files.write_text(spark, f"{path}/{RUNS}/{run}", "")
+
+
+def write_prices(df: DataFrame, path: str, compression: str = "snappy", runs: Sequence[str] | None = None) -> None:
     """Main table by run and month, files sorted by time, so that a scan skips months and row groups.
 
-    The rebalance splits a large month over many files and packs small ones.
+    The rebalance splits a large month over many files and packs small ones. The runs are shown when all partitions are there.
     """
     dealt = df.withColumn("month", month_label(F.col("timestamp"))).hint("rebalance", "run_id", "month")
-    _replacing(dealt.sortWithinPartitions("run_id", "month", "timestamp"), compression).partitionBy("run_id", "month").parquet(path)
+    writer = _replacing(dealt.sortWithinPartitions("run_id", "month", "timestamp"), compression).partitionBy("run_id", "month")
+    _publish(df, path, lambda: writer.parquet(path), runs)
 
 
-def write_by_category(df: DataFrame, path: str, compression: str = "snappy") -> None:
-    """Second layout by category in one job; a large category is split over many files."""
-    _replacing(df.hint("rebalance", "category"), compression).partitionBy("category", "run_id").parquet(path)
+def write_by_category(df: DataFrame, path: str, compression: str = "snappy", runs: Sequence[str] | None = None) -> None:
+    """Second layout by category in one job; a large category is split over many files. The runs are shown when all partitions are there."""
+    writer = _replacing(df.hint("rebalance", "category"), compression).partitionBy("category", "run_id")
+    _publish(df, path, lambda: writer.parquet(path), runs)
 
 
-def read_prices(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stored table, unreadable files skipped; None when nothing is stored."""
+def shown_runs(spark: SparkSession, path: str) -> list[str]:
+    """The complete runs of a stored table, oldest first, by their markers: no data folder is listed."""
+    return files.names(spark, f"{path}/{RUNS}")
+
+
+def _rows(spark: SparkSession, path: str, runs: Sequence[str]) -> DataFrame | None:
+    found = []
+    for run in runs:
+        top = f"{path}/run_id={run}"  # or below each category
+        found.append(top if files.names(spark, top) else f"{path}/*/run_id={run}")
     try:
-        return spark.read.option("ignoreCorruptFiles", True).parquet(path)
-    except AnalysisException:
+        return spark.read.option("basePath", path).option("ignoreCorruptFiles", True).parquet(*found) if found else None
+    except AnalysisException:  # a run without rows has no folder
         return None
 
 
-def run_folders(spark: SparkSession, path: str) -> list[str]:
-    """The runs of a stored table, oldest first: one name per run folder, no file is opened."""
-    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/run_id=*")
-    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern)
-    return sorted(f.getPath().getName().removeprefix("run_id=") for f in found or [])
+def read_prices(spark: SparkSession, path: str) -> DataFrame | None:
+    """The complete runs of the stored table, unreadable files skipped; None when nothing is stored."""
+    return _rows(spark, path, shown_runs(spark, path))
 
 
 def latest_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
-    """Rows of the newest run, which is known from the folder names; no other run is listed or read. None when nothing is stored."""
-    runs = run_folders(spark, path)
-    if not runs:
-        return None
-    return spark.read.option("basePath", path).option("ignoreCorruptFiles", True).parquet(f"{path}/run_id={runs[-1]}")
+    """Rows of the newest complete run; no other run is listed or read. None when nothing is stored."""
+    return _rows(spark, path, shown_runs(spark, path)[-1:])
 
 
 def comparable(df: DataFrame) -> list:
@@ -133,8 +157,8 @@ def retention_report(df: DataFrame, cutoff: date) -> DataFrame:
 
 def stored_runs(spark: SparkSession, path: str) -> DataFrame:
     """(run_id, files, bytes, last_write) from the listing of the files; none is opened."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
-    return files.groupBy("run_id").agg(
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    return listed.groupBy("run_id").agg(
         F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), F.max("modificationTime").alias("last_write")
     )
 
@@ -155,11 +179,9 @@ def drop_expired_runs(spark: SparkSession, path: str, now: datetime, days: int =
     runs = stored_runs(spark, path).collect()
     newest = max(r.run_id for r in runs) if runs else None
     expired = [r for r in runs if r.run_id != newest and r.last_write < now - timedelta(days=days)]
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for r in expired:
-        folder = hadoop.Path(f"{path}/run_id={r.run_id}")
-        folder.getFileSystem(conf).delete(folder, True)
+        files.delete(spark, f"{path}/{RUNS}/{r.run_id}")
+        files.delete(spark, f"{path}/run_id={r.run_id}")
     return {
         "runs_deleted": len(expired),
         "files_deleted": sum(r.files for r in expired),

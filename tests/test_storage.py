@@ -158,3 +158,32 @@ def test_incremental_run(spark, tmp_path):
     late = feed(spark, 5, bad=0).withColumn("timestamp", F.expr("timestamp - INTERVAL 2 DAYS"))
     log = etl.run_incremental(spark, {"a": feed(spark), "old": late}, config(tmp_path), NOW, datetime(2024, 1, 1), ("food",)).first()
     assert log.landed == 31
+
+
+def test_a_run_that_died_is_not_read(spark, tmp_path):
+    """Some partitions of a newer run are there, its marker is not: readers keep to the older run, until the newer one is repeated."""
+    for write, layout in ((storage.write_prices, "run_id={run}/month=2024-01"), (storage.write_by_category, "category=grocery/run_id={run}")):
+        path = str(tmp_path / write.__name__)
+        write(rows(spark, "2024-01-01", "2024-02-01").withColumn("run_id", F.lit("20240101_000000")), path)
+        rows(spark, "2024-01-05").write.parquet(f"{path}/{layout.format(run='20240202_000000')}")
+        assert [r.run_id for r in storage.latest_snapshot(spark, path).select("run_id").distinct().collect()] == ["20240101_000000"]
+        assert storage.read_prices(spark, path).count() == 2
+        write(rows(spark, "2024-01-05", "2024-02-05", "2024-03-05").withColumn("run_id", F.lit("20240202_000000")), path, runs=["20240202_000000"])
+        assert storage.latest_snapshot(spark, path).count() == 3 and storage.read_prices(spark, path).count() == 5
+
+
+def test_a_run_that_dies_while_it_is_replaced_is_withdrawn(spark, tmp_path):
+    path = str(tmp_path / "prices")
+    for run in ("1", "2"):
+        storage.write_prices(rows(spark, "2024-01-01").withColumn("run_id", F.lit(run)), path)
+    broken = rows(spark, "2024-02-01").withColumn("run_id", F.lit("2")).withColumn("price", F.raise_error(F.lit("lost")).cast("double"))
+    with pytest.raises(Exception, match="lost"):
+        storage.write_prices(broken, path, runs=["2"])
+    assert storage.shown_runs(spark, path) == ["1"]
+    assert [r.run_id for r in storage.latest_snapshot(spark, path).collect()] == [1]
+
+
+def test_a_run_without_rows_is_shown_empty(spark, tmp_path):
+    path = str(tmp_path / "prices")
+    storage.write_prices(rows(spark).withColumn("run_id", F.lit("1")), path, runs=["1"])
+    assert storage.shown_runs(spark, path) == ["1"] and storage.latest_snapshot(spark, path) is None

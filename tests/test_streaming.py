@@ -112,3 +112,45 @@ def test_no_batch_yet(spark, tmp_path):
     schema = spark.createDataFrame([], LATEST).schema
     assert jobs.merged(spark, str(tmp_path / "none"), schema, latest).count() == 0
     jobs.compact(spark, str(tmp_path / "none"), schema, latest)
+
+
+def folders(path):
+    return sorted(str(p.relative_to(path)) for p in path.rglob("*=*") if list(p.glob("*.parquet")))
+
+
+def test_folders_stay_few(spark, tmp_path):
+    """Level by level: after n batches fewer than four folders a level, old ones gone, and the state is that of all batches."""
+    path = tmp_path / "out"
+    write = jobs.batch_folder_sink(latest, str(path), merge=latest)
+    want = {}
+    for i in range(40):
+        batch = [(f"k{(i * 7) % 11}", 1000 - i), (f"k{i % 5}", i)]
+        for k, v in batch:
+            want[k] = max(v, want.get(k, v))
+        df = spark.createDataFrame(batch, LATEST)
+        write(df, i)
+        if i % 9 == 0:
+            write(df, i)  # replayed
+        live = jobs._live(spark, str(path))
+        levels = [level for _, level, _ in live]
+        assert all(levels.count(level) < jobs.FAN for level in levels) and levels == sorted(levels, reverse=True)
+        assert len(folders(path)) <= len(live) + 2 * jobs.FAN  # what the list before had may still be read
+    assert [(last, level) for last, level, _ in live] == [(15, 2), (31, 2), (35, 1), (39, 1)]
+    assert {r.k: r.v for r in jobs.merged(spark, str(path), df.schema, latest).collect()} == want
+    jobs.compact(spark, str(path), df.schema, latest)
+    assert len(jobs._live(spark, str(path))) == 1
+    assert {r.k: r.v for r in jobs.merged(spark, str(path), df.schema, latest).collect()} == want
+
+
+def test_what_no_list_names_is_not_read(spark, tmp_path):
+    """A batch that died before its list was written leaves folders behind; they count only once it is repeated."""
+    out = str(tmp_path / "out")
+    write = jobs.batch_folder_sink(latest, out, merge=latest)
+    df = spark.createDataFrame([("a", 1)], LATEST)
+    write(df, 0)
+    lost = spark.createDataFrame([("a", 7), ("b", 7)], LATEST)
+    lost.write.parquet(f"{out}/batches/batch_id=1")
+    lost.write.parquet(f"{out}/folded/level=1/until=1")
+    assert [(r.k, r.v) for r in jobs.merged(spark, out, df.schema, latest).collect()] == [("a", 1)]
+    write(lost, 1)
+    assert sorted((r.k, r.v) for r in jobs.merged(spark, out, df.schema, latest).collect()) == [("a", 7), ("b", 7)]
