@@ -12,6 +12,7 @@ from functools import reduce
 from itertools import chain
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basketflow.config import IndexConfig
@@ -59,30 +60,30 @@ def _phases(as_ofs: list[datetime]) -> tuple[int, ...]:
 
 def day_statistics(panel: DataFrame, base: DataFrame, phases: tuple[int, ...] = (0,)) -> DataFrame:
     """(day, slot, category) -> rows, matched rows, sum of log price relatives."""
+    return _statistics(panel.withColumns({"day": F.to_date("timestamp"), "slot": _slot(F.col("timestamp"), phases)}), base, ["day", "slot"])
+
+
+def _statistics(panel: DataFrame, base: DataFrame, by: list[str]) -> DataFrame:
+    """(by, category) -> rows, matched rows, sum of log price relatives."""
     price = nan_to_null(F.col("price"))
-    obs = panel.select(
-        F.to_date("timestamp").alias("day"),
-        _slot(F.col("timestamp"), phases).alias("slot"),
-        *KEYS,
-        F.when(price > 0, F.ln(price)).alias("ln_price"),
-    )
+    obs = panel.select(*by, *KEYS, F.when(price > 0, F.ln(price)).alias("ln_price"))
     side, rows = materialize(base.where("base_price > 0").select(*KEYS, F.ln("base_price").alias("ln_base")))
     n_rel = F.count(F.col("ln_price") + F.col("ln_base"))
     if rows <= BROADCAST_ROWS:
         relative = F.col("ln_price") - F.col("ln_base")
         return (
             obs.join(F.broadcast(side), KEYS, "left")
-            .groupBy("day", "slot", "category")
+            .groupBy(*by, "category")
             .agg(F.count(F.lit(1)).alias("n_obs"), n_rel.alias("n_rel"), F.sum(relative).alias("ln_sum"))
         )
-    # Many products: first one row per product, day and slot, so that no product is hot in the join.
-    per_product = obs.groupBy("day", "slot", *KEYS).agg(
+    # Many products: first one row per product and place in time, so that no product is hot in the join.
+    per_product = obs.groupBy(*by, *KEYS).agg(
         F.count(F.lit(1)).alias("n"), F.count("ln_price").alias("n_price"), F.sum("ln_price").alias("ln_sum")
     )
     matched = F.col("ln_base").isNotNull()
     return (
         per_product.join(side, KEYS, "left")
-        .groupBy("day", "slot", "category")
+        .groupBy(*by, "category")
         .agg(
             F.sum("n").alias("n_obs"),
             F.coalesce(F.sum(F.when(matched, F.col("n_price"))), F.lit(0)).alias("n_rel"),
@@ -142,9 +143,12 @@ def confidence_interval(values: list[Column], confidence: float) -> tuple[Column
 
 def price_index(stats: DataFrame, as_ofs: DataFrame, cfg: IndexConfig, phases: tuple[int, ...] = (0,)) -> DataFrame:
     """One result row per as-of instant, whether or not its windows hold rows."""
-    windows = window_statistics(stats, as_ofs, cfg, phases).withColumn(
-        "idx", category_index(F.col("n_rel"), F.col("ln_sum"), cfg.min_observations)
-    )
+    return index_of_windows(window_statistics(stats, as_ofs, cfg, phases), as_ofs, cfg)
+
+
+def index_of_windows(windows: DataFrame, as_ofs: DataFrame, cfg: IndexConfig) -> DataFrame:
+    """Result rows of the as-of instants from the sums (as_of, span, category) of their windows."""
+    windows = windows.withColumn("idx", category_index(F.col("n_rel"), F.col("ln_sum"), cfg.min_observations))
     in_span = {s: F.col("span") == s for s in SPANS}
     cats = list(cfg.weights)
     wide = windows.groupBy("as_of").agg(
@@ -184,34 +188,96 @@ def price_index(stats: DataFrame, as_ofs: DataFrame, cfg: IndexConfig, phases: t
     )
 
 
-def _window_filter(panel: DataFrame, as_ofs: list[datetime], cfg: IndexConfig) -> Column:
-    """Merged time ranges of all windows: what the scan has to read."""
-    ranges: list[list[datetime]] = []
-    spans = [
-        (t - timedelta(days=shift + cfg.window_days), t - timedelta(days=shift))
-        for t in as_ofs
-        for shift in (0, cfg.month_days, cfg.year_days)
-    ]
-    for lo, hi in sorted(spans):
-        if ranges and lo <= ranges[-1][1]:
-            ranges[-1][1] = max(ranges[-1][1], hi)
+# Time ranges that a scan filter names, at most; the nearest ones are joined until there are no more.
+MOST_RANGES = 64
+MINUTE = 60_000_000
+SUMS = ["n_obs", "n_rel", "ln_sum"]
+
+
+def _windows(axis: DataFrame, cfg: IndexConfig) -> DataFrame:
+    """as_of, span, hi_day, hi, lo_day, lo: both ends of the three windows of every instant, as a day and microseconds of the day."""
+    spans = zip(SPANS, (0, cfg.month_days, cfg.year_days))
+    shifts = F.array(*[F.struct(F.lit(s).alias("span"), F.lit(d).alias("shift")) for s, d in spans])
+    rows = axis.select("as_of", _day_micros(F.col("as_of")).alias("hi"), F.inline(shifts)).withColumn("hi_day", F.date_sub(F.to_date("as_of"), F.col("shift")))
+    return rows.select("as_of", "span", "hi_day", "hi", F.date_sub("hi_day", cfg.window_days).alias("lo_day"), F.col("hi").alias("lo"))
+
+
+def _day_filter(panel: DataFrame, windows: DataFrame) -> Column:
+    """What the scan has to read: the days of the windows as ranges. The calendar bounds the days that come to the driver."""
+    days = windows.select(F.explode(F.sequence("lo_day", "hi_day")).alias("day")).distinct().orderBy("day").collect()
+    ranges: list[list] = []
+    for (day,) in days:
+        if ranges and day - ranges[-1][1] == timedelta(days=1):
+            ranges[-1][1] = day
         else:
-            ranges.append([lo, hi])
-    if len(ranges) > 64:
-        ranges = [[ranges[0][0], ranges[-1][1]]]
+            ranges.append([day, day])
+    wide = sorted(range(1, len(ranges)), key=lambda i: ranges[i][0] - ranges[i - 1][1], reverse=True)[: MOST_RANGES - 1]
+    cuts = [0, *sorted(wide), len(ranges)]
     ts = F.col("timestamp")
-    parts = [ts.between(ts_like(panel, "timestamp", lo), ts_like(panel, "timestamp", hi)) for lo, hi in ranges]
-    return reduce(lambda a, b: a | b, parts)
+
+    def at(day) -> Column:
+        return ts_like(panel, "timestamp", datetime(day.year, day.month, day.day))
+
+    parts = [(ts >= at(ranges[a][0])) & (ts < at(ranges[b - 1][1] + timedelta(days=1))) for a, b in zip(cuts, cuts[1:]) if a < b]
+    return reduce(lambda a, b: a | b, parts, F.lit(False))
+
+
+def _edge_sums(stats: DataFrame, days: DataFrame, edges: DataFrame) -> DataFrame:
+    """(day, micros, category) of every edge -> sums of that day before it and up to it.
+
+    Prefix sums at two levels: over the minutes of a day, then over the moments of the edge's minute. Facts and edges lie in one
+    order, so nothing is compared pair by pair; the calendar bounds the first level, one minute's moments the second.
+    """
+    asked = edges.join(days.select("day", "category"), "day")
+    minute = F.floor(F.col("micros") / MINUTE)
+    none = [F.lit(0).cast("bigint").alias("n_obs"), F.lit(0).cast("bigint").alias("n_rel"), F.lit(0.0).alias("ln_sum")]
+    facts = stats.groupBy("day", "category", "minute").agg(*[F.sum(c).alias(c) for c in SUMS])
+    starts = asked.select("day", "category", minute.alias("minute"), *none).distinct().withColumn("edge", F.lit(True))
+    of_day = W.partitionBy("day", "category").orderBy("minute").rangeBetween(W.unboundedPreceding, -1)
+    minutes = facts.withColumn("edge", F.lit(False)).unionByName(starts).select("day", "category", "minute", "edge", *[F.coalesce(F.sum(c).over(of_day), F.lit(0)).alias(f"day_{c}") for c in SUMS])
+    moments = stats.where("at IS NOT NULL").select("day", "category", "minute", F.col("at").alias("micros"), *SUMS).withColumn("edge", F.lit(False))
+    points = asked.select("day", "category", minute.alias("minute"), "micros", *none).withColumn("edge", F.lit(True))
+    of_minute = W.partitionBy("day", "category", "minute").orderBy("micros")
+    before, upto = of_minute.rangeBetween(W.unboundedPreceding, -1), of_minute.rangeBetween(W.unboundedPreceding, 0)
+    within = moments.unionByName(points).select(
+        "day", "category", "minute", "micros", "edge",
+        *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"before_{c}") for c in SUMS], *[F.sum(c).over(upto).alias(f"upto_{c}") for c in SUMS],
+    )
+    both = within.where("edge").drop("edge").join(minutes.where("edge").drop("edge"), ["day", "category", "minute"])
+    return both.select("day", "micros", "category", *[(F.col(f"day_{c}") + F.col(f"{side}_{c}")).alias(f"{side}_{c}") for side in ("before", "upto") for c in SUMS])
+
+
+def index_on_times(panel: DataFrame, times: DataFrame, cfg: IndexConfig) -> DataFrame:
+    """Index, rates and interval at a column of instants, any number of them at any time of day, in one job.
+
+    Facts shrink to sums per minute and category; only minutes in which a window begins or ends keep their moments apart. A window is its
+    whole days, plus what its last day holds up to its end, less what its first day holds before its start.
+    """
+    as_of = F.col(times.columns[0]).cast("timestamp_ntz").alias("as_of")
+    axis, _ = materialize(times.select(as_of).where(F.col("as_of").isNotNull()).distinct())
+    windows = _windows(axis, cfg)
+    ends = windows.select(F.col("hi_day").alias("day"), F.col("hi").alias("micros"))
+    edges, _ = materialize(ends.unionByName(windows.select(F.col("lo_day").alias("day"), F.col("lo").alias("micros"))).distinct())
+    kept, marked = materialize(edges.select("day", F.floor(F.col("micros") / MINUTE).alias("minute"), F.lit(True).alias("marked")).distinct())
+    micros = _day_micros(F.col("timestamp"))
+    rows = panel.where(_day_filter(panel, windows)).withColumns({"day": F.to_date("timestamp"), "micros": micros, "minute": F.floor(micros / MINUTE)})
+    rows = rows.select("day", "minute", "micros", *KEYS, "price").join(F.broadcast(kept) if marked <= BROADCAST_ROWS else kept, ["day", "minute"], "left")
+    rows = rows.withColumn("at", F.when(F.col("marked"), F.col("micros")))
+    stats, _ = materialize(_statistics(rows, base_prices(panel, cfg), ["day", "minute", "at"]).fillna(0, ["ln_sum"]))
+    days = stats.groupBy("day", "category").agg(*[F.sum(c).alias(c) for c in SUMS])
+    sums = _edge_sums(stats, days, edges)
+    whole = windows.select("as_of", "span", F.explode(F.sequence("lo_day", F.date_sub("hi_day", 1))).alias("day")).join(days, "day").drop("day")
+    last = windows.select("as_of", "span", F.col("hi_day").alias("day"), F.col("hi").alias("micros")).join(sums, ["day", "micros"])
+    first = windows.select("as_of", "span", F.col("lo_day").alias("day"), F.col("lo").alias("micros")).join(sums, ["day", "micros"])
+    parts = whole.unionByName(last.select("as_of", "span", "category", *[F.col(f"upto_{c}").alias(c) for c in SUMS]))
+    parts = parts.unionByName(first.select("as_of", "span", "category", *[(-F.col(f"before_{c}")).alias(c) for c in SUMS]))
+    found = parts.groupBy("as_of", "span", "category").agg(*[F.sum(c).alias(c) for c in SUMS])
+    return index_of_windows(found, axis, cfg)
 
 
 def index_at(panel: DataFrame, as_ofs: list[datetime], cfg: IndexConfig) -> DataFrame:
     """Index, rates and interval at the given instants, any time of day, in one job."""
-    spark = panel.sparkSession
-    phases = _phases(as_ofs)
-    points = ", ".join(f"TIMESTAMP_NTZ '{t:%Y-%m-%d %H:%M:%S.%f}'" for t in as_ofs)
-    axis = spark.sql(f"SELECT explode(array_distinct(array({points}))) AS as_of")
-    stats = day_statistics(panel.where(_window_filter(panel, as_ofs, cfg)), base_prices(panel, cfg), phases)
-    return price_index(stats, axis, cfg, phases)
+    return index_on_times(panel, panel.sparkSession.createDataFrame([(t,) for t in as_ofs], "as_of timestamp_ntz"), cfg)
 
 
 def index_on_dates(panel: DataFrame, dates: DataFrame, cfg: IndexConfig) -> DataFrame:

@@ -48,6 +48,7 @@ def _points(*times: datetime) -> str:
     return "points(as_of) AS (VALUES " + ", ".join(f"({_ts(t)})" for t in times) + ")"
 
 
+MANY = f"points AS (SELECT {_ts(q.FIRST)} + to_hours(6 * i) + to_seconds(i) AS as_of FROM range(10000) r(i))"
 DAYS = f"points AS (SELECT unnest(generate_series({_ts(q.FIRST)}, {_ts(q.LAST)}, INTERVAL 1 DAY)) AS as_of)"
 MONTHS = "points AS (SELECT unnest(generate_series(TIMESTAMP '1995-02-01', TIMESTAMP '2001-11-01', INTERVAL 1 MONTH)) AS as_of)"
 
@@ -281,6 +282,7 @@ RULES = f"""WITH {FEED}, m AS (SELECT count(*) AS n, count(price) AS priced, cou
 ORACLE: dict[str, str] = {
     "nowcast_at_date": _index(_points(q.AS_OF)) + INDEX_OUT,
     "nowcast_intraday": _index(_points(*q.INTRADAY)) + INDEX_OUT,
+    "nowcast_many_instants": _index(MANY) + INDEX_OUT,
     "nowcast_unweighted": _index(_points(q.AS_OF), weighted=False) + INDEX_OUT,
     "nowcast_empty_window": _index(_points(datetime(2010, 1, 1), q.AS_OF)) + INDEX_OUT,
     "category_breakdown": _index(_points(q.AS_OF))

@@ -108,6 +108,14 @@ def nowcast_intraday(spark, sf):
     return _index_rows(price_index.index_at(panels.lineitem_panel(spark, sf), INTRADAY, CFG))
 
 
+@query
+def nowcast_many_instants(spark, sf):
+    """10,000 instants, some six hours and a second apart, as a column."""
+    start = F.lit(FIRST).cast("timestamp_ntz")
+    times = spark.range(10_000).select((start + F.make_dt_interval(F.lit(0), F.col("id").cast("int") * 6, F.lit(0), F.col("id").cast("decimal(18,6)"))).alias("as_of"))
+    return _index_rows(price_index.index_on_times(panels.lineitem_panel(spark, sf), times, CFG))
+
+
 @query
 def nowcast_unweighted(spark, sf):
     cfg = IndexConfig(base_period=BASE, use_weights=False)

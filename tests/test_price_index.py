@@ -4,6 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from conftest import day
+from pyspark.sql import functions as F
 
 from basketflow.config import IndexConfig
 from basketflow.operators import price_index
@@ -87,6 +88,32 @@ def test_any_time_of_day(random_panel, weights):
     compare(result, pdf, cfg)
 
 
+def test_many_instants_at_once(random_panel, spark):
+    """Instants on, just before and just after the rows' own times, many of them on one day, and repeated ones."""
+    pdf, sdf = random_panel
+    rng = np.random.default_rng(5)
+    times = [t.to_pydatetime() + timedelta(microseconds=int(d)) for t, d in zip(pdf.timestamp.sample(60, random_state=2), rng.integers(-1, 2, 60))]
+    times += [day("2025-02-14") + timedelta(seconds=int(s)) for s in rng.integers(0, 86_400, 60)]
+    axis = spark.createDataFrame([(t,) for t in [*times, times[0], None]], "asked timestamp_ntz")
+    result = price_index.index_on_times(sdf, axis, CFG)
+    assert sorted(r.as_of for r in result.collect()) == sorted(set(times))
+    compare(result, pdf, CFG)
+
+
+def test_scan_filter_names_few_ranges(spark, observations):
+    """Hundreds of windows far apart: the nearest ranges are joined, none is left out."""
+    times = spark.createDataFrame([(day("2000-01-01") + timedelta(days=40 * i + i * i % 7),) for i in range(300)], "as_of timestamp_ntz")
+    cfg = IndexConfig(month_days=13, year_days=21)
+    rows = observations([("p", "grocery", "r", 1.0, day("2000-01-01") + timedelta(days=i)) for i in range(-40, 12_100)])
+    windows = price_index._windows(times, cfg)
+    text = str(price_index._day_filter(rows, windows)._jc)
+    assert text.count(">=") <= price_index.MOST_RANGES
+    kept = rows.where(price_index._day_filter(rows, windows))
+    needed = windows.select(F.explode(F.sequence("lo_day", "hi_day")).alias("d")).distinct()
+    assert kept.join(needed, F.to_date("timestamp") == F.col("d")).count() == rows.join(needed, F.to_date("timestamp") == F.col("d")).count()
+    assert kept.count() < rows.count()
+
+
 def test_many_products_path(random_panel, monkeypatch):
     """With too many products to broadcast, products are reduced before the join."""
     monkeypatch.setattr(price_index, "BROADCAST_ROWS", 0)
