@@ -60,11 +60,19 @@ TEMPLATES = [
         "documentation and/or other materials provided with the distribution. Neither the name of the copyright holder nor the names of its "
         "contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
     ),
+    (
+        "BSD-2-Clause",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are "
+        "met: Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "
+        '"AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.',
+    ),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    *[(f"CC-{kind}-{version}", f"Licensed under CC {kind} {version}.") for version in ("4.0", "3.0") for kind in ("BY", "BY-SA", "BY-ND", "BY-NC", "BY-NC-SA", "BY-NC-ND")],
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
@@ -72,6 +80,8 @@ TEMPLATES = [
 ]
 
 _WORD = re.compile(r"[^\W_]+")
+# Words that tell sibling licences apart. A notice has those of its template and no other, and all numbers of its template.
+SIBLINGS = frozenset(("lesser", "library", "affero", "sa", "nd", "nc"))
 
 
 def normalised(text: str) -> list[str]:
@@ -88,6 +98,38 @@ def bounds(size: int, threshold: float) -> tuple[int, int, int]:
     return low, math.floor(size * (2 - threshold) / threshold + 1e-9), low
 
 
+class _Repeats:
+    """For each place of a text where the bigram there stood before, and the next place that is new to a stretch."""
+
+    def __init__(self, words: list[str]):
+        last: dict[tuple[str, str], int] = {}
+        self.before = []
+        for p, pair in enumerate(zip(words, words[1:])):
+            self.before.append(last.get(pair, -1))
+            last[pair] = p
+        # Level by level the least of each 16 places, so that long repetitions are passed in few steps.
+        self.least = [self.before]
+        while len(self.least[-1]) > 16:
+            row = self.least[-1]
+            self.least.append([min(row[i : i + 16]) for i in range(0, len(row), 16)])
+
+    def next_new(self, place: int, first: int) -> int | None:
+        """The first place from `place` on whose bigram does not stand between `first` and it; None if there is none."""
+        level = 0
+        while True:
+            row = self.least[level]
+            if place >= len(row):
+                return None
+            if row[place] < first:
+                if not level:
+                    return place
+                level, place = level - 1, place * 16
+            else:
+                place += 1
+                while place % 16 == 0 and level + 1 < len(self.least):
+                    place, level = place // 16, level + 1
+
+
 class Scanner:
     """Templates as sets of word bigrams, and the search for stretches of a text that are like one."""
 
@@ -102,16 +144,20 @@ class Scanner:
         if not all(self.sets):
             raise ValueError("a template needs two words")
         self.bounds = [bounds(len(s), threshold) for s in self.sets]
-        # For each bigram of any template the templates that have it, as bits.
-        self.member = np.zeros(self.width * self.width, np.int64)
+        self.named = [SIBLINGS.intersection(ws) for ws in words]
+        self.numbers = [frozenset(w for w in ws if w.isdigit()) for ws in words]
+        # For each bigram of any template the templates that have it, as bits: 63 templates a column.
+        self.member = np.zeros((self.width * self.width, -(-len(words) // 63)), np.int64)
         for i, held in enumerate(self.sets):
-            self.member[list(held)] |= 1 << i
+            self.member[list(held), i // 63] |= 1 << i % 63
 
     def scan(self, text: str) -> list[tuple[str, float, int, int]]:
         """(licence, coefficient, start, end in characters) of the best stretches that don't overlap, by place.
 
-        A stretch begins and ends with bigrams of its template: others at its ends would only lower the coefficient. The best has the
-        greatest coefficient, then the most words, then the first place, then the first name.
+        A stretch begins and ends with bigrams of its template: others at its ends would only lower the coefficient. It has the words and
+        numbers that decide which of several sibling licences it is. From each first word the best stretch has the greatest coefficient, of
+        equal ones the last that brought something new. Of these the best has the greatest coefficient, then the most words, then the first
+        place, then the first name.
         """
         lower = text.lower()
         words = _WORD.findall(lower)
@@ -121,49 +167,55 @@ class Scanner:
         member = self.member[ids[:-1] * self.width + ids[1:]]  # no template has id 0
         if not member.any():
             return []
-        found = []
+        found, seen = [], None
         for t, name in enumerate(self.names):
-            hits = np.flatnonzero(member >> t & 1).tolist()
+            hits = np.flatnonzero(member[:, t // 63] >> t % 63 & 1).tolist()
             if len(hits) >= self.bounds[t][2]:
-                found += [(-score, first - last, first, name, last) for score, first, last in self._stretches(words, hits, t)]
+                seen = seen or _Repeats(words)
+                found += [(-score, first - last, first, name, last) for score, first, last in self._stretches(words, hits, t, seen)]
         if not found:
             return []
         spots = [m.span() for m in _WORD.finditer(lower)]
         shift = None if len(lower) == len(text) else _origins(text)
-        out, taken = [], []
+        out, taken = [], bytearray(len(words))  # a mark on the first and last word of every taken stretch, and on those between
         for score, _, first, name, last in sorted(found):
-            if all(last < a or b < first for a, b in taken):
-                taken.append((first, last))
+            if not taken[first] and not taken[last] and not any(taken[first : last + 1]):
+                taken[first : last + 1] = b"\1" * (last + 1 - first)
                 start, end = spots[first][0], spots[last][1]
                 out.append((name, round(-score, 6), *((start, end) if shift is None else (shift[start], shift[end - 1] + 1))))
         return sorted(out, key=lambda m: m[2])
 
-    def _stretches(self, words: list[str], hits: list[int], t: int):
+    def _stretches(self, words: list[str], hits: list[int], t: int, seen: _Repeats):
         """(coefficient, first word, last word) of the best stretch from each first word that reaches the threshold.
 
-        Size bounds end the search: a stretch with more different bigrams outside the template than the largest fitting text can hold beside
-        the shared ones grows no better.
+        Only bigrams that are new to a stretch change its coefficient, so the search goes from one to the next. It ends when all bigrams of the
+        template are there, or when there are more others than the largest fitting text can hold beside the shared ones: after a number
+        of steps that the template bounds, however often the text repeats itself.
         """
-        template, (_, high, need) = self.sets[t], self.bounds[t]
+        template, (_, high, need), named, numbers = self.sets[t], self.bounds[t], self.named[t], self.numbers[t]
+        size, end = len(template), hits[-1]
         for i, first in enumerate(hits):
             if i + need > len(hits):
                 return
-            best, shared, other, at = None, set(), set(), first
-            for last in hits[i:]:
-                for p in range(at, last + 1):
-                    pair = self.ids.get(words[p], 0) * self.width + self.ids.get(words[p + 1], 0)
-                    if pair in template:
-                        shared.add(pair)
-                    else:
-                        other.add((words[p], words[p + 1]))
-                    if len(other) > high - need:
+            best, shared, other, at, deciding, digits = None, 0, 0, first, set(), set()
+            while at is not None and at <= end:
+                for word in words[at : at + 2]:
+                    if word in SIBLINGS:
+                        deciding.add(word)
+                    elif word in numbers:
+                        digits.add(word)
+                if self.ids.get(words[at], 0) * self.width + self.ids.get(words[at + 1], 0) in template:
+                    shared += 1
+                    score = 2 * shared / (shared + other + size)
+                    if score >= self.threshold - 1e-12 and (best is None or score >= best[0]) and deciding == named and digits == numbers:
+                        best = (score, first, at + 1)
+                    if shared == size:
+                        break
+                else:
+                    other += 1
+                    if other > high - need:
                         break
-                if len(other) > high - need:
-                    break
-                at = last + 1
-                score = 2 * len(shared) / (len(shared) + len(other) + len(template))
-                if score >= self.threshold - 1e-12 and (best is None or score >= best[0]):
-                    best = (score, first, last + 1)
+                at = seen.next_new(at + 1, first)
             if best:
                 yield best
 

@@ -81,3 +81,69 @@ def test_documents_and_odd_rows(spark, docs, odd, none):
         assert expected and Counter((r.doc_id, r.license, r.dice) for r in rows) == expected
         assert all(r.end_char - r.start_char == len(r.notice) for r in rows)
     assert scan_licenses(none).collect() == []
+
+
+@pytest.mark.parametrize(
+    "notice, name",
+    [
+        ("This work is licensed under the GNU Lesser General Public License, version 3.", "LGPL-3.0"),
+        ("This work is licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0"),
+        ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0"),
+        ("Licensed under CC BY-NC-SA 4.0.", "CC-BY-NC-SA-4.0"),
+        ("Licensed under CC BY-NC 3.0.", "CC-BY-NC-3.0"),
+        ("Licensed under CC BY-ND 4.0.", "CC-BY-ND-4.0"),
+        ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"),
+        ("Licensed under CC BY-NC 2.5.", None),
+        ("This work is licensed under the GNU General Public License, version 9.", None),
+    ],
+)
+def test_sibling_licenses_are_told_apart(notice, name):
+    found = [m[0] for m in Scanner(TEMPLATES, 0.8).scan(f"Some words before it. {notice} Some words behind it.")]
+    assert found == ([name] if name else [])
+
+
+def test_many_templates():
+    templates = [(f"T{i}", f"word{i} of the notice number{i} goes here") for i in range(200)]
+    scanner = Scanner(templates, 0.8)
+    for i in (0, 62, 63, 64, 126, 199):
+        assert [m[0] for m in scanner.scan(f"x {templates[i][1]} y")] == [f"T{i}"]
+
+
+@pytest.mark.parametrize("notice", ["All rights reserved. ", "All rights reserved not. ", "Released under the MIT License. ", next(t for n, t in TEMPLATES if n == "ISC") + " "])
+def test_repeated_notices_take_time_in_proportion(notice):
+    """Steps, counted rather than timed: four times the text takes about four times as many."""
+    import basketflow.llm.licenses as module
+
+    def steps(times):
+        count, plain = 0, module._Repeats.next_new
+
+        def counted(self, place, first):
+            nonlocal count
+            count += 1
+            return plain(self, place, first)
+
+        module._Repeats.next_new = counted
+        try:
+            found = Scanner(TEMPLATES, 0.8).scan(notice * times)
+        finally:
+            module._Repeats.next_new = plain
+        return count, len(found)
+
+    (few, found), (many, more) = steps(200), steps(800)
+    assert many <= 5 * few and more >= 3.9 * found > 0
+
+
+def test_next_new_place():
+    import random
+
+    from basketflow.llm.licenses import _Repeats
+
+    rng = random.Random(2)
+    words = [rng.choice("abc") for _ in range(700)] + ["z"] + ["a", "b"] * 400 + ["y", "a"]
+    seen = _Repeats(words)
+    pairs = list(zip(words, words[1:]))
+    for _ in range(300):
+        first = rng.randrange(len(pairs))
+        place = rng.randrange(first, len(pairs))
+        expected = next((p for p in range(place, len(pairs)) if pairs[p] not in pairs[first:p]), None)
+        assert seen.next_new(place, first) == expected
