@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import documents, id_text, stash
+from .common import documents, free_names, id_text, stash
 from .word_bpe import blocks, word_bpe
 
 CAPACITY = 2048
@@ -80,6 +80,7 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[i
             found = False
             for a in np.flatnonzero(left[1 : max(gap - 1, 1)])[::-1] + 1:  # a third length beside a pair
                 rest = gap - int(a)
+                # Of these pairs only those with a length that is used up by `first` or `a` can fail: at most two, so eight are enough.
                 found = any(use(first, int(a), int(b), rest - int(b)) for b in pairs(rest)[::-1][:8])
                 if found:
                     break
@@ -118,10 +119,12 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[i
 def pack(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """rows with `length` (1 to capacity) and the columns doc_id and piece, plus sequence_id and offset.
 
-    The driver sees the counts per length only. Pieces of one length are numbered without gaps (bucket by bucket, so that a frequent
-    length is spread), and the number says which use of which pattern a piece is for.
+    The driver sees the counts per length only. Pieces of one length are numbered without gaps (bucket by bucket of a stored random number, so that
+    a frequent length or a frequent doc_id is spread), and the number says which use of which pattern a piece is for.
     """
-    spark = rows.sparkSession
+    spark, columns = rows.sparkSession, rows.columns
+    (spread,) = free_names(rows, "spread")
+    rows = stash(rows.withColumn(spread, F.rand(0)), "pieces")
     counts = {int(r[0]): int(r[1]) for r in rows.groupBy("length").agg(F.count(F.lit(1))).collect()}  # at most `capacity` rows
     places, next_rank, sequence = [], defaultdict(int), 0
     for lengths, times in plan(counts, capacity):
@@ -133,15 +136,15 @@ def pack(rows: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         sequence += times
     table = spark.createDataFrame(places, "p_length long, rank_from long, rank_to long, first_sequence long, offset long")
     buckets = max(16, sum(counts.values()) // BUCKET_ROWS)
-    bucketed = rows.withColumn("_bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)))
+    bucketed = rows.withColumn("_bucket", F.floor(F.col(spread) * buckets))
     sizes = bucketed.groupBy("length", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(W.partitionBy("length").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1))
     starts = sizes.select("length", "_bucket", F.coalesce(before, F.lit(0)).alias("_before"))
-    place = F.row_number().over(W.partitionBy("length", "_bucket").orderBy("doc_id", "piece"))
+    place = F.row_number().over(W.partitionBy("length", "_bucket").orderBy(spread))
     ranked = bucketed.withColumn("_place", place).join(starts, ["length", "_bucket"]).withColumn("_rank", F.col("_before") + F.col("_place") - 1)
     found = (F.col("length") == F.col("p_length")) & (F.col("_rank") >= F.col("rank_from")) & (F.col("_rank") < F.col("rank_to"))
     placed = ranked.join(F.broadcast(table), found)
-    return placed.select(*rows.columns, (F.col("first_sequence") + F.col("_rank") - F.col("rank_from")).alias("sequence_id"), "offset")
+    return placed.select(*columns, (F.col("first_sequence") + F.col("_rank") - F.col("rank_from")).alias("sequence_id"), "offset")
 
 
 def best_fit_packing(docs: DataFrame, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
@@ -150,7 +153,7 @@ def best_fit_packing(docs: DataFrame, capacity: int = CAPACITY, with_ids: bool =
     Null and empty texts are one piece with the end id. Repeated rows and null doc_ids are packed like others. Texts of
     any length are cut whole. No rows give no rows. Other columns are ignored.
     """
-    return pack(stash(pieces(docs, capacity, with_ids), "pieces"), capacity)
+    return pack(pieces(docs, capacity, with_ids), capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:
@@ -164,5 +167,5 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage, the last: the pieces and their places."""
+    """Pipeline stage, the last: the pieces and their places, as best_fit_packing gives them for nulls, empties, repeated rows, ties and no rows."""
     return best_fit_packing(docs)

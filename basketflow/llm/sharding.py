@@ -94,10 +94,11 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     from 0 without gaps, in no stated order. Repeated rows and null doc_ids are rows like others. With fewer groups than shards some shards stay empty. No rows give no rows.
     Other columns are ignored.
 
-    The driver sees sums over key prefixes: 4,096 at first, then 256 for each stretch where a cut may fall.
+    The driver sees sums over key prefixes: 4,096 at first, then 256 for each stretch where a cut may fall. Rows are numbered in buckets of a
+    stored random number, so rows of one doc_id, or without any, don't share a bucket.
     """
     text = F.encode("text", "UTF-8")
-    rows = stash(id_text(docs).select("doc_id", (F.octet_length("text") + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.sha2(text, 256).alias("digest")), "sizes")
+    rows = stash(id_text(docs).select("doc_id", (F.octet_length("text") + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.sha2(text, 256).alias("digest"), F.rand(0).alias("spread")), "sizes")
     groups = stash(rows.groupBy("digest").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")), "groups")
 
     def look(prefixes, width):
@@ -108,11 +109,11 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     shard = sum((F.when(F.col("digest") >= key, 1).otherwise(0) for key in firsts), F.lit(0))
     total = groups.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     buckets = max(16, total // (shards * BUCKET_ROWS))
-    placed = rows.withColumn("shard", shard.cast("int")).withColumn("_bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)))
+    placed = rows.withColumn("shard", shard.cast("int")).withColumn("_bucket", F.floor(F.col("spread") * buckets))
     sizes = placed.groupBy("shard", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(W.partitionBy("shard").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1))
     starts = sizes.select("shard", "_bucket", F.coalesce(before, F.lit(0)).alias("_before"))
-    place = F.row_number().over(W.partitionBy("shard", "_bucket").orderBy("doc_id"))
+    place = F.row_number().over(W.partitionBy("shard", "_bucket").orderBy("spread"))
     return placed.withColumn("_place", place).join(starts, ["shard", "_bucket"]).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("_before") + F.col("_place") - 1).alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "digest"
     )

@@ -93,3 +93,21 @@ def test_counts_of_documents(docs, odd, none):
         texts = Counter((r.doc_id, len((r.text or "").encode()), len(ids_of(r.text)), len(ids_of(r.text)) > 2048) for r in df.collect())
         assert Counter(tuple(r) for r in token_counts(df).collect()) == texts
     assert token_counts(none).collect() == []
+
+
+def test_one_id_on_all_rows_is_packed_whole(spark):
+    from basketflow.llm.packing import pack
+
+    rows = spark.range(900).selectExpr("cast(null as long) AS doc_id", "0 AS piece", "cast(1 + id % 60 as long) AS length", "id AS spread", "7 AS Spread_")
+    placed = pack(rows, 64)
+    assert placed.columns == [*rows.columns, "sequence_id", "offset"]
+    held = {}
+    for r in placed.collect():
+        held.setdefault(r.sequence_id, []).append((r.offset, r.length, r.spread))
+    assert sorted(s for parts in held.values() for *_, s in parts) == list(range(900))
+    for parts in held.values():
+        at = 0
+        for offset, length, _ in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 64

@@ -85,3 +85,14 @@ def test_odd_rows(odd, none):
     check(odd)
     check(odd, 2)
     assert balanced_shards(none).collect() == []
+
+
+def test_slots_have_no_gap_when_all_ids_are_null(spark, monkeypatch):
+    from basketflow.llm import sharding
+
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 3)
+    docs = spark.range(700).selectExpr("cast(null as long) AS doc_id", "concat('text ', id % 50) AS text")
+    slots = {}
+    for r in sharding.balanced_shards(docs, 4).collect():
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert sum(map(len, slots.values())) == 700 and all(sorted(s) == list(range(len(s))) for s in slots.values())
