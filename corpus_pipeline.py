@@ -22,6 +22,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of all documents that every stage kept, with their places: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+
+    Null texts are empty, null doc_ids are an id like others; of rows equal in id and text one stays. No documents give no rows. Columns
+    of documents may have any names.
+    """
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
         docs = stash(stage(spark, docs, sf_dir), f"stage-{name}")
