@@ -17,7 +17,7 @@ from basketflow.functions.timeparts import ts_like
 from basketflow.operators import price_jumps
 from basketflow.operators.outliers import category_stats, flag_outliers
 from basketflow.operators.quantiles import exact_quantiles
-from basketflow.session import BROADCAST_ROWS, materialize
+from basketflow.session import BROADCAST_ROWS, materialize, stored
 from basketflow.sources.storage import comparable
 
 
@@ -141,13 +141,13 @@ def invalid_categories(df: DataFrame, cfg: QualityConfig) -> DataFrame:
     )
 
 
-def exact_duplicates(df: DataFrame) -> DataFrame:
+def exact_duplicates(df: DataFrame, hashes: DataFrame | None = None) -> DataFrame:
     """One row: rows beyond the first of each identical group.
 
-    A 64-bit row hash is counted first; only rows whose hash occurs twice are compared in full.
+    A 64-bit row hash is counted first (`hashes`, column _h, where the caller has them); only rows whose hash occurs twice are compared in full.
     """
     keyed = df.select(F.xxhash64(*comparable(df)).alias("_h"), *comparable(df))
-    twice = keyed.groupBy("_h").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("_h")
+    twice = (keyed if hashes is None else hashes).groupBy("_h").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("_h")
     kept, rows = materialize(twice)
     suspects = keyed.join(F.broadcast(kept) if rows <= BROADCAST_ROWS else kept, "_h", "left_semi")
     groups = suspects.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_c"))
@@ -162,29 +162,33 @@ def key_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
 def quality_report(df: DataFrame, now: datetime, cfg: QualityConfig | None = None, stats: DataFrame | None = None) -> DataFrame:
     """Every check as a row: value, threshold, whether it fired, and its message.
 
-    Scans: checks, price digest, price ranks, flags, row hashes, keys. The categories come from the price statistics
-    (`stats`, where the caller has them), which have a row for each.
+    The source is read for the column checks, for a narrow table of prices, keys and row hashes, and for the rows whose hash repeats. Price
+    digest, ranks, flags, hashes and keys come from the narrow table, the categories from the price statistics (`stats`,
+    where the caller has them), which have a row for each.
     """
     cfg = cfg or QualityConfig()
     parts = [column_checks(df, now, cfg)]
+    kept = [c for c in ("category", "product_id", "retailer") if c in df.columns]
+    narrow = [*kept, *([numeric_price(df).alias("price")] if "price" in df.columns else []), F.xxhash64(*comparable(df)).alias("_h")]
+    facts = stored(df.select(*narrow), "quality-facts")
 
     def counted(one: DataFrame, check: str, severity: str, subject: str, text: str) -> DataFrame:
         return one.select(F.inline(F.array(_count_row(check, severity, subject, F.col("n"), text))))
 
     if {"price", "category"} <= set(df.columns):
-        priced = df.select("category", numeric_price(df).alias("price"))
+        priced = facts.select("category", "price")
         if stats is None:
             stats, _ = materialize(category_stats(priced))
         flagged = flag_outliers(priced, cfg, stats).agg(F.count_if("is_outlier").alias("n"))
         parts.append(counted(flagged, "outliers", "warning", "price", "Detected {} potential outliers"))
     if "category" in df.columns:
-        bad = invalid_categories(df if stats is None else stats, cfg).agg(F.count(F.lit(1)).alias("n"))
+        bad = invalid_categories(facts if stats is None else stats, cfg).agg(F.count(F.lit(1)).alias("n"))
         parts.append(counted(bad, "invalid_categories", "warning", "category", "Found {} invalid categories"))
     if {"product_id", "retailer"} <= set(df.columns):
-        parts.append(counted(exact_duplicates(df), "exact_duplicates", "warning", "", "Found {} exact duplicate rows"))
+        parts.append(counted(exact_duplicates(df, facts), "exact_duplicates", "warning", "", "Found {} exact duplicate rows"))
         keys = ["product_id", "retailer"]
         parts.append(
-            counted(key_duplicates(df, keys), "key_duplicates", "warning", "product_id, retailer",
+            counted(key_duplicates(facts, keys), "key_duplicates", "warning", "product_id, retailer",
                     "Found {} duplicate product_id/retailer combinations")
         )
     return reduce(DataFrame.unionByName, parts)

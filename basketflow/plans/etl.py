@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from basketflow.config import EtlConfig, QualityConfig
 from basketflow.functions.text import normalize_category
 from basketflow.operators.outliers import category_stats, drop_outliers, flag_outliers
-from basketflow.operators.quality import InvalidData, quality_gate, quality_report, quality_summary
+from basketflow.operators.quality import quality_gate, quality_report, quality_summary
 from basketflow.operators.transform import transform
 from basketflow.schema import PRICE_SCHEMA
 from basketflow.session import materialize
@@ -71,9 +71,7 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], cfg: EtlConfig, now: d
     problems: list[str] = []
     try:
         _stages(spark, feeds, cfg, now, quality, log, problems)
-    except InvalidData:
-        raise
-    except Exception as e:
+    except (PySparkException, Py4JJavaError) as e:
         problems.append(f"run stopped: {str(e).strip().splitlines()[0]}")
     share = log["stored"] / log["landed"] if log["landed"] else 0.0
     row = (storage.run_id(now), *log.values(), share, time.monotonic() - began, problems)
@@ -110,7 +108,7 @@ def _stages(spark, feeds, cfg, now, quality, log, problems) -> None:
     if cfg.jdbc_url:
         try:
             storage.append_jdbc(clean, cfg.jdbc_url, batch_size=cfg.jdbc_batch_size)
-        except Exception as e:  # the load goes on without the database
+        except (PySparkException, Py4JJavaError) as e:  # the load goes on without the database
             problems.append(f"database: {str(e).strip().splitlines()[0]}")
 
 
