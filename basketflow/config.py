@@ -1,4 +1,7 @@
-"""Settings of the jobs; plain frozen dataclasses with bounds."""
+"""Settings of the jobs; plain frozen dataclasses with bounds.
+
+Fixed values: the defaults and bounds here decide results, so they must stay as they are.
+"""
 
 from __future__ import annotations
 

@@ -53,6 +53,9 @@ def _count_row(check: str, severity: str, subject: str, n: Column, text: str) ->
     return _row(check, severity, subject, n, 0, n > 0, F.concat(F.lit(head), n.cast("string"), F.lit(tail)))
 
 
+# The message texts of the checks below.
+
+
 def schema_check(df: DataFrame, cfg: QualityConfig) -> list[Column]:
     rows = []
     for name in cfg.required_columns:
