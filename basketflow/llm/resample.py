@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
 import re
 
@@ -24,7 +25,7 @@ SAMPLE = 20_000
 # Weight of the raw model in the smoothed target model, in tokens per slot.
 PRIOR = 1.0
 BINS = 4_096
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 2_000_000
 
 _RUN = re.compile(r"[^\W\d_]+|\d+")
 
@@ -40,7 +41,7 @@ def _case(letters: str) -> str:
 
 def _tokens() -> Memo:
     """Chunk to two packed hashes: of its letters and digits, and of its shape (cases, digits, punctuation)."""
-    shapes = Memo(lambda shape: hash64("\0" + shape).to_bytes(8, "little"), 50_000)
+    shapes = Memo(lambda shape: hash64("\0" + shape).to_bytes(8, "little"), 25_000)
 
     def token(chunk: str) -> bytes:
         stem, mark = (chunk[:-1], chunk[-1]) if chunk[-1:] in (".", ",") else (chunk, "")
@@ -48,7 +49,7 @@ def _tokens() -> Memo:
             return hash64(stem.lower()).to_bytes(8, "little") + shapes[_case(stem) + mark]
         return hash64("".join(_RUN.findall(chunk.lower()))).to_bytes(8, "little") + shapes[_RUN.sub(lambda run: _case(run[0]), chunk)]
 
-    return Memo(token, 200_000)
+    return Memo(token, 120_000)
 
 
 def block_slots(texts: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
@@ -78,6 +79,14 @@ def block_slots(texts: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarr
     return (np.concatenate(hashes) >> np.uint64(64 - bits)).astype(np.int64), np.concatenate(owners)
 
 
+def _give_back() -> None:
+    """Returns to the system what a block needed: idle workers would keep it beside the stages that follow."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def labelled(labels: DataFrame, limit: int = SAMPLE) -> DataFrame:
     """doc_id, quality and half (0 to fit, 1 to calibrate) of at most `limit` documents of either quality, by hash order of the id.
 
@@ -104,6 +113,8 @@ def ratio_table(docs: DataFrame, sample: DataFrame, bits: int = BITS, prior: flo
             target = np.asarray(batch.column("target").to_pylist(), bool)
             held[0] += np.bincount(found, minlength=1 << bits)
             held[1] += np.bincount(found[target[owner]], minlength=1 << bits)
+            del found, owner, target
+            _give_back()
         at = np.flatnonzero(held[0])
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(held[0][at]), pa.array(held[1][at])], names=["slot", "raw", "target"])
 
@@ -126,6 +137,8 @@ def log_weight(table: np.ndarray):
         for batch in blocks([pa.RecordBatch.from_arrays([text.fill_null("")], names=["text"])], limit=BLOCK_BYTES):
             found, owner = block_slots(batch.column("text"), bits)
             out.append(np.bincount(owner, weights=table[found], minlength=len(batch)))
+            del found, owner
+            _give_back()
         return pa.array(np.round(np.concatenate(out), 9), pa.float64())
 
     return score
