@@ -182,16 +182,22 @@ def hashed(single: DataFrame) -> DataFrame:
     return single.select("lang", "phrase").mapInArrow(run, "hash long")
 
 
+def _sent(rows: DataFrame, filters: list[Bitmap]):
+    """The bitmaps as plain values, which workers read without this package."""
+    return rows.sparkSession.sparkContext.broadcast([(f.bits, f.slots) for f in filters])
+
+
 def mined(rows: DataFrame, filters: list[Bitmap], support: int, shards: int) -> DataFrame:
     """`hash` of every phrase of len(filters) + 1 words that is frequent in some shard."""
     if not 1 <= shards <= 1 << (64 - _HASH_BITS):
         raise ValueError("between 1 and 16 shards")
-    held, n = rows.sparkSession.sparkContext.broadcast(filters), len(filters) + 1
+    held, n = _sent(rows, filters), len(filters) + 1
 
     def mine(batches):
+        known = [Bitmap(*parts) for parts in held.value]
         shard = np.uint64(TaskContext.get().partitionId() % shards)
         for block in _blocks(batches):
-            hashes, counts, _ = list(block.levels(held.value, n))[-1]
+            hashes, counts, _ = list(block.levels(known, n))[-1]
             keys = hashes >> np.uint64(64 - _HASH_BITS) | shard << np.uint64(_HASH_BITS)
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts, pa.int64())], names=["key", "n"])
 
@@ -201,12 +207,13 @@ def mined(rows: DataFrame, filters: list[Bitmap], support: int, shards: int) ->
 
 def counted(rows: DataFrame, filters: list[Bitmap], support: int) -> DataFrame:
     """lang, phrase, n of every phrase of 2 to len(filters) words that occurs often enough, counted by its text."""
-    held, most = rows.sparkSession.sparkContext.broadcast(filters), len(filters)
+    held, most = _sent(rows, filters), len(filters)
 
     def count(batches):
+        known = [Bitmap(*parts) for parts in held.value]
         for block in _blocks(batches):
-            for n, (hashes, counts, parts) in enumerate(block.levels(held.value, most), 2):
-                ok = held.value[n - 1].passes(hashes)
+            for n, (hashes, counts, parts) in enumerate(block.levels(known, most), 2):
+                ok = known[n - 1].passes(hashes)
                 columns = [block.word.take(pa.array(part)) for part in parts[ok].T]
                 phrase = pc.binary_join_element_wise(*columns, " ")
                 yield pa.RecordBatch.from_arrays([block.lang.take(pa.array(parts[ok, 0])), phrase, pa.array(counts[ok], pa.int64())], names=["lang", "phrase", "n"])

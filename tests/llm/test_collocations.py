@@ -91,3 +91,14 @@ def test_odd_and_empty(spark, odd, none):
     assert sorted(map(tuple, got.collect())) == sorted(brute([(r.lang, r.text) for r in odd.collect()]))
     long = spark.createDataFrame([(1, "p q " * 300_000, None, "s", None, "n", "d", 1, 7, 0, "r", True, 3)], ODD)
     assert [(r.lang, r.phrase, r.a, r.n) for r in collocations(long).collect()] == [(lang, p, a, n) for lang, _, p, a, _, _, n, _ in brute([(None, "p q " * 300_000)])]
+
+
+def test_what_workers_get_names_no_module_of_this_package(spark):
+    import pickle
+
+    from basketflow.llm import collocations as module
+
+    words = spark.createDataFrame([("en", "a", 40), ("en", "b", 31)], "lang string, phrase string, n long")
+    filters = [module.bitmap(module.hashed(words))]
+    assert all(filters[0].passes(module.word_hashes(module.pa.array(["en", "en"]), module.pa.array(["a", "b"]))))
+    assert b"basketflow" not in pickle.dumps(module._sent(words, filters).value)
