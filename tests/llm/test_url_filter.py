@@ -7,7 +7,8 @@ import pytest
 from conftest import SF
 from pyspark.sql import functions as F
 
-from basketflow.llm.url_filter import RULES, contexts, url_verdicts
+from basketflow.llm.resample import cut_between
+from basketflow.llm.url_filter import RULES, calibrated_cut, contexts, url_verdicts
 
 SCHEMA = "page_id long, url string, html string, host int, rule double, ratio string"
 ODD = [
@@ -123,3 +124,33 @@ def test_hot_grams_change_nothing(spark, monkeypatch):
     plain = {r.page_id: (r.ratio, r.verdict) for r in url_verdicts(pages).collect()}
     monkeypatch.setattr(url_filter, "HOT", 20)
     assert {r.page_id: (r.ratio, r.verdict) for r in url_verdicts(pages).collect()} == plain
+
+
+@pytest.mark.parametrize("loss", [0.0, 0.01, 0.3])
+def test_cut_by_brute_force(spark, loss):
+    pick = Random(5)
+    for digits in (1, 6):
+        rows = [(int(good), round(pick.gauss(0.5 if good else -0.5, 1), digits)) for good in (pick.random() < 0.7 for _ in range(3000))]
+        good, bad = (sorted(x for g, x in rows if g == kind) for kind in (1, 0))
+        found = calibrated_cut(spark.createDataFrame(rows, "good int, ratio double").repartition(3), loss)
+        assert found == min(cut_between(good, bad), good[int(loss * len(good))])
+    assert calibrated_cut(spark.createDataFrame([(1, 0.5)], "good int, ratio double"), loss) == 0.0
+
+
+def test_all_held_out_rows_make_the_cut(spark):
+    """A held-out URL that comes more often than 20,000 times leaves the others their say."""
+    pick, n = Random(6), 3000
+    hosts = [("org", 1)] * n + [("com/de", 0)] * n + [("net", None)] * 400
+    urls = [(f"http://h{i % 9}.{host}/{pick.choice(['news', 'casino'])}/{pick.getrandbits(24):x}", good) for i, (host, good) in enumerate(hosts)]
+    strong = [(f"http://news.org/{'org/' * 9}{i}", 2) for i in range(500)]
+    hashed = spark.createDataFrame(urls + strong, "url string, good int").withColumn("h", F.xxhash64("url", F.lit("held"))).withColumn("held", F.pmod("h", F.lit(10)) == 0).collect()
+    hot = min((r for r in hashed if r.good == 2 and r.held), key=lambda r: r.h)
+    kept = [r for r in hashed if r.good != 2 and not (r.good == 1 and r.held and r.h < hot.h)]
+    held = {i: r.good for i, r in enumerate(kept) if r.held and r.good is not None} | {-1: 1}
+    rows = spark.createDataFrame([(i, r.url) for i, r in enumerate(kept)], "page_id long, url string")
+    more = spark.range(20_100).select(F.lit(-1).cast("long").alias("page_id"), F.lit(hot.url).alias("url"))
+    found = url_verdicts(rows.unionByName(more)).collect()
+    good, bad = (sorted(r.ratio for r in found if held.get(r.page_id) == kind) for kind in (1, 0))
+    cut = min(cut_between(good, bad), good[int(0.01 * len(good))])
+    free = [r for r in found if r.rule is None]
+    assert all((r.verdict == "allow") == (r.ratio >= cut) for r in free) and any(cut <= r.ratio < (max(bad) + good[-1]) / 2 for r in free)
