@@ -21,6 +21,10 @@ from basketflow.session import BROADCAST_ROWS, materialize, stored
 from basketflow.sources.storage import comparable
 
 
+# A row hash that more rows have is hot.
+HOT_ROWS = 10_000
+
+
 def numeric_price(df: DataFrame) -> Column:
     """The price as a number; text that is no number counts as missing."""
     price = F.col("price")
@@ -148,13 +152,24 @@ def exact_duplicates(df: DataFrame, hashes: DataFrame | None = None) -> DataFram
     """One row: rows beyond the first of each identical group.
 
     A 64-bit row hash is counted first (`hashes`, column _h, where the caller has them); only rows whose hash occurs twice are compared in full.
+    Where these hashes are many, whole rows move once, dealt by hash, and meet both the hashes and each other there. Rows of a hash that very many
+    rows have are combined before they move.
     """
     keyed = df.select(F.xxhash64(*comparable(df)).alias("_h"), *comparable(df))
-    twice = (keyed if hashes is None else hashes).groupBy("_h").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select("_h")
+    twice = (keyed if hashes is None else hashes).groupBy("_h").agg(F.count(F.lit(1)).alias("_c")).where("_c > 1")
     kept, rows = materialize(twice)
-    suspects = keyed.join(F.broadcast(kept) if rows <= BROADCAST_ROWS else kept, "_h", "left_semi")
-    groups = suspects.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_c"))
-    return groups.agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias("n"))
+
+    def beyond(suspects: DataFrame, *by: str) -> DataFrame:
+        return suspects.groupBy(*by, *df.columns).agg(F.count(F.lit(1)).alias("_c")).select((F.col("_c") - 1).alias("_c"))
+
+    if rows <= BROADCAST_ROWS:
+        extra = beyond(keyed.join(F.broadcast(kept.select("_h")), "_h", "left_semi")) if rows else kept.select("_c")
+    else:
+        # Once per so many rows of the repeated hashes a hash can be hot, so at most BROADCAST_ROWS are.
+        hot = kept.where(F.col("_c") > max(HOT_ROWS, kept.agg(F.sum("_c")).first()[0] // BROADCAST_ROWS))
+        cold = keyed.join(F.broadcast(hot), "_h", "left_anti").join(kept.select("_h").hint("shuffle_hash"), "_h", "left_semi")
+        extra = beyond(cold, "_h").unionByName(beyond(keyed.join(F.broadcast(hot), "_h", "left_semi")))
+    return extra.agg(F.coalesce(F.sum("_c"), F.lit(0)).alias("n"))
 
 
 def key_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from conftest import day
 from pyspark.sql import functions as F
 
 from basketflow.config import QualityConfig
-from basketflow.operators import quality
+from basketflow.operators import price_jumps, quality
 from basketflow.operators.outliers import drop_outliers, flag_outliers
 
 NOW = datetime(2024, 1, 3)
@@ -148,3 +148,13 @@ def test_half_of_all_rows_the_same(spark):
     df = spark.range(2000).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("k"), F.lit("x").alias("v"))
     assert quality.exact_duplicates(df).first().n == 999
     assert quality.QualityConfig is QualityConfig
+
+
+def test_many_repeated_rows_and_hot_ones(spark, monkeypatch):
+    """More repeated hashes than are broadcast, some of them hot, nulls among the values."""
+    monkeypatch.setattr(quality, "BROADCAST_ROWS", 10)
+    monkeypatch.setattr(quality, "HOT_ROWS", 50)
+    k = F.col("id") % 300
+    df = spark.range(2000).select(F.when(k < 100, F.lit(None)).when(k < 200, k).otherwise(F.col("id")).alias("k"), F.create_map(F.lit("x"), k % 2).alias("m"))
+    rows = [(r.k, tuple(r.m.items())) for r in df.collect()]
+    assert quality.exact_duplicates(df).first().n == len(rows) - len(set(rows))
