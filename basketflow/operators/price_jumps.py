@@ -16,6 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from basketflow.config import QualityConfig
+from basketflow.session import stored
 
 KEYS = ["product_id", "retailer"]
 BINS_PER_LOG = 64
@@ -73,8 +74,9 @@ def _priced(df: DataFrame) -> DataFrame:
 def price_jumps(new: DataFrame, old: DataFrame, cfg: QualityConfig | None = None) -> DataFrame:
     """(product_id, retailer) -> pairs compared and pairs that jump; keys on both sides only."""
     threshold = (cfg or QualityConfig()).price_change_threshold
-    fresh = _priced(new).groupBy(*KEYS, "price").agg(F.count(F.lit(1)).alias("c"))
-    past = _priced(old).distinct()
+    # Stored, since both are read several times and what they come from may be costly.
+    fresh = stored(_priced(new).groupBy(*KEYS, "price").agg(F.count(F.lit(1)).alias("c")), "new-prices")
+    past = stored(_priced(old).distinct(), "old-prices")
     sign, size = F.signum("price").alias("sign"), F.abs("price")
 
     if 0 < threshold < 1e-9:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,7 +21,6 @@ from basketflow.operators.quantiles import exact_quantiles
 from basketflow.session import BROADCAST_ROWS, materialize, stored
 from basketflow.sources.storage import comparable
 
-
 # A row hash that more rows have is hot.
 HOT_ROWS = 10_000
 
@@ -70,8 +70,8 @@ def schema_check(df: DataFrame, cfg: QualityConfig) -> list[Column]:
     return rows
 
 
-def column_checks(df: DataFrame, now: datetime, cfg: QualityConfig) -> DataFrame:
-    """All checks that need one pass and one aggregate."""
+def _column_facts(df: DataFrame, now: datetime, cfg: QualityConfig) -> dict[str, Column]:
+    """The aggregates behind the column checks, by name."""
     have = df.columns
     missing = {c: F.count_if(is_missing(df, c)) for c in have}
     aggs = {"n": F.count(F.lit(1)), **{f"null_{i}": m for i, m in enumerate(missing.values())}}
@@ -92,7 +92,28 @@ def column_checks(df: DataFrame, now: datetime, cfg: QualityConfig) -> DataFrame
             "newest": F.max(ts),
             "stale": F.count_if(ts < ts_like(df, "timestamp", now - age)),
         }
-    one = df.agg(*[v.alias(k) for k, v in aggs.items()])
+    return aggs
+
+
+def _observed(df: DataFrame, facts: dict[str, Column]) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """df, and its aggregates as one row once an action on df has ended. Instants pass as text, and keep their type."""
+    seen, kinds = Observation("columns"), df.limit(0).agg(*[v.alias(k) for k, v in facts.items()]).schema
+    timed = {f.name for f in kinds if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))}
+    metrics = [(v.cast("string") if k in timed else v).alias(k) for k, v in facts.items()]
+
+    def one() -> DataFrame:
+        texts = T.StructType([T.StructField(f.name, T.StringType() if f.name in timed else f.dataType) for f in kinds])
+        row = df.sparkSession.createDataFrame([tuple(seen.get[k] for k in facts)], texts)
+        return row.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in kinds])
+
+    return df.observe(seen, *metrics), one
+
+
+def column_checks(df: DataFrame, now: datetime, cfg: QualityConfig, one: DataFrame | None = None) -> DataFrame:
+    """All checks that need one pass and one aggregate (`one`, where the caller has it)."""
+    have, age = df.columns, timedelta(hours=cfg.max_data_age_hours)
+    if one is None:
+        one = df.agg(*[v.alias(k) for k, v in _column_facts(df, now, cfg).items()])
 
     n = F.col("n")
     rows = [
@@ -180,15 +201,16 @@ def key_duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
 def quality_report(df: DataFrame, now: datetime, cfg: QualityConfig | None = None, stats: DataFrame | None = None) -> DataFrame:
     """Every check as a row: value, threshold, whether it fired, and its message.
 
-    The source is read for the column checks, for a narrow table of prices, keys and row hashes, and for the rows whose hash repeats. Price
+    The source is read once for the column checks and a narrow table of prices, keys and row hashes, and again for the rows whose hash repeats, if any. Price
     digest, ranks, flags, hashes and keys come from the narrow table, the categories from the price statistics (`stats`,
     where the caller has them), which have a row for each.
     """
     cfg = cfg or QualityConfig()
-    parts = [column_checks(df, now, cfg)]
     kept = [c for c in ("category", "product_id", "retailer") if c in df.columns]
     narrow = [*kept, *([numeric_price(df).alias("price")] if "price" in df.columns else []), F.xxhash64(*comparable(df)).alias("_h")]
-    facts = stored(df.select(*narrow), "quality-facts")
+    observed, one = _observed(df, _column_facts(df, now, cfg))
+    facts = stored(observed.select(*narrow), "quality-facts")
+    parts = [column_checks(df, now, cfg, one())]
 
     def counted(one: DataFrame, check: str, severity: str, subject: str, text: str) -> DataFrame:
         return one.select(F.inline(F.array(_count_row(check, severity, subject, F.col("n"), text))))

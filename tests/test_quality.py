@@ -158,3 +158,27 @@ def test_many_repeated_rows_and_hot_ones(spark, monkeypatch):
     df = spark.range(2000).select(F.when(k < 100, F.lit(None)).when(k < 200, k).otherwise(F.col("id")).alias("k"), F.create_map(F.lit("x"), k % 2).alias("m"))
     rows = [(r.k, tuple(r.m.items())) for r in df.collect()]
     assert quality.exact_duplicates(df).first().n == len(rows) - len(set(rows))
+
+
+def counted_reads(spark, df):
+    """df, and the counter of the rows that are read of it."""
+    read = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(count, df.schema), read
+
+
+def test_a_report_reads_its_source_once(spark):
+    df, read = counted_reads(spark, records(spark, [(f"p{i}", "n", 10.0 + i, "grocery", "r", day("2024-01-02")) for i in range(20)]))
+    report = quality.quality_report(df, NOW).collect()
+    assert read.value == 20 and {r.message for r in report if r.check_name == "oldest_record"} == {"2024-01-02T00:00:00"}
+
+
+def test_jumps_read_either_side_once(spark):
+    sides = [counted_reads(spark, records(spark, [(f"p{i}", "n", price, "grocery", "r", None) for i in range(20)])) for price in (1.0, 9.0)]
+    assert sum(r.jumps for r in price_jumps.price_jumps(sides[0][0], sides[1][0]).collect()) == 20
+    assert [read.value for _, read in sides] == [20, 20]
