@@ -47,19 +47,18 @@ def transform(df: DataFrame, tie_breakers: list[str] | None = None) -> DataFrame
 
     Rows of one timestamp are ordered by the tie-breakers, then by all columns (maps as sorted JSON), so that chance decides nothing.
     """
-    df = parse_timestamp(df).withColumns(calendar_columns(F.col("timestamp")))
+    df = parse_timestamp(df)
     normalized = F.col("price")
     if {"unit", "quantity"} <= set(df.columns):
         normalized = unit_price(F.col("price"), F.col("unit"), F.col("quantity"))
-    df = df.withColumns(
-        {
-            "price_normalized": normalized,
-            "product_name": strip_ws(F.col("product_name")),
-            "category": strip_ws(F.lower("category")),
-        }
-    )
     first = ["timestamp", *(tie_breakers or ["price", "product_name", "category"])]
-    rest = [c for c in df.columns if c not in first]
+    derived = calendar_columns(F.col("timestamp")) | {"price_normalized": normalized}
+    early = {k: derived.pop(k) for k in [*derived] if k in ("date", "hour", *first)}
+    df = df.withColumns(early).withColumns({"product_name": strip_ws(F.col("product_name")), "category": strip_ws(F.lower("category"))})
+    rest = [c for c in df.columns if c not in first and c not in derived]
     maps = {f"_{f.name}": c for f, c in zip(df.schema, comparable(df)) if isinstance(f.dataType, T.MapType)}
     order = first + [f"_{c}" if f"_{c}" in maps else c for c in rest]
-    return add_price_change(keep_last(df.withColumns(maps), HOUR_KEY, order).drop(*maps))
+    out = add_price_change(keep_last(df.withColumns(maps), HOUR_KEY, order).drop(*maps))
+    # What follows from the row alone is added behind the shuffles.
+    names = dict.fromkeys([*df.columns, *derived, "price_change_pct"])
+    return out.withColumns(derived).select(*names)

@@ -63,6 +63,14 @@ def test_by_category(spark, tmp_path):
     assert storage.read_prices(spark, path).where("category = 'housing'").count() == 1
 
 
+def test_by_category_is_written_where_the_rows_are(spark, tmp_path):
+    path = str(tmp_path / "by")
+    dealt = rows(spark, *[f"2024-01-{d:02d}" for d in range(1, 31)]).withColumn("run_id", F.lit("1")).repartition(3)
+    storage.write_by_category(dealt, path)
+    assert len([f for f in os.listdir(f"{path}/category=grocery/run_id=1") if f.endswith(".parquet")]) == 3
+    assert storage.read_prices(spark, path).count() == 30
+
+
 def test_retention(spark, tmp_path):
     path = str(tmp_path / "prices")
     for run in ("1", "2", "3"):

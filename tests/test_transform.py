@@ -42,3 +42,8 @@ def test_columns_behind_the_tie_breakers_decide_ties(spark):
     schema = "product_id STRING, product_name STRING, category STRING, retailer STRING, price DOUBLE, timestamp TIMESTAMP_NTZ, unit STRING, quantity DOUBLE"
     found = {tuple(transform(spark.createDataFrame(r, schema).coalesce(1)).first()[c] for c in ("quantity", "price_normalized")) for r in (rows, rows[::-1])}
     assert len(found) == 1
+
+
+def test_columns_that_follow_from_the_row_are_not_shuffled(observations):
+    plan = transform(observations([]).withColumn("product_name", F.lit("x")))._jdf.queryExecution().sparkPlan().toString()
+    assert plan.rindex("weekofyear") < plan.index("Window")
