@@ -10,9 +10,13 @@ from pyspark.sql import types as T
 from basketflow.functions.numeric import unit_price
 from basketflow.functions.text import strip_ws
 from basketflow.functions.timeparts import calendar_columns
+from basketflow.session import BROADCAST_ROWS, materialize
 from basketflow.sources.storage import comparable
 
-HOUR_KEY = ["product_id", "retailer", "date", "hour"]
+PRODUCT = ["product_id", "retailer"]
+HOUR_KEY = [*PRODUCT, "date", "hour"]
+# A product of a retailer that more rows have is hot.
+HOT_ROWS = 10_000
 
 
 def parse_timestamp(df: DataFrame) -> DataFrame:
@@ -37,15 +41,28 @@ def add_price_change(df: DataFrame) -> DataFrame:
     Runs on a panel with one row per product, retailer and hour, so a group is bounded by the
     hours of the calendar, not by the size of the feed.
     """
-    earlier = W.partitionBy("product_id", "retailer").orderBy("date", "hour")
+    earlier = W.partitionBy(*PRODUCT).orderBy("date", "hour")
     before = F.lag("price").over(earlier)
     return df.withColumn("price_change_pct", F.coalesce((F.try_divide("price", before) - 1) * 100, F.lit(0.0)))
 
 
-def transform(df: DataFrame, tie_breakers: list[str] | None = None) -> DataFrame:
+def hot_products(df: DataFrame, rows: int) -> DataFrame | None:
+    """Hashes (_p) of the products of a retailer that very many of df's rows have, at most BROADCAST_ROWS of them; None where there are none."""
+    counted = df.groupBy(F.xxhash64(*PRODUCT).alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
+    kept, n = materialize(counted.where(F.col("_c") > max(HOT_ROWS, rows // BROADCAST_ROWS)).select("_p"))
+    if n:
+        return kept
+    kept.unpersist()
+    return None
+
+
+def transform(df: DataFrame, tie_breakers: list[str] | None = None, rows: int | None = None) -> DataFrame:
     """Enrich, clean and deduplicate. Rows are sorted at the sink only, within its files.
 
     Rows of one timestamp are ordered by the tie-breakers, then by all columns (maps as sorted JSON), so that chance decides nothing.
+
+    With the number of `rows`, for a df that is cheap to read again, whole rows move once, by product and retailer, for keep-last and the price
+    change alike; only rows of hot products are cut to one per key before that. Without it, all rows are cut before they move, and move twice.
     """
     df = parse_timestamp(df)
     normalized = F.col("price")
@@ -54,11 +71,23 @@ def transform(df: DataFrame, tie_breakers: list[str] | None = None) -> DataFrame
     first = ["timestamp", *(tie_breakers or ["price", "product_name", "category"])]
     derived = calendar_columns(F.col("timestamp")) | {"price_normalized": normalized}
     early = {k: derived.pop(k) for k in [*derived] if k in ("date", "hour", *first)}
-    df = df.withColumns(early).withColumns({"product_name": strip_ws(F.col("product_name")), "category": strip_ws(F.lower("category"))})
+    whole = df.withColumns({"product_name": strip_ws(F.col("product_name")), "category": strip_ws(F.lower("category"))})
+    df = whole.withColumns(early)
     rest = [c for c in df.columns if c not in first and c not in derived]
     maps = {f"_{f.name}": c for f, c in zip(df.schema, comparable(df)) if isinstance(f.dataType, T.MapType)}
     order = first + [f"_{c}" if f"_{c}" in maps else c for c in rest]
-    out = add_price_change(keep_last(df.withColumns(maps), HOUR_KEY, order).drop(*maps))
+
+    def last(some: DataFrame) -> DataFrame:
+        return keep_last(some.withColumns(early).withColumns(maps), HOUR_KEY, order).drop(*maps)
+
+    if rows is not None:
+        hot = hot_products(whole, rows)
+        if hot is not None:
+            keyed = whole.withColumn("_p", F.xxhash64(*PRODUCT))
+            cut = last(keyed.join(F.broadcast(hot), "_p", "left_semi").select(*whole.columns)).select(*whole.columns)
+            whole = keyed.join(F.broadcast(hot), "_p", "left_anti").select(*whole.columns).unionByName(cut)
+        whole = whole.repartition(*PRODUCT)
+    out = add_price_change(last(whole))
     # What follows from the row alone is added behind the shuffles.
     names = dict.fromkeys([*df.columns, *derived, "price_change_pct"])
     return out.withColumns(derived).select(*names)

@@ -19,8 +19,8 @@ from basketflow.operators.outliers import category_stats, drop_outliers, flag_ou
 from basketflow.operators.quality import quality_gate, quality_report, quality_summary
 from basketflow.operators.transform import transform
 from basketflow.schema import PRICE_SCHEMA
-from basketflow.session import materialize
-from basketflow.sources import storage
+from basketflow.session import LITTLE_DISK, SIDE_BY_SIDE, materialize, settings
+from basketflow.sources import files, storage
 from basketflow.sources.ingest import conform, incremental, judged, select_sources
 
 RUN_LOG = (
@@ -32,9 +32,13 @@ LANDED = T.StructType(
 )
 
 
+def feed_folder(root: str, name: str) -> str:
+    return f"{root}/feed={quote(name, safe='')}"
+
+
 def landed(spark: SparkSession, root: str, feeds: list[str] | None = None) -> DataFrame:
     """What a run landed, sound rows (`valid`) and quarantined ones with their `reasons`; of some feeds if named."""
-    paths = [root] if feeds is None else [f"{root}/feed={quote(name, safe='')}" for name in feeds]
+    paths = [root] if feeds is None else [feed_folder(root, name) for name in feeds]
     return spark.read.schema(LANDED).option("basePath", root).parquet(*paths)
 
 
@@ -51,8 +55,9 @@ def land(spark: SparkSession, feeds: dict[str, DataFrame], cfg: EtlConfig, root:
             wanted = select_sources(conform(feed, now), list(cfg.retailers), list(cfg.categories or []))
             rows = judged(wanted.withColumn("category", normalize_category(F.col("retailer"), F.col("category"))))
             counted = rows.observe(seen, F.count_if("valid").alias("sound"), F.count_if(~F.col("valid")).alias("broken"))
-            folder = f"{root}/feed={quote(name, safe='')}"
-            counted.write.mode("overwrite").option("compression", cfg.compression).partitionBy("valid").parquet(folder)
+            folder = feed_folder(root, name)
+            with settings(spark, LITTLE_DISK | SIDE_BY_SIDE):
+                counted.write.mode("overwrite").option("compression", cfg.compression).partitionBy("valid").parquet(folder)
         except (PySparkException, Py4JJavaError) as e:
             problems.append(f"feed {name}: {str(e).strip().splitlines()[0]}")
             continue
@@ -70,7 +75,8 @@ def run(spark: SparkSession, feeds: dict[str, DataFrame], cfg: EtlConfig, now: d
     log = {"landed": 0, "quarantined": 0, "transformed": 0, "outliers": 0, "stored": 0}
     problems: list[str] = []
     try:
-        _stages(spark, feeds, cfg, now, quality, log, problems)
+        with settings(spark, LITTLE_DISK):
+            _stages(spark, feeds, cfg, now, quality, log, problems)
     except (PySparkException, Py4JJavaError) as e:
         problems.append(f"run stopped: {str(e).strip().splitlines()[0]}")
     share = log["stored"] / log["landed"] if log["landed"] else 0.0
@@ -86,25 +92,34 @@ def _stages(spark, feeds, cfg, now, quality, log, problems) -> None:
     if not log["landed"]:
         return
 
-    # Stored, not cached: the checks and both loads read it, and a lost executor costs no rerun.
+    # Stored, not cached: the checks and both loads read it, and a lost executor costs no rerun. By month, so that the load by month shuffles nothing.
     stage, transformed, loaded = f"{cfg.output_path}/transformed/run_id={run_id}", Observation("transformed"), Observation("loaded")
     n = F.count(F.lit(1)).alias("n")
     sound = landed(spark, root, done).where("valid").drop("reasons", "feed", "valid")
-    transform(sound).observe(transformed, n).write.mode("overwrite").option("compression", cfg.compression).parquet(stage)
+    counted = [(r.month, r.n) for r in sound.groupBy(storage.month_number(F.col("timestamp")).alias("month")).agg(n).collect()]
+    stored_bytes = sum(files.size(spark, f"{feed_folder(root, name)}/valid=true") for name in done)
+    groups = storage.month_groups(counted, stored_bytes / log["landed"], spark.sparkContext.defaultParallelism)
+    staged = storage.stage_by_month(transform(sound, rows=log["landed"]).observe(transformed, n), stage, cfg.compression, groups)
     log["transformed"] = transformed.get["n"]
-    clean = panel = spark.read.parquet(stage)
+    panel, stats = staged.drop("part"), None
 
     if cfg.validate:
         stats, _ = materialize(category_stats(panel))  # one row per category, for the report and the cleaning
         checked = quality_gate(quality_summary(quality_report(panel, now, quality, stats)), cfg.on_invalid)
         problems += checked.errors
         log["outliers"] = checked.outlier_count or 0
-        clean = drop_outliers(flag_outliers(panel, quality, stats))
 
-    clean = clean.withColumn("run_id", F.lit(run_id))
-    storage.write_prices(clean.observe(loaded, n), f"{cfg.output_path}/prices", cfg.compression, [run_id])
+    def cleaned(rows: DataFrame) -> DataFrame:
+        kept = rows if stats is None else drop_outliers(flag_outliers(rows, quality, stats))
+        return kept.withColumn("run_id", F.lit(run_id))
+
+    dealt = cleaned(storage.dealt_by_month(staged, groups))
+    storage.write_prices(dealt.observe(loaded, n), f"{cfg.output_path}/prices", cfg.compression, [run_id], dealt=True)
     log["stored"] = loaded.get["n"]
-    storage.write_by_category(clean, f"{cfg.output_path}/by_category", cfg.compression, [run_id])
+    clean = cleaned(panel)
+    large = {"spark.sql.files.maxPartitionBytes": "128m", "spark.sql.files.openCostInBytes": "256k"}  # nothing is sorted, so few tasks and files
+    with settings(spark, SIDE_BY_SIDE | large):
+        storage.write_by_category(clean, f"{cfg.output_path}/by_category", cfg.compression, [run_id])
     if cfg.jdbc_url:
         try:
             storage.append_jdbc(clean, cfg.jdbc_url, batch_size=cfg.jdbc_batch_size)

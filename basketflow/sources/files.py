@@ -19,6 +19,12 @@ def names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(name for name in found if not name.startswith("."))
 
 
+def size(spark: SparkSession, folder: str) -> int:
+    """Bytes of a folder with all in it, from its listing; 0 if it isn't there."""
+    at, fs = _path(spark, folder)
+    return fs.getContentSummary(at).getLength() if fs.exists(at) else 0
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file that is there whole or not at all."""
     folder, _, name = path.rpartition("/")

@@ -102,24 +102,35 @@ def _raw_category(p_type):
 def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw records as a source delivers them: price texts, untrimmed names, some rows broken."""
     part = table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "l_partkey")
-    retailer = F.when(F.col("l_suppkey") % 2 == 0, "Amazon").otherwise("Walmart")
+    flag, line, tax = F.col("l_returnflag"), F.col("l_linenumber"), F.col("l_tax")
+    # Small codes of what makes a row odd, so that the join moves no column that only decides.
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_partkey",
+        "l_orderkey",
+        "l_linenumber",
+        "l_quantity",
+        "l_extendedprice",
+        "l_shipdate",
+        F.coalesce(F.col("l_suppkey") % 2 == 0, F.lit(False)).alias("even"),
+        F.coalesce(F.col("l_discount") == 0.1, F.lit(False)).alias("none"),
+        F.when((line == 7) & (flag == "R"), 1).when((line == 6) & (flag == "N"), 2).when((line == 5) & (flag == "A"), 3).otherwise(0).cast("tinyint").alias("kind"),
+        F.when(tax == 0.08, 1).when(tax == 0.07, 2).otherwise(0).cast("tinyint").alias("link"),
+    )
     rows = (
-        table(spark, sf_dir, "lineitem")
-        .join(part, "l_partkey")
-        .withColumn("retailer", retailer)
+        lines.join(part, "l_partkey")
+        .withColumn("retailer", F.when(F.col("even"), "Amazon").otherwise("Walmart"))
         .withColumn("product_id", _coded_id(F.col("retailer"), F.col("l_partkey")))
     )
-    amount = F.format_number("l_extendedprice", 2)
-    flag, line, tax = F.col("l_returnflag"), F.col("l_linenumber"), F.col("l_tax")
+    amount, kind, link = F.format_number("l_extendedprice", 2), F.col("kind"), F.col("link")
     price = (
-        F.when((line == 7) & (flag == "R"), F.lit("N/A"))
-        .when((line == 6) & (flag == "N"), F.concat(F.lit("-$"), amount))
-        .when((line == 5) & (flag == "A"), F.lit(None))
+        F.when(kind == 1, F.lit("N/A"))
+        .when(kind == 2, F.concat(F.lit("-$"), amount))
+        .when(kind == 3, F.lit(None))
         .otherwise(F.concat(F.lit(" $"), amount, F.lit(" ")))
     )
     url = (
-        F.when(tax == 0.08, "not-a-valid-url")
-        .when(tax == 0.07, "//host-only/dp/B000000001")
+        F.when(link == 1, "not-a-valid-url")
+        .when(link == 2, "//host-only/dp/B000000001")
         .otherwise(product_url(F.col("retailer"), F.col("product_id"), F.col("p_name")))
     )
     return rows.select(
@@ -132,9 +143,9 @@ def raw_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         url.alias("url"),
         F.col("l_shipdate").alias("timestamp"),
         F.element_at(F.array(*map(F.lit, UNITS)), F.col("p_size") % 6 + 1).alias("unit"),
-        F.when(F.col("l_discount") == 0.1, 0.0).otherwise(F.col("l_quantity")).alias("quantity"),
+        F.when(F.col("none"), 0.0).otherwise(F.col("l_quantity")).alias("quantity"),
         F.round(F.col("l_quantity") / 9, 1).alias("rating"),
-        (line - 1).cast("bigint").alias("review_count"),
+        (F.col("l_linenumber") - 1).cast("bigint").alias("review_count"),
         F.create_map(F.lit("order"), F.col("l_orderkey").cast("string")).alias("metadata"),
     )
 

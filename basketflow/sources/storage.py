@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,6 +17,10 @@ from basketflow.sources import files
 
 # A run of a stored table is read once its name is in this folder of the table; the name is written after all its partitions.
 RUNS = "_runs"
+# One task sorts so many rows, or rows of so many stored bytes, in memory; it has this share of them at least.
+TASK_ROWS, TASK_BYTES, LEAST_SHARE = 1_000_000, 32 << 20, 0.1
+# A task stores its rows in so many groups of months at most, a file each.
+PARTS = 8
 
 
 def run_id(at: datetime) -> str:
@@ -48,16 +54,53 @@ def _publish(df: DataFrame, path: str, write, runs: Sequence[str] | None) -> Non
         files.write_text(spark, f"{path}/{RUNS}/{run}", "")
 
 
-def write_prices(df: DataFrame, path: str, compression: str = "snappy", runs: Sequence[str] | None = None) -> None:
+def write_prices(df: DataFrame, path: str, compression: str = "snappy", runs: Sequence[str] | None = None, dealt: bool = False) -> None:
     """Main table by run and month, files sorted by time, so that a scan skips months and row groups.
 
-    The rebalance splits a large month over many files and packs small ones. The runs are shown when all partitions are there.
+    The rebalance splits a large month over many files and packs small ones; rows of `dealt_by_month` are written where they are.
+    The runs are shown when all partitions are there.
     """
-    dealt = df.withColumn("month", month_label(F.col("timestamp"))).hint("rebalance", "run_id", "month")
-    writer = _replacing(dealt.sortWithinPartitions("run_id", "month", "timestamp"), compression).partitionBy("run_id", "month")
+    rows = df.withColumn("month", month_label(F.col("timestamp")))
+    rows = rows if dealt else rows.hint("rebalance", "run_id", "month")
+    writer = _replacing(rows.sortWithinPartitions("run_id", "month", "timestamp"), compression).partitionBy("run_id", "month")
     _publish(df, path, lambda: writer.parquet(path), runs)
 
 
+def month_number(ts: Column) -> Column:
+    return F.year(ts) * 12 + F.month(ts)
+
+
+def month_groups(counted: Sequence[tuple[int, int]], row_bytes: float, cores: int) -> list[tuple[int, int]]:
+    """Months by number with their rows, as at most PARTS groups of consecutive months: (first month, tasks that sort the group's rows in memory)."""
+    loads = [(month, rows * max(1 / TASK_ROWS, row_bytes / TASK_BYTES)) for month, rows in sorted(counted)]
+    total = sum(load for _, load in loads)
+    share = min(1.0, max(LEAST_SHARE, total / cores))
+    groups: dict[int, tuple[int, float]] = {}
+    before = 0.0
+    for month, load in loads:
+        at = int((before + load / 2) / max(share, total / PARTS))
+        first, held = groups.get(at, (month, 0.0))
+        groups[at] = (first, held + load)
+        before += load
+    return [(first, math.ceil(held / share)) for first, held in groups.values()]
+
+
+def stage_by_month(df: DataFrame, path: str, compression: str, groups: Sequence[tuple[int, int]]) -> DataFrame:
+    """Stores df by group of months (`part`) where its rows are, replacing what was there, and reads it back."""
+    month, part = month_number(F.col("timestamp")), F.lit(0)
+    for i, (first, _) in enumerate(groups):
+        part = F.when(month >= first, i).otherwise(part)
+    staged = df.withColumn("part", part)
+    writer = staged.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", compression)
+    writer.partitionBy("part").parquet(path)
+    return df.sparkSession.read.schema(staged.schema).parquet(path)
+
+
+def dealt_by_month(staged: DataFrame, groups: Sequence[tuple[int, int]]) -> DataFrame:
+    """The rows stored by `stage_by_month`, dealt to the tasks of their groups; nothing is shuffled."""
+    return reduce(DataFrame.union, [staged.where(F.col("part") == i).drop("part").coalesce(tasks) for i, (_, tasks) in enumerate(groups)])
+
+
 def write_by_category(df: DataFrame, path: str, compression: str = "snappy", runs: Sequence[str] | None = None) -> None:
     """Second layout by category in one job; a large category is split over many files. The runs are shown when all partitions are there.
 

@@ -1,6 +1,7 @@
 import glob
 import json
 import os
+import time
 from datetime import date, datetime
 
 import pytest
@@ -195,3 +196,47 @@ def test_a_run_without_rows_is_shown_empty(spark, tmp_path):
     path = str(tmp_path / "prices")
     storage.write_prices(rows(spark).withColumn("run_id", F.lit("1")), path, runs=["1"])
     assert storage.shown_runs(spark, path) == ["1"] and storage.latest_snapshot(spark, path) is None
+
+
+def shuffle_files(spark):
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (found.apply(i).getName() for i in range(found.size())) if name.startswith("shuffle_")}
+
+
+def test_a_run_leaves_no_shuffle_files_and_no_settings(spark, tmp_path):
+    names = [*etl.LITTLE_DISK, *etl.SIDE_BY_SIDE, "spark.sql.files.openCostInBytes"]
+    before, held = shuffle_files(spark), [spark.conf.get(k, None) for k in names]
+    assert etl.run(spark, {"a": feed(spark)}, config(tmp_path, validate=False), NOW).first().stored == 31
+    until = time.monotonic() + 20
+    while shuffle_files(spark) - before and time.monotonic() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert [spark.conf.get(k, None) for k in names] == held
+
+
+def test_months_are_grouped_by_their_rows():
+    assert storage.month_groups([(24001, 5), (24003, 5)], 40.0, 4) == [(24001, 1)]
+    many = storage.month_groups([(m, 1_500_000) for m in range(100, 140)], 30.0, 4)
+    assert len(many) == storage.PARTS and many[0][0] == 100 and sum(tasks for _, tasks in many) >= 60
+    assert storage.month_groups([(7, 10_000_000)], 30.0, 4) == [(7, 10)]
+    assert storage.month_groups([(7, 1_000_000)], 64 * (1 << 20) / 1_000_000, 1) == [(7, 2)]  # wide rows
+
+
+@pytest.mark.parametrize("validate", [True, False])
+def test_rows_of_many_months_are_stored_by_month_in_order(spark, tmp_path, monkeypatch, validate):
+    monkeypatch.setattr(storage, "TASK_ROWS", 8)
+    monkeypatch.setattr(storage, "LEAST_SHARE", 1.0)
+    seen = feed(spark, 40, bad=0).withColumn("at", F.expr("IF(product_id = 'spike', 0, INT(SUBSTRING(product_id, 2)))"))
+    seen = seen.withColumn("timestamp", F.expr("TIMESTAMP_NTZ '2023-11-05 03:00:00' + MAKE_DT_INTERVAL(at * 11 % 120, at % 5)")).drop("at")
+    cfg = config(tmp_path, validate=validate)
+    for _ in range(2):
+        log = etl.run(spark, {"a": seen}, cfg, NOW).first()
+        assert (log.problems, log.transformed, log.stored) == ([], 41, 41 - log.outliers) and log.outliers == int(validate)
+    prices = f"{cfg.output_path}/prices/run_id=20240102_060000"
+    assert len(os.listdir(prices)) >= 4
+    for file in glob.glob(f"{prices}/*/*.parquet"):
+        times = [r.timestamp for r in spark.read.parquet(file).collect()]
+        assert times == sorted(times) and {f"month={t:%Y-%m}" for t in times} == {file.split("/")[-2]}
+    by_month, by_category = (storage.read_prices(spark, f"{cfg.output_path}/{table}").drop("month", "run_id") for table in ("prices", "by_category"))
+    assert sorted(map(str, by_month.select(sorted(by_month.columns)).collect())) == sorted(map(str, by_category.select(sorted(by_month.columns)).collect()))
+    assert "part" not in by_month.columns and by_month.count() == log.stored
